@@ -14,6 +14,8 @@ ORDERING_COST = 50.0
 HOLDING_SHARE = 0.25
 COVERAGE_DAYS = 7
 MIN_STOCK = 5
+# Upper end of the hash share, stock as a factor of the reorder point, spread of that factor.
+STOCK_BANDS = [(0.25, 0.35, 0.58), (0.60, 1.02, 0.25), (1.00, 1.35, 1.15)]
 USD_LIMIT = 2000
 USD_RATE = 83
 
@@ -114,9 +116,10 @@ def md5_percent(key: Column) -> Column:
 def opening_stock(key: Column, rop: Column) -> Column:
     """Deterministic stock in three bands around the reorder point, at least 5."""
     share = md5_percent(key) / 100.0
-    factor = (F.when(share < 0.25, 0.35 + 0.58 * (share / 0.25))
-              .when(share < 0.60, 1.02 + 0.25 * ((share - 0.25) / 0.35))
-              .otherwise(1.35 + 1.15 * ((share - 0.60) / 0.40)))
+    factor, start = F, 0.0
+    for end, base, spread in STOCK_BANDS:
+        factor = factor.when(share < end, base + spread * ((share - start) / (end - start)))
+        start = end
     return F.greatest(F.lit(MIN_STOCK), F.rint(rop * factor).cast("bigint"))
 
 
