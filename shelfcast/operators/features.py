@@ -121,8 +121,14 @@ def _tail(units: Column, width: int) -> Column:
     return F.slice(units, F.greatest(size - width + 1, F.lit(1)), F.lit(width))
 
 
-def _add(values: Column, power: int = 1) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, v: a + (v * v if power == 2 else v))
+def _add(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+
+def _deviation(values: Column, mean: Column) -> Column:
+    """Population standard deviation around a known mean, safe for any real values."""
+    n = F.size(values).cast("double")
+    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean)) / n)
 
 
 def state_features(units: Column, promos: Column, date: Column, price: Column) -> dict[str, Column]:
@@ -146,9 +152,9 @@ def state_features(units: Column, promos: Column, date: Column, price: Column) -
     }
     for width in WINDOWS:
         tail = _tail(units, width)
-        n = F.size(tail).cast("double")
-        values[f"rolling_mean_{width}"] = _add(tail) / n
-        values[f"rolling_std_{width}"] = spread(n, _add(tail), _add(tail, 2), sample=False)
+        mean = _add(tail) / F.size(tail).cast("double")
+        values[f"rolling_mean_{width}"] = mean
+        values[f"rolling_std_{width}"] = _deviation(tail, mean)
     return {name: values[name].cast("double") for name in FEATURES}
 
 

@@ -110,11 +110,15 @@ def as_arrays(forecast: DataFrame) -> DataFrame:
 
 
 def demand_summary(forecast: DataFrame) -> DataFrame:
-    """Mean, population deviation and total per product, also over the first 30 days."""
+    """Mean, population deviation and total per product, also over the first 30 days.
+
+    Mean and deviation are rounded to 10 digits, which hides the order in which
+    partial sums were added.
+    """
     units, first = F.col("predicted_units"), F.when(F.col("step") <= 30, F.col("predicted_units"))
     return forecast.groupBy("product_id").agg(
-        F.avg(units).alias("avg_daily"),
-        F.stddev_pop(units).alias("forecast_std"),
+        F.round(F.avg(units), 10).alias("avg_daily"),
+        F.round(F.stddev_pop(units), 10).alias("forecast_std"),
         F.sum(units).alias("forecast_total"),
         F.sum(first).cast("bigint").alias("month_total"),
         F.avg(first).alias("month_avg"))

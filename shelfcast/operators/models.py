@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import (GBTRegressor, LinearRegression, LinearRegressionModel,
+                                   RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.operators.features import FEATURES
@@ -40,7 +42,7 @@ def regressor(model: str, **overrides):
     return estimator(**common, **{**values, **overrides})
 
 
-def fit(model: str, train: DataFrame, **overrides) -> PipelineModel:
+def fit(model: str, train: DataFrame, **overrides) -> PipelineModel | FourierRegression:
     """Assemble the features and fit. The training rows are read once per tree level,
     so they are kept while fitting and released after."""
     if model == "Support Vector (RBF)":
@@ -52,38 +54,43 @@ def fit(model: str, train: DataFrame, **overrides) -> PipelineModel:
         rows.unpersist()
 
 
-def fit_rbf(train: DataFrame, components: int = FOURIER_FEATURES, **overrides) -> PipelineModel:
+class FourierRegression:
+    """A fitted line on random Fourier features; scores like any fitted pipeline."""
+
+    def __init__(self, weights: np.ndarray, offsets: np.ndarray, line: LinearRegressionModel):
+        self.weights, self.offsets, self.line = weights, offsets, line
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.line.transform(rows.withColumn("features", fourier(self.weights, self.offsets))).drop("features")
+
+
+def fourier(weights: np.ndarray, offsets: np.ndarray) -> Column:
+    """cos(weights . x + offsets) of the model inputs as a vector, in Arrow batches."""
+    @F.pandas_udf("array<double>")
+    def project(batch: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(np.cos(batch.to_numpy(float) @ weights.T + offsets)))
+
+    return array_to_vector(project(F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURES])))
+
+
+def fit_rbf(train: DataFrame, components: int = FOURIER_FEATURES, **overrides) -> FourierRegression:
     """Robust linear regression on random Fourier features of an RBF kernel.
 
-    The kernel width is 1 / (inputs * variance over all inputs), as for an
-    unscaled kernel machine. The projection is a plain SQL stage, so the fitted
-    pipeline saves and loads like any other.
+    The kernel width is 1 / (inputs * variance over all inputs), as for a kernel
+    machine on unscaled inputs.
     """
-    rows = train.select(*FEATURES, LABEL).persist()
+    cells = F.array(*[F.col(c).cast("double") for c in FEATURES])
+    variance = train.select(F.explode(cells).alias("v")).agg(F.var_pop("v")).first()[0]
+    rng = np.random.default_rng(SEED)
+    weights = rng.normal(0.0, np.sqrt(2.0 / (len(FEATURES) * variance)), (components, len(FEATURES)))
+    offsets = rng.uniform(0.0, 2 * np.pi, components)
+    settings = {**dict(loss="huber", maxIter=20), **overrides}
+    rows = train.select(fourier(weights, offsets).alias("features"), LABEL).persist()
     try:
-        sums = rows.agg(
-            F.count("*").alias("n"),
-            F.sum(sum(F.col(c).cast("double") for c in FEATURES)).alias("s"),
-            F.sum(sum(F.col(c).cast("double") ** 2 for c in FEATURES)).alias("q")).first()
-        cells = sums["n"] * len(FEATURES)
-        variance = sums["q"] / cells - (sums["s"] / cells) ** 2
-        width = np.sqrt(2.0 / (len(FEATURES) * variance))
-        rng = np.random.default_rng(SEED)
-        weights = rng.normal(0.0, width, (components, len(FEATURES)))
-        offsets = rng.uniform(0.0, 2 * np.pi, components)
-        names = [f"rff_{k}" for k in range(components)]
-        terms = ", ".join(
-            "cos({b!r}D + {dot}) AS {name}".format(
-                b=float(b), name=name,
-                dot=" + ".join(f"{float(w)!r}D * {c}" for w, c in zip(row, FEATURES)))
-            for name, row, b in zip(names, weights, offsets))
-        project = SQLTransformer(statement=f"SELECT *, {terms} FROM __THIS__")
-        line = LinearRegression(featuresCol="features", labelCol=LABEL,
-                                **{**dict(loss="huber", maxIter=50), **overrides})
-        assemble = VectorAssembler(inputCols=names, outputCol="features")
-        return Pipeline(stages=[project, assemble, line]).fit(rows)
+        line = LinearRegression(featuresCol="features", labelCol=LABEL, **settings).fit(rows)
     finally:
         rows.unpersist()
+    return FourierRegression(weights, offsets, line)
 
 
 def predict(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ per pair and day, and a task holds two blocks of vectors.
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -85,7 +87,7 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
 
 
 def _correlate(best: int | None, min_similarity: float | None, digits: int | None):
-    def block_pair(key, group: pd.DataFrame) -> pd.DataFrame:
+    def block_pair(key: tuple[Any, ...], group: pd.DataFrame) -> pd.DataFrame:
         low, high = key
         group = group.sort_values("product_id")
         left, right = group[group["block"] == low], group[group["block"] == high]

@@ -27,9 +27,15 @@ def product_terms(products: DataFrame) -> DataFrame:
         F.lower("product_id"), F.lower("product_name"))).alias("term")).where(F.col("term") != "")
 
 
+def _exploded(rows: DataFrame, value: Column, width: Column) -> DataFrame:
+    """One row per distinct gram of the value beside the first column."""
+    sized = rows.select(rows.columns[0], value.alias("_value"), width.alias("_width"))
+    return sized.select(rows.columns[0], F.explode(_grams(F.col("_value"), F.col("_width"))).alias("gram"))
+
+
 def _anchors(terms: DataFrame, width: Column) -> DataFrame:
     """For every term its gram that the fewest terms share."""
-    grams = terms.select("term", F.explode(_grams(F.col("term"), width)).alias("gram")).distinct()
+    grams = _exploded(terms.select("term"), F.col("term"), width).distinct()
     shared = grams.groupBy("gram").agg(F.count("*").alias("shared"))
     return (grams.join(shared, "gram").groupBy("term")
             .agg(F.min_by("gram", F.struct("shared", "gram")).alias("gram")))
@@ -46,8 +52,7 @@ def named_products(questions: DataFrame, products: DataFrame) -> DataFrame:
     terms = product_terms(products)
     width = terms.agg(F.coalesce(F.min(F.length("term")), F.lit(1)).alias("w")).scalar()
     anchors = terms.join(_anchors(terms, width), "term")
-    grams = questions.select("question_id", F.explode(
-        _grams(words.clean(F.col("text")), width)).alias("gram"))
+    grams = _exploded(questions.select("question_id", "text"), words.clean(F.col("text")), width)
     met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name")
     texts = questions.select("question_id", words.clean(F.col("text")).alias("clean_text"))
     sure = met.join(texts, "question_id").where(F.contains("clean_text", F.col("term")))
