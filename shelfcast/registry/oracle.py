@@ -1,8 +1,8 @@
 """DuckDB SQL for every query that SQL can express, over the same tables.
 
 The statements share one list of common table expressions; DuckDB drops those a
-statement does not use. Rounding goes through DECIMAL so that both engines round
-the decimal value half up.
+statement does not use. Rounding goes through the shortest decimal text, as it
+does in Spark, so that both engines round the same value half up.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from shelfcast.plans.portfolio import DISPLAY
 from shelfcast.registry import queries as q
 from shelfcast.registry.data import MODEL_SPELLINGS, PART_TYPES, QUESTION_TEMPLATES
 
-WIDE = "DECIMAL(38,12)"
+WIDE = "DECIMAL(38,18)"
 
 
-def r(expr: str, digits: int = 6, wide: str = WIDE) -> str:
-    return f"CAST(round(CAST({expr} AS {wide}), {digits}) AS DOUBLE)"
+def r(expr: str, digits: int = 6) -> str:
+    return f"CAST(round(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS {WIDE}), {digits}) AS DOUBLE)"
 
 
 def text(value: str) -> str:
@@ -388,7 +388,7 @@ gaps AS (SELECT a.*, CASE WHEN average > 0 THEN {r('CAST(our_price AS DOUBLE) /
                 {r('(CAST(our_price AS DOUBLE) - CAST(average AS DOUBLE)) * 100 / CAST(average AS DOUBLE)', 2)} AS gap,
                 coalesce(e, -1.5::DOUBLE) AS ped
          FROM averaged a LEFT JOIN elasticity USING (category)),
-impacts AS (SELECT *, {r('-gap * abs(ped)', 1, 'DECIMAL(38,18)')} AS impact,
+impacts AS (SELECT *, {r('-gap * abs(ped)', 1)} AS impact,
                    CASE WHEN {gap} > 6 THEN 'CRITICAL_UNDERPRICING_THREAT' WHEN {gap} < -6 THEN 'MARGIN_EXPANSION_OPPORTUNITY'
                         WHEN {gap} IS NOT NULL THEN 'MARKET_PARITY' END AS level FROM gaps),
 threats AS (SELECT *, CASE level {badges} END AS threat_badge, CASE level {texts} END AS recommendation FROM impacts)"""
@@ -710,7 +710,7 @@ dossiers AS (SELECT product_id, upper(brand) AS brand, upper(product_name) AS pr
                     smoothing(GRID))
     o["MDL8"] = sql(f"SELECT product_id, step, {iso('forecast_date')}, predicted_units FROM {seasonal_naive('panel', '30')}")
     o["FC1"] = sql(f"SELECT product_id, step, CAST(CAST(last_date + step AS DATE) AS VARCHAR) AS forecast_date, "
-                   f"{r('units[len(units)]', 4)} AS predicted_units FROM state WHERE step > 0", RECURSIVE_LINEAR)
+                   f"{r('units[len(units)]')} AS predicted_units FROM state WHERE step > 0", RECURSIVE_LINEAR)
     o["FC2"] = sql(f"SELECT product_id, step, {iso('forecast_date')}, predicted_units FROM {naive('panel', '30')}")
     value = "greatest((level + step * trend) * season[len(ys) - 6 + (step - 1) % 7], 0)"
     sets = ", ".join(f"(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE))" for a, b, c in q.HW_SETS)

@@ -656,7 +656,7 @@ def sequence_model(d: Data):
 
 @query("FC1")
 def recursive_linear(d: Data):
-    return rounded(fc.with_linear(d.panel, WEIGHTS, INTERCEPT, 14), 4)
+    return rounded(fc.with_linear(d.panel, WEIGHTS, INTERCEPT, 14))
 
 
 @query("FC1_MODEL")
