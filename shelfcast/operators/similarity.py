@@ -1,9 +1,10 @@
 """Similarity of products by their daily sales pattern.
 
-Every product becomes one row with a centred vector over the calendar. Products
-are hashed into blocks; a task multiplies the vectors of one pair of blocks.
-The shuffle carries each vector once per block (P * blocks rows), never one row
-per pair and day, and a task holds two blocks of vectors.
+Every product becomes one row with its sold days and values relative to its
+filled cells, so that a missing cell is zero and needs no storage. Products are
+hashed into blocks; a task multiplies the vectors of one pair of blocks. The
+shuffle carries each vector once per block (P * blocks rows), never one row per
+pair and day, and a task holds two blocks of vectors.
 """
 
 from __future__ import annotations
@@ -29,22 +30,20 @@ def cell_means(sales: DataFrame) -> DataFrame:
         (F.sum(F.col("units_sold").cast("double")) / F.count("units_sold")).alias("units"))
 
 
-def series(sales: DataFrame) -> DataFrame:
-    """One row per product: its cells as a map from date to units, and their mean."""
-    return cell_means(sales).groupBy("product_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("date", "units"))).alias("cells"),
-        (F.sum("units") / F.count("units")).alias("mean_units"))
-
-
 def filled_cells(sales: DataFrame) -> DataFrame:
     """Every (date, product) cell, a missing one filled with the product's mean.
 
-    Each product row expands over the scalar list of days, so no cross join and
-    no second shuffle is needed.
+    Empty cells join the real ones ahead of the cell aggregation, so the gaps
+    cost no join.
     """
-    cells = series(sales).withColumn("date", F.explode(sold_days(sales).scalar()))
-    return cells.select("product_id", "date", F.coalesce(
-        F.try_element_at("cells", F.col("date")), F.col("mean_units")).alias("units"))
+    units = sales.select("product_id", "date", F.col("units_sold").cast("double").alias("units"))
+    gaps = sales.select("product_id").distinct().select(
+        "product_id", F.explode(sold_days(sales).scalar()).alias("date"), F.lit(None).cast("double").alias("units"))
+    cells = units.unionByName(gaps).groupBy("product_id", "date").agg(
+        F.try_divide(F.sum("units"), F.count("units")).alias("units"))
+    known = Window.partitionBy("product_id")
+    mean = F.sum("units").over(known) / F.count("units").over(known)
+    return cells.select("product_id", "date", F.coalesce("units", mean).alias("units"))
 
 
 def sales_pivot(sales: DataFrame, product_ids: list[str]) -> DataFrame:
@@ -53,22 +52,40 @@ def sales_pivot(sales: DataFrame, product_ids: list[str]) -> DataFrame:
             .groupBy("date").pivot("product_id", product_ids).agg(F.first("units")))
 
 
-def average_ranks(cells: DataFrame) -> DataFrame:
-    """Rank of each value within its product, ties sharing their average rank."""
-    ordered = Window.partitionBy("product_id").orderBy("units")
-    tied = Window.partitionBy("product_id", "units")
-    return cells.select(
-        "product_id", "date",
-        (F.rank().over(ordered) + (F.count("*").over(tied) - 1) / 2).alias("units"))
+def centred(cells: DataFrame) -> DataFrame:
+    """Cells relative to the product's mean: a cell filled with the mean is zero."""
+    known = Window.partitionBy("product_id")
+    mean = F.sum("units").over(known) / F.count("units").over(known)
+    return cells.select("product_id", "date", (F.col("units") - mean).alias("value"))
+
 
+def centred_ranks(cells: DataFrame, days: Column) -> DataFrame:
+    """Average ranks over all ``days`` relative to the rank of the filled cells.
 
-def _vectors(cells: DataFrame) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct("date", "units")))
-    grouped = cells.groupBy("product_id").agg(
-        rows.alias("rows"), F.stddev_pop("units").alias("spread"))
-    # A product without variance has no correlation.
-    return grouped.where((F.col("spread") > 0)).select(
-        "product_id", F.transform("rows", lambda r: r["units"]).alias("vector"))
+    The missing cells of a product all tie at its mean; their ranks follow from
+    counts, so they are never built.
+    """
+    product = Window.partitionBy("product_id")
+    n, mean = F.count("units").over(product), F.sum("units").over(product) / F.count("units").over(product)
+    counted = cells.select(
+        "product_id", "date", "units", mean.alias("mean"), (days - n).alias("missing"),
+        F.rank().over(product.orderBy("units")).alias("position"),
+        F.count("*").over(Window.partitionBy("product_id", "units")).alias("tied"))
+    below = F.sum((F.col("units") < F.col("mean")).cast("int")).over(product)
+    same = F.sum((F.col("units") == F.col("mean")).cast("int")).over(product)
+    rank = F.col("position") + (F.col("tied") - 1) / 2 + (
+        F.when(F.col("units") > F.col("mean"), F.col("missing"))
+        .when(F.col("units") == F.col("mean"), F.col("missing") / 2).otherwise(0))
+    filled = below + (same + F.col("missing") + 1) / 2
+    return counted.select("product_id", "date", (rank - filled).alias("value"))
+
+
+def _vectors(values: DataFrame) -> DataFrame:
+    """One row per product: day numbers and values, at most a calendar long."""
+    day = F.unix_date("date")
+    return values.groupBy("product_id").agg(
+        F.collect_list(F.struct(day.alias("day"), "value")).alias("rows")).select(
+        "product_id", F.col("rows.day").alias("day"), F.col("rows.value").alias("value"))
 
 
 def _block_pairs(vectors: DataFrame, blocks: int) -> DataFrame:
@@ -77,13 +94,25 @@ def _block_pairs(vectors: DataFrame, blocks: int) -> DataFrame:
     partner = with_block.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     return partner.select(
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "product_id", "vector")
+        "block", "product_id", "day", "value", "days")
+
+
+def _dense(rows: pd.DataFrame, axis: np.ndarray) -> np.ndarray:
+    matrix = np.zeros((len(rows), len(axis)))
+    for i, (day, value) in enumerate(zip(rows["day"], rows["value"])):
+        matrix[i, np.searchsorted(axis, day)] = value
+    return matrix
 
 
-def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    matrix = np.vstack(vectors.to_numpy())
-    matrix = matrix - matrix.mean(axis=1, keepdims=True)
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+def _correlation(left: pd.DataFrame, right: pd.DataFrame, days: int) -> np.ndarray:
+    """Correlation over ``days`` days where a day without a value counts as zero."""
+    axis = np.unique(np.concatenate([*left["day"], *right["day"]]))
+    x, y = _dense(left, axis), _dense(right, axis)
+    sx, sy = x.sum(axis=1), y.sum(axis=1)
+    vx, vy = (x * x).sum(axis=1) - sx * sx / days, (y * y).sum(axis=1) - sy * sy / days
+    # A product without variance has no correlation; rounding noise does not count as variance.
+    vx[vx <= 1e-9], vy[vy <= 1e-9] = np.nan, np.nan
+    return (x @ y.T - np.outer(sx, sy) / days) / np.sqrt(np.outer(vx, vy))
 
 
 def _correlate(best: int | None, min_similarity: float | None, digits: int | None):
@@ -95,9 +124,12 @@ def _correlate(best: int | None, min_similarity: float | None, digits: int | Non
             {"product_a": object, "product_b": object, "similarity": float})
         if left.empty or right.empty:
             return empty
-        score = _unit_rows(left["vector"]) @ _unit_rows(right["vector"]).T
+        score = _correlation(left, right, int(group["days"].iloc[0]))
         a, b = left["product_id"].to_numpy(), right["product_id"].to_numpy()
-        i, j = np.nonzero(a[:, None] < b[None, :]) if low == high else np.indices(score.shape).reshape(2, -1)
+        chosen = ~np.isnan(score)
+        if low == high:
+            chosen &= a[:, None] < b[None, :]
+        i, j = np.nonzero(chosen)
         first, second = a[i], b[j]
         swap = first > second
         pairs = pd.DataFrame({"product_a": np.where(swap, second, first),
@@ -122,11 +154,11 @@ def product_pairs(sales: DataFrame, products: int, method: str = "pearson", best
     With ``best`` each block pair keeps its own best rows, which contain the
     overall best, so a top-N never materialises all pairs.
     """
-    cells = filled_cells(sales)
-    if method == "spearman":
-        cells = average_ranks(cells)
+    days = sold_days(sales).select(F.size("days")).scalar()
+    cells = cell_means(sales)
+    values = centred_ranks(cells, days) if method == "spearman" else centred(cells)
     blocks = max(1, -(-products // BLOCK_SIZE))
-    grouped = _block_pairs(_vectors(cells), blocks).groupBy("low", "high")
+    grouped = _block_pairs(_vectors(values).withColumn("days", days), blocks).groupBy("low", "high")
     return grouped.applyInPandas(_correlate(best, min_similarity, digits), PAIR_SCHEMA)
 
 

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions import policy, text as words
-from shelfcast.operators.history import mean_demand, product_attributes, recent_demand
+from shelfcast.operators.history import mean_demand, product_attributes, product_profile
 
 SERVICE_LEVEL = 95
 DEFAULT_STOCK = 60
 
 
 def _grams(value: Column, width: Column) -> Column:
-    """All distinct substrings of one width; none when the text is shorter."""
-    count = F.length(value) - width + 1
-    starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(value, i, width)))
+    """All substrings of one width, overlapping; none when the text is shorter.
+
+    A lookahead finds them in one pass, so the cost grows with the text length.
+    """
+    return F.regexp_extract_all(value, F.concat(F.lit("(?s)(?=(.{"), width.cast("string"), F.lit("}))")), F.lit(1))
 
 
 def product_terms(products: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def product_terms(products: DataFrame) -> DataFrame:
 
 
 def _exploded(rows: DataFrame, value: Column, width: Column) -> DataFrame:
-    """One row per distinct gram of the value beside the first column."""
+    """One row per gram of the value beside the first column."""
     sized = rows.select(rows.columns[0], value.alias("_value"), width.alias("_width"))
     return sized.select(rows.columns[0], F.explode(_grams(F.col("_value"), F.col("_width"))).alias("gram"))
 
@@ -53,7 +54,7 @@ def named_products(questions: DataFrame, products: DataFrame) -> DataFrame:
     width = terms.agg(F.coalesce(F.min(F.length("term")), F.lit(1)).alias("w")).scalar()
     anchors = terms.join(_anchors(terms, width), "term")
     grams = _exploded(questions.select("question_id", "text"), words.clean(F.col("text")), width)
-    met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name")
+    met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name").distinct()
     texts = questions.select("question_id", words.clean(F.col("text")).alias("clean_text"))
     sure = met.join(texts, "question_id").where(F.contains("clean_text", F.col("term")))
     best = F.struct(-F.length("product_name"), F.col("product_id"))
@@ -66,9 +67,10 @@ def context_product(questions: DataFrame, products: DataFrame, matches: DataFram
     selected = products.groupBy(F.lower("product_name").alias("selected_key")).agg(
         F.min("product_id").alias("selected_id"))
     refers = words.contains_any(words.clean(F.col("text")), words.CONTEXT_WORDS)
-    asked = (questions.join(matches, "question_id", "left")
-             .withColumn("selected_key", F.when(
-                 F.col("matched_product").isNull() & refers, F.lower("selected_product"))))
+    # A row that needs no lookup gets a key of its own, so that such rows spread evenly.
+    wanted = F.when(F.col("matched_product").isNull() & refers, F.lower("selected_product"))
+    asked = questions.join(matches, "question_id", "left").withColumn(
+        "selected_key", F.coalesce(wanted, F.concat(F.lit("\n"), "question_id")))
     return (asked.join(selected, "selected_key", "left")
             .withColumn("product_id", F.coalesce("matched_product", "selected_id"))
             .drop("selected_key", "selected_id", "matched_product"))
@@ -91,7 +93,7 @@ def route_questions(questions: DataFrame, products: DataFrame) -> DataFrame:
 def restock_alerts(recent: DataFrame, selected_product: str | None = None, current_stock: int = DEFAULT_STOCK,
                    limit: int | None = 10) -> DataFrame:
     """Products whose stock is below the reorder point of their last 14 days."""
-    demand = product_attributes(recent).join(recent_demand(recent, 14), "product_id")
+    demand = product_profile(recent, 14)
     stock = F.lit(DEFAULT_STOCK)
     if selected_product:
         stock = F.when(F.lower("product_name") == selected_product.lower(), current_stock).otherwise(stock)
@@ -106,7 +108,7 @@ def restock_alerts(recent: DataFrame, selected_product: str | None = None, curre
 
 def dossiers(sales: DataFrame, current_stock: int = DEFAULT_STOCK) -> DataFrame:
     """Policy figures of every product from its last 30 days and its first price."""
-    base = product_attributes(sales).join(recent_demand(sales, 30), "product_id")
+    base = product_profile(sales, 30)
     price = policy.normalize_price(F.col("first_price"))
     avg, sigma, lead = F.col("avg_daily"), F.col("sigma"), F.col("lead_time_days")
     eoq = policy.economic_order_quantity(avg * policy.DAYS_PER_YEAR, policy.ORDERING_COST, price * policy.HOLDING_SHARE)

@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfcast.session import materialize
 from shelfcast.sources import retail
 
 # Spellings a caller may use for a model; the order number picks one.
@@ -60,6 +61,15 @@ class Data:
     def panel(self) -> DataFrame:
         return retail.daily_panel(self.lineitem, self.part)
 
+    @cached_property
+    def stored_sales(self) -> DataFrame:
+        """The sparse daily sales as a table, for plans that use them in several branches."""
+        return materialize(self.sales, "daily-sales")
+
+    @cached_property
+    def stored_panel(self) -> DataFrame:
+        return materialize(self.panel, "daily-panel")
+
     def recent(self, days: int) -> DataFrame:
         return retail.recent_panel(self.lineitem, self.part, days)
 

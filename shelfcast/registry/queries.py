@@ -94,7 +94,7 @@ def new_products(d: Data):
 def stored_table(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    store.seed_products(d.sales)
+    store.seed_products(d.stored_sales)
     return store.read("products")
 
 
@@ -109,7 +109,7 @@ def written_sales(d: Data):
 @query("SNK2")
 def exported_portfolio(d: Data):
     path = new_folder(d.spark, "export")
-    view = portfolio.export_view(portfolio.optimize_portfolio(d.panel, fc.seasonal_naive(d.panel, HORIZON), HORIZON))
+    view = portfolio.export_view(portfolio.optimize_portfolio(d.stored_panel, fc.seasonal_naive(d.stored_panel, HORIZON), HORIZON))
     files.write_csv(view, path)
     return d.spark.read.schema(view.schema).csv(path, header=True, escape='"')
 
@@ -132,7 +132,7 @@ def metrics_report(d: Data):
 def result_tables(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    store.seed_products(d.sales)
+    store.seed_products(d.stored_sales)
     store.create()
     counts = [store.read(t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n")
               for t in STORED_TABLES]
@@ -146,9 +146,9 @@ def result_tables(d: Data):
 def seeded_products(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    early = d.sales.where(F.col("date") < F.lit("1995-01-05"))
+    early = d.stored_sales.where(F.col("date") < F.lit("1995-01-05"))
     store.seed_products(early.withColumn("product_name", F.upper("product_name")))
-    store.seed_products(d.sales.unionByName(d.sales))
+    store.seed_products(d.stored_sales.unionByName(d.stored_sales))
     return store.read("products")
 
 
@@ -156,8 +156,8 @@ def seeded_products(d: Data):
 def seeded_sales(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    store.seed_sales(d.sales.where(F.col("date") < F.lit("1998-01-01")).withColumn("units_sold", F.lit(0)))
-    store.seed_sales(d.sales.unionByName(d.sales.withColumn("unit_price", F.col("unit_price") + 1)))
+    store.seed_sales(d.stored_sales.where(F.col("date") < F.lit("1998-01-01")).withColumn("units_sold", F.lit(0)))
+    store.seed_sales(d.stored_sales.unionByName(d.stored_sales.withColumn("unit_price", F.col("unit_price") + 1)))
     return store.read("sales")
 
 
@@ -173,14 +173,14 @@ def stored_forecasts(d: Data):
 def stored_optimization(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    rows = portfolio.optimize_fixed_stock(d.panel, fc.seasonal_naive(d.panel, 14), 14, with_series=False)
+    rows = portfolio.optimize_fixed_stock(d.stored_panel, fc.seasonal_naive(d.stored_panel, 14), 14, with_series=False)
     store.save_optimization(rows, "Seasonal Naive")
     return store.read("inventory_optimization").drop("created_at")
 
 
 @query("SNK9")
 def saved_model(d: Data):
-    train, test = feat.split_at(feat.feature_table(d.sales), SPLIT)
+    train, test = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
     path = new_folder(d.spark, "model")
     models.save(models.fit("Linear Regression", train), path)
     return rounded(models.predict(models.load(path), test), 3)
@@ -214,7 +214,7 @@ def normalized_prices(d: Data):
 
 @query("PRJ5")
 def display_view(d: Data):
-    return portfolio.export_view(portfolio.optimize_portfolio(d.panel, fc.naive(d.panel, HORIZON), HORIZON))
+    return portfolio.export_view(portfolio.optimize_portfolio(d.stored_panel, fc.naive(d.stored_panel, HORIZON), HORIZON))
 
 
 def with_nulls(d: Data) -> DataFrame:
@@ -257,7 +257,7 @@ def unknown_products(d: Data):
 
 
 def seasonal_portfolio(d: Data, **options) -> DataFrame:
-    return portfolio.optimize_portfolio(d.panel, fc.seasonal_naive(d.panel, HORIZON), HORIZON, **options)
+    return portfolio.optimize_portfolio(d.stored_panel, fc.seasonal_naive(d.stored_panel, HORIZON), HORIZON, **options)
 
 
 @query("FLT6")
@@ -273,7 +273,7 @@ def risk_map(d: Data):
 
 @query("FLT8")
 def similar_pairs(d: Data):
-    pairs = similarity.product_pairs(d.sales, d.product_count, digits=3)
+    pairs = similarity.product_pairs(d.stored_sales, d.product_count, digits=3)
     return bundles.at_least_similar(pairs, 0.02)
 
 
@@ -293,22 +293,22 @@ def product_days(d: Data):
 
 @query("JN2")
 def unordered_pairs(d: Data):
-    return similarity.product_pairs(d.sales, d.product_count).select("product_a", "product_b")
+    return similarity.product_pairs(d.stored_sales, d.product_count).select("product_a", "product_b")
 
 
 @query("JN3")
 def named_pairs(d: Data):
-    pairs = similarity.product_pairs(d.sales, d.product_count).select("product_a", "product_b")
+    pairs = similarity.product_pairs(d.stored_sales, d.product_count).select("product_a", "product_b")
     return bundles.with_names(pairs, d.catalog)
 
 
 def all_pairs(d: Data) -> DataFrame:
-    return similarity.product_pairs(d.sales, d.product_count, digits=3)
+    return similarity.product_pairs(d.stored_sales, d.product_count, digits=3)
 
 
 @query("JN4")
 def pair_averages(d: Data):
-    known = d.sales.where(F.col("category") != "SMALL")
+    known = d.stored_sales.where(F.col("category") != "SMALL")
     return bundles.with_sales_impact(all_pairs(d).drop("similarity"), known)
 
 
@@ -330,7 +330,7 @@ def mentioned_products(d: Data):
 
 @query("JN8")
 def new_keys_only(d: Data):
-    rows = d.sales.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    rows = d.stored_sales.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
     stored = rows.where(F.col("on_promo") == 1)
     return new_rows(rows, stored, "sales", ["unit_price", "units_sold"])
 
@@ -338,15 +338,15 @@ def new_keys_only(d: Data):
 @query("JN9")
 def error_rows(d: Data):
     last_week = F.date_sub(d.lineitem.agg(F.to_date(F.max("l_shipdate"))).scalar(), 7)
-    sold_lately = d.sales.where(F.col("date") > last_week)
-    rows = portfolio.optimize_portfolio(d.sales, fc.naive(sold_lately, HORIZON), HORIZON)
+    sold_lately = d.stored_sales.where(F.col("date") > last_week)
+    rows = portfolio.optimize_portfolio(d.stored_sales, fc.naive(sold_lately, HORIZON), HORIZON)
     return rows.select("product_id", "current_stock", "avg_daily_demand", "forecast_total", "reorder_point",
                        "action", "risk_level", "lead_time_days", "unit_price", "needs_restock", "status")
 
 
 @query("JN10")
 def filled_cells(d: Data):
-    return rounded(similarity.filled_cells(d.sales))
+    return rounded(similarity.filled_cells(d.stored_sales))
 
 
 # ---- aggregations
@@ -369,7 +369,7 @@ def mean_units(d: Data):
 
 @query("AGG4")
 def wide_pivot(d: Data):
-    return rounded(similarity.sales_pivot(d.sales, PIVOT_IDS))
+    return rounded(similarity.sales_pivot(d.stored_sales, PIVOT_IDS))
 
 
 PIVOT_IDS = ["Brand#17-ECONOMY", "Brand#11-MEDIUM", "Brand#1-LARGE"]
@@ -408,18 +408,18 @@ def first_last(d: Data):
 
 @query("AGG11")
 def pearson(d: Data):
-    return rounded(similarity.product_pairs(d.sales, d.product_count), 4)
+    return rounded(similarity.product_pairs(d.stored_sales, d.product_count), 4)
 
 
 @query("AGG12")
 def spearman(d: Data):
-    return rounded(similarity.product_pairs(d.sales, d.product_count, method="spearman"), 4)
+    return rounded(similarity.product_pairs(d.stored_sales, d.product_count, method="spearman"), 4)
 
 
 @query("AGG13")
 def full_matrix(d: Data):
     return rounded(similarity.similarity_matrix(
-        similarity.product_pairs(d.sales, d.product_count), d.catalog.select("product_id")), 4)
+        similarity.product_pairs(d.stored_sales, d.product_count), d.catalog.select("product_id")), 4)
 
 
 # ---- windows
@@ -476,8 +476,8 @@ def sequences(d: Data):
 
 @query("WIN9")
 def scaled(d: Data):
-    train, _ = feat.split_at(d.sales, SPLIT)
-    rows = history.unscale(history.scale(d.sales.select(*KEY, "units_sold"), history.scaler(train)))
+    train, _ = feat.split_at(d.stored_sales, SPLIT)
+    rows = history.unscale(history.scale(d.stored_sales.select(*KEY, "units_sold"), history.scaler(train)))
     return rounded(rows)
 
 
@@ -535,7 +535,7 @@ def seeded_sample(d: Data):
 
 @query("SET1")
 def history_and_forecast(d: Data):
-    return fc.append_to_history(d.sales, fc.naive(d.sales, 14))
+    return fc.append_to_history(d.stored_sales, fc.naive(d.stored_sales, 14))
 
 
 @query("SET2")
@@ -623,7 +623,7 @@ def metrics_entries(d: Data):
 # ---- models and forecasts
 
 def fitted(d: Data, model: str):
-    train, test = feat.split_at(feat.feature_table(d.sales), SPLIT)
+    train, test = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
     return models.fit(model, train, **TREES[model]), train, test
 
 
@@ -650,8 +650,8 @@ def seasonal_naive(d: Data):
 
 @query("MDL9")
 def sequence_model(d: Data):
-    train, _ = feat.split_at(d.panel, SPLIT)
-    return evaluate.errors(sequence.one_step(d.panel, sequence.fit(train), SPLIT), "product_id")
+    train, _ = feat.split_at(d.stored_panel, SPLIT)
+    return evaluate.errors(sequence.one_step(d.stored_panel, sequence.fit(train), SPLIT), "product_id")
 
 
 @query("FC1")
@@ -677,17 +677,17 @@ def seasonal_forecast(d: Data):
 
 @query("FC4")
 def sequence_forecast(d: Data):
-    return rounded(sequence.forecast(d.panel, sequence.fit(d.panel), 14), 3)
+    return rounded(sequence.forecast(d.stored_panel, sequence.fit(d.stored_panel), 14), 3)
 
 
 def forecast_for(d: Data, model: str, horizon: int) -> DataFrame:
     """The forecast behind a resolved model name."""
     if model == "Seasonal Baseline (Holt-Winters)":
-        return seasonal.forecast_or_naive(d.panel, horizon)
+        return seasonal.forecast_or_naive(d.stored_panel, horizon)
     if model == "LSTM (PyTorch)":
-        return sequence.forecast(d.panel, sequence.fit(d.panel), horizon)
+        return sequence.forecast(d.stored_panel, sequence.fit(d.stored_panel), horizon)
     pipeline, _, _ = fitted(d, model)
-    return fc.with_model(d.panel, pipeline, horizon)
+    return fc.with_model(d.stored_panel, pipeline, horizon)
 
 
 @query("FC5")
@@ -710,7 +710,7 @@ def requested_forecasts(d: Data):
 
 def hold_out(d: Data) -> DataFrame:
     """Naive and seasonal-naive forecasts of the hold-out next to the actual units."""
-    train, test = feat.split_at(d.panel, SPLIT)
+    train, test = feat.split_at(d.stored_panel, SPLIT)
     horizon = d.lineitem.agg(F.datediff(F.max("l_shipdate"), F.lit(SPLIT).cast("date"))).first()[0] + 1
     both = (fc.naive(train, horizon).withColumn("model", F.lit("Naive"))
             .unionByName(fc.seasonal_naive(train, horizon).withColumn("model", F.lit("Seasonal Naive"))))
@@ -739,7 +739,7 @@ def ranked_models(d: Data):
 
 @query("EVL5")
 def boosting_rounds(d: Data):
-    train, _ = feat.split_at(feat.feature_table(d.sales), SPLIT)
+    train, _ = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
     tail = evaluate.ordered_tail(train, 200)
     pipeline = models.fit("Gradient Boosting", evaluate.before_tail(train, tail), **TREES["Gradient Boosting"])
     rows = pipeline.stages[0].transform(tail)
@@ -753,18 +753,18 @@ def precision(d: Data):
 
 @query("EVL7")
 def leaderboard(d: Data):
-    train, test = feat.split_at(d.panel, SPLIT)
+    train, test = feat.split_at(d.stored_panel, SPLIT)
     early, late = feat.split_at(train, "2000-07-01")
     horizon = 184
     val = (fc.naive(early, horizon).withColumn("model", F.lit("Naive"))
            .unionByName(fc.seasonal_naive(early, horizon).withColumn("model", F.lit("Seasonal Naive"))))
     return evaluate.leaderboard(
         evaluate.errors(evaluate.hold_out(val, late), "model"), naive_metrics(d),
-        evaluate.mean_units(late), evaluate.mean_units(d.panel), active="Naive")
+        evaluate.mean_units(late), evaluate.mean_units(d.stored_panel), active="Naive")
 
 
 def linear_parts(d: Data) -> DataFrame:
-    rows = feat.feature_table(d.sales)
+    rows = feat.feature_table(d.stored_sales)
     return explain.linear_contributions(rows, rows, WEIGHTS)
 
 
@@ -783,8 +783,8 @@ def sampled_shapley(d: Data):
 
 @query("XAI3")
 def local_explanations(d: Data):
-    train, _ = feat.split_at(feat.feature_table(d.sales), SPLIT)
-    ahead = feat.hold_last_features(d.panel, 1)
+    train, _ = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
+    ahead = feat.hold_last_features(d.stored_panel, 1)
     parts = explain.linear_contributions(ahead, train, WEIGHTS)
     base = explain.feature_means(train, list(WEIGHTS)).select(
         fc.linear_score({c: F.col(c) for c in WEIGHTS}, WEIGHTS, INTERCEPT)).scalar()
@@ -871,7 +871,7 @@ def joined_series(rows: DataFrame) -> DataFrame:
 
 @query("INV9")
 def single_summary(d: Data):
-    return joined_series(portfolio.summarize_product(d.panel, fc.seasonal_naive(d.panel, 14), ONE_PRODUCT, 14))
+    return joined_series(portfolio.summarize_product(d.stored_panel, fc.seasonal_naive(d.stored_panel, 14), ONE_PRODUCT, 14))
 
 
 @query("INV10")
@@ -881,13 +881,13 @@ def whole_portfolio(d: Data):
 
 @query("INV11")
 def fixed_stock(d: Data):
-    return joined_series(portfolio.optimize_fixed_stock(d.panel, fc.seasonal_naive(d.panel, 14), 14, current_stock=80))
+    return joined_series(portfolio.optimize_fixed_stock(d.stored_panel, fc.seasonal_naive(d.stored_panel, 14), 14, current_stock=80))
 
 
 @query("INV12")
 def drill_down(d: Data):
-    forecast = fc.seasonal_naive(d.panel, HORIZON)
-    return portfolio.drill_down(d.panel, forecast, seasonal_portfolio(d))
+    forecast = fc.seasonal_naive(d.stored_panel, HORIZON)
+    return portfolio.drill_down(d.stored_panel, forecast, seasonal_portfolio(d))
 
 
 # ---- pricing
@@ -931,12 +931,12 @@ def competitor_summary(d: Data):
 
 @query("REC1")
 def recommended(d: Data):
-    return bundles.recommend(d.sales, d.catalog, d.product_count)
+    return bundles.recommend(d.stored_sales, d.catalog, d.product_count)
 
 
 @query("REC2")
 def recommended_with_sales(d: Data):
-    return bundles.with_sales_impact(bundles.recommend(d.sales, d.catalog, d.product_count, top_n=20), d.sales)
+    return bundles.with_sales_impact(bundles.recommend(d.stored_sales, d.catalog, d.product_count, top_n=20), d.stored_sales)
 
 
 @query("QST1")
@@ -951,12 +951,12 @@ def dossiers(d: Data):
 
 @query("QST3")
 def leaders(d: Data):
-    return questions.demand_leaders(d.sales)
+    return questions.demand_leaders(d.stored_sales)
 
 
 @query("QST4")
 def bundle_answer(d: Data):
-    return questions.bundle_answer(bundles.recommend(d.sales, d.catalog, d.product_count))
+    return questions.bundle_answer(bundles.recommend(d.stored_sales, d.catalog, d.product_count))
 
 
 @query("QST5")

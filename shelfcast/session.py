@@ -53,6 +53,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For a result that several branches of a plan use: the input is scanned once,
+    each branch prunes its own columns, and lost executors cost no recomputation.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table or model of this run."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

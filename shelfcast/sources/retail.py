@@ -105,7 +105,8 @@ def recent_panel(lineitem: DataFrame, part: DataFrame, days: int) -> DataFrame:
     the Parquet scan and old row groups are never read.
     """
     last = lineitem.agg(F.max("l_shipdate").alias("last"))
-    start = last.select(F.date_sub(F.to_date("last"), days - 1).cast("timestamp")).scalar()
+    kind = lineitem.schema["l_shipdate"].dataType
+    start = last.select(F.date_sub(F.to_date("last"), days - 1).cast(kind)).scalar()
     window = last.select(F.sequence(F.date_sub(F.to_date("last"), days - 1), F.to_date("last")).alias("days"))
     products = catalog(part)
     empty = spine(products, window).select(
