@@ -21,8 +21,12 @@ def with_names(pairs: DataFrame, products: DataFrame) -> DataFrame:
     return pairs
 
 
+def by_similarity(pairs: DataFrame) -> DataFrame:
+    return pairs.orderBy(F.desc("similarity"), "product_a", "product_b")
+
+
 def best_pairs(pairs: DataFrame, top_n: int) -> DataFrame:
-    return pairs.orderBy(F.desc("similarity"), "product_a", "product_b").limit(top_n)
+    return by_similarity(pairs).limit(top_n)
 
 
 def at_least_similar(pairs: DataFrame, min_similarity: float) -> DataFrame:
@@ -34,7 +38,8 @@ def recommend(sales: DataFrame, products: DataFrame, product_count: int, top_n:
     """The ``top_n`` pairs by similarity rounded to 3 digits; ties in id order."""
     pairs = product_pairs(sales, product_count, best=top_n, min_similarity=min_similarity,
                           digits=SIMILARITY_DIGITS)
-    named = with_names(best_pairs(pairs, top_n), products)
+    # The joins lose the order of the few best rows.
+    named = by_similarity(with_names(best_pairs(pairs, top_n), products))
     return named.select("product_a", "product_b", "name_a", "name_b", "category_a", "category_b", "similarity")
 
 

@@ -25,7 +25,8 @@ class Store:
             self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.schema(STORED_TABLES[table] if table in STORED_TABLES else None).parquet(self.path(table))
+        path = self.path(table)
+        return self.spark.read.schema(STORED_TABLES[table]).parquet(path)
 
     def append(self, table: str, rows: DataFrame) -> None:
         schema = STORED_TABLES[table]
