@@ -69,11 +69,11 @@ def clean(text: Column) -> Column:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    """True when any word occurs anywhere, also inside another word."""
-    found = F.lit(False)
-    for word in words:
-        found = found | F.contains(text, F.lit(word))
-    return found
+    """True when any word occurs anywhere, also inside another word.
+
+    One pattern for all words, so that a long text is cleaned and read once.
+    """
+    return F.rlike(text, F.lit("|".join(words)))
 
 
 def has_whole_word(text: Column, words: list[str]) -> Column:
@@ -86,6 +86,11 @@ def is_greeting(text: Column) -> Column:
     return has_whole_word(text, GREETING_WORDS) | contains_any(text, GREETING_PHRASES)
 
 
+def is_taken_early(text: Column) -> Column:
+    """True when a rule ahead of the product rule decides a cleaned question."""
+    return (text == "") | is_greeting(text) | contains_any(text, INTENT_WORDS["restock"])
+
+
 def route(text: Column, names_product: Column) -> Column:
     """Intent of a cleaned question; the first rule that holds decides."""
     return (F.when(text == "", "empty")

@@ -127,7 +127,7 @@ def explanation(contributions: DataFrame, base: Column, names: DataFrame, top_n:
         (base + F.sum("contribution")).alias("forecast"))
     verb = F.when(F.col("direction") == "up", "pushes").otherwise("pulls")
     phrase = F.format_string("**%s** (%s) %s the forecast %.1f units", label(F.col("feature")),
-                             F.round("value", 2).cast("string"), verb, F.abs("contribution"))
+                             F.round("value", 2).cast("string"), verb, F.round(F.abs("contribution"), 1))
     ranked = drivers(contributions, top_n).withColumn("phrase", phrase)
 
     def joined(direction):
@@ -137,7 +137,7 @@ def explanation(contributions: DataFrame, base: Column, names: DataFrame, top_n:
     texts = ranked.groupBy("product_id", "date").agg(joined("up").alias("ups"), joined("down").alias("downs"))
     opening = F.format_string(
         "For **%s**, the model's next-day baseline demand is **%.1f units**. After accounting for the product's "
-        "current conditions, the forecast lands at **%.1f units**.", F.col("name"), base, F.col("forecast"))
+        "current conditions, the forecast lands at **%.1f units**.", F.col("name"), F.round(base, 1), F.round("forecast", 1))
     up = F.when(F.col("ups") != "", F.concat(F.lit("The strongest upward drivers are "), "ups", F.lit(".")))
     down = F.when(F.col("downs") != "", F.concat(F.lit("The strongest downward pressures are "), "downs", F.lit(".")))
     closing = F.concat(F.lit("Across the whole catalog, the features that generally matter most to this model are "),

@@ -81,13 +81,12 @@ def route_questions(questions: DataFrame, products: DataFrame) -> DataFrame:
 
     Only texts no earlier rule has taken are searched for product names.
     """
-    cleaned = words.clean(F.col("text"))
-    early = words.route(cleaned, F.lit(False)).isin("empty", "greeting", "restock")
-    matches = named_products(questions.where(~early), products)
-    known = context_product(questions, products, matches)
-    intent = words.route(cleaned, F.col("product_id").isNotNull())
-    return known.select("question_id", intent.alias("intent"),
-                        F.when(intent == "product", F.col("product_id")).alias("product_id"))
+    matches = named_products(questions.where(~words.is_taken_early(words.clean(F.col("text")))), products)
+    known = context_product(questions, products, matches).select(
+        "question_id", words.clean(F.col("text")).alias("clean_text"), "product_id")
+    routed = known.select("question_id", "product_id", words.route(
+        F.col("clean_text"), F.col("product_id").isNotNull()).alias("intent"))
+    return routed.withColumn("product_id", F.when(F.col("intent") == "product", F.col("product_id")))
 
 
 def restock_alerts(recent: DataFrame, selected_product: str | None = None, current_stock: int = DEFAULT_STOCK,

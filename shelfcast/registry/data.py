@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfcast.operators.features import feature_table
 from shelfcast.session import materialize
 from shelfcast.sources import retail
 
@@ -70,6 +71,11 @@ class Data:
     def stored_panel(self) -> DataFrame:
         return materialize(self.panel, "daily-panel")
 
+    @cached_property
+    def stored_features(self) -> DataFrame:
+        """The engineered table, stored once for fitting, scoring and explaining."""
+        return materialize(feature_table(self.sales), "features")
+
     def recent(self, days: int) -> DataFrame:
         return retail.recent_panel(self.lineitem, self.part, days)
 

@@ -740,6 +740,28 @@ dossiers AS (SELECT product_id, upper(brand) AS brand, upper(product_name) AS pr
          (SELECT *, CASE WHEN contribution > 0 THEN 'up' ELSE 'down' END AS direction FROM contributions WHERE contribution <> 0)) WHERE rank <= 3""",
                             FEATURE_CTES, hold_last(1), weights_of("held", "features"))
 
+    one = lambda v: f"format('{{:.1f}}', {r(v, 1)})"
+    side = lambda d: f"string_agg(phrase, ', ' ORDER BY rank) FILTER (direction = '{d}')"
+    o["XAI3"] = sql(f"""SELECT product_id, {iso('f.date')}, {r('base')} AS base, {r('forecast')} AS forecast,
+        concat_ws(' ', concat('For **', brand, ' ', product_name, '**, the model''s next-day baseline demand is **', {one('base')},
+          ' units**. After accounting for the product''s current conditions, the forecast lands at **', {one('forecast')}, ' units**.'),
+          'The strongest upward drivers are ' || ups || '.', 'The strongest downward pressures are ' || downs || '.',
+          'Across the whole catalog, the features that generally matter most to this model are ' ||
+          (SELECT string_agg(concat('**', feature, '**'), ', ' ORDER BY importance DESC, feature) FROM overall) || '.') AS text
+        FROM (SELECT product_id, date, base, base + sum(contribution) AS forecast FROM contributions, baseline GROUP BY product_id, date, base) f
+        JOIN catalog USING (product_id)
+        LEFT JOIN (SELECT product_id, {side('up')} AS ups, {side('down')} AS downs FROM phrases GROUP BY product_id) USING (product_id)""",
+                    FEATURE_CTES, hold_last(1), f"train_features AS (SELECT * FROM features WHERE date < DATE '{q.SPLIT}')",
+                    weights_of("held", "train_features"),
+                    "baseline AS (SELECT " + linear_terms(lambda c: f"avg(CAST({c} AS DOUBLE))") + " AS base FROM train_features)",
+                    f"""overall AS (SELECT {LABEL_CASE} AS feature, {r('avg(abs(contribution))', 4)} AS importance
+                        FROM contributions GROUP BY contributions.feature ORDER BY 2 DESC, 1 LIMIT 3)""",
+                    f"""phrases AS (SELECT *, concat('**', {LABEL_CASE}, '** (', CAST({r('value', 2)} AS VARCHAR), ') ',
+                          CASE direction WHEN 'up' THEN 'pushes' ELSE 'pulls' END, ' the forecast ', {one('abs(contribution)')}, ' units') AS phrase
+                        FROM (SELECT *, row_number() OVER (PARTITION BY product_id, date, direction ORDER BY abs(contribution) DESC, feature) AS rank
+                              FROM (SELECT *, CASE WHEN contribution > 0 THEN 'up' ELSE 'down' END AS direction FROM contributions WHERE contribution <> 0))
+                        WHERE rank <= 3)""")
+
     for key, column, name in (("INV1", "ss", "safety_stock"), ("INV2", "ltd", "lead_time_demand"), ("INV3", "rop", "reorder_point"),
                               ("INV5", "dos", "days_of_supply")):
         o[key] = sql(f"SELECT product_id, {r(column, 4)} AS {name} FROM base", POLICY_BASE)

@@ -180,7 +180,7 @@ def stored_optimization(d: Data):
 
 @query("SNK9")
 def saved_model(d: Data):
-    train, test = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
+    train, test = feat.split_at(d.stored_features, SPLIT)
     path = new_folder(d.spark, "model")
     models.save(models.fit("Linear Regression", train), path)
     return rounded(models.predict(models.load(path), test), 3)
@@ -230,14 +230,14 @@ def without_nulls(d: Data):
 
 @query("FLT2")
 def time_split(d: Data):
-    train, test = feat.split_at(d.sales.select(*KEY, "units_sold"), SPLIT)
+    train, test = feat.split_at(d.stored_sales.select(*KEY, "units_sold"), SPLIT)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 @query("FLT3")
 def filtered_products(d: Data):
     wanted = [("Brand#2", "All Categories"), ("All Brands", "PROMO"), ("Brand#2", "ECONOMY"), ("", "LARGE")]
-    parts = [portfolio.matching_products(d.sales, b, c).groupBy("product_id").agg(F.sum("units_sold").alias("units"))
+    parts = [portfolio.matching_products(d.stored_sales, b, c).groupBy("product_id").agg(F.sum("units_sold").alias("units"))
              .withColumn("filter", F.lit(f"{b}|{c}")) for b, c in wanted]
     out = parts[0]
     for p in parts[1:]:
@@ -377,7 +377,8 @@ PIVOT_IDS = ["Brand#17-ECONOMY", "Brand#11-MEDIUM", "Brand#1-LARGE"]
 
 @query("AGG5")
 def recent_demand(d: Data):
-    both = [history.recent_demand(d.recent(n), n).withColumn("days", F.lit(n)) for n in (14, 30)]
+    recent = d.recent(30)
+    both = [history.recent_demand(recent, n).withColumn("days", F.lit(n)) for n in (14, 30)]
     return rounded(both[0].unionByName(both[1]))
 
 
@@ -460,7 +461,7 @@ def rolling_max(d: Data):
 
 @query("WIN7")
 def last_rows(d: Data):
-    parts = [history.last_rows(d.sales, n).select(*KEY, "units_sold", F.lit(n).alias("days"))
+    parts = [history.last_rows(d.stored_sales, n).select(*KEY, "units_sold", F.lit(n).alias("days"))
              for n in (7, 14, 30, 60)]
     out = parts[0]
     for p in parts[1:]:
@@ -623,7 +624,7 @@ def metrics_entries(d: Data):
 # ---- models and forecasts
 
 def fitted(d: Data, model: str):
-    train, test = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
+    train, test = feat.split_at(d.stored_features, SPLIT)
     return models.fit(model, train, **TREES[model]), train, test
 
 
@@ -739,7 +740,7 @@ def ranked_models(d: Data):
 
 @query("EVL5")
 def boosting_rounds(d: Data):
-    train, _ = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
+    train, _ = feat.split_at(d.stored_features, SPLIT)
     tail = evaluate.ordered_tail(train, 200)
     pipeline = models.fit("Gradient Boosting", evaluate.before_tail(train, tail), **TREES["Gradient Boosting"])
     rows = pipeline.stages[0].transform(tail)
@@ -764,7 +765,7 @@ def leaderboard(d: Data):
 
 
 def linear_parts(d: Data) -> DataFrame:
-    rows = feat.feature_table(d.stored_sales)
+    rows = d.stored_features
     return explain.linear_contributions(rows, rows, WEIGHTS)
 
 
@@ -783,19 +784,19 @@ def sampled_shapley(d: Data):
 
 @query("XAI3")
 def local_explanations(d: Data):
-    train, _ = feat.split_at(feat.feature_table(d.stored_sales), SPLIT)
+    train, _ = feat.split_at(d.stored_features, SPLIT)
     ahead = feat.hold_last_features(d.stored_panel, 1)
     parts = explain.linear_contributions(ahead, train, WEIGHTS)
     base = explain.feature_means(train, list(WEIGHTS)).select(
         fc.linear_score({c: F.col(c) for c in WEIGHTS}, WEIGHTS, INTERCEPT)).scalar()
     names = d.catalog.select("product_id", F.concat_ws(" ", "brand", "product_name").alias("name"))
-    return rounded(explain.explanation(parts, base, names), 4)
+    return rounded(explain.explanation(parts, base, names))
 
 
 @query("XAI3_DRIVERS")
 def top_drivers(d: Data):
     return rounded(explain.drivers(explain.linear_contributions(
-        feat.hold_last_features(d.panel, 1), feat.feature_table(d.sales), WEIGHTS)), 4)
+        feat.hold_last_features(d.panel, 1), d.stored_features, WEIGHTS)), 4)
 
 
 # ---- inventory policy
