@@ -9,13 +9,15 @@ pair and day, and a task holds two blocks of vectors.
 
 from __future__ import annotations
 
+import math
 from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCK_SIZE = 64
+# Products per block: enough to pay for a task, few enough for its memory.
+SMALLEST_BLOCK, LARGEST_BLOCK = 32, 1024
 PAIR_SCHEMA = "product_a string, product_b string, similarity double"
 
 
@@ -97,6 +99,15 @@ def _block_pairs(vectors: DataFrame, blocks: int) -> DataFrame:
         "block", "product_id", "day", "value", "days")
 
 
+def block_count(products: int, parallelism: int) -> int:
+    """Blocks whose pairs keep all cores busy, within the bounds of a block's size.
+
+    Fewer blocks mean fewer copies of each vector in the shuffle.
+    """
+    wanted = math.ceil(math.sqrt(2 * parallelism))
+    return max(1, math.ceil(products / LARGEST_BLOCK), min(wanted, math.ceil(products / SMALLEST_BLOCK)))
+
+
 def _dense(rows: pd.DataFrame, axis: np.ndarray) -> np.ndarray:
     matrix = np.zeros((len(rows), len(axis)))
     for i, (day, value) in enumerate(zip(rows["day"], rows["value"])):
@@ -157,7 +168,7 @@ def product_pairs(sales: DataFrame, products: int, method: str = "pearson", best
     days = sold_days(sales).select(F.size("days")).scalar()
     cells = cell_means(sales)
     values = centred_ranks(cells, days) if method == "spearman" else centred(cells)
-    blocks = max(1, -(-products // BLOCK_SIZE))
+    blocks = block_count(products, sales.sparkSession.sparkContext.defaultParallelism)
     grouped = _block_pairs(_vectors(values).withColumn("days", days), blocks).groupBy("low", "high")
     return grouped.applyInPandas(_correlate(best, min_similarity, digits), PAIR_SCHEMA)
 

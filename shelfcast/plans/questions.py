@@ -20,23 +20,20 @@ def _grams(value: Column, width: Column) -> Column:
 
 
 def product_terms(products: DataFrame) -> DataFrame:
-    """The lower-case texts that name a product: its id and its name.
+    """The lower-case texts that name a product, its id and its name, with a gram width.
 
-    Brand plus name contains the name, so it never decides alone.
+    Brand plus name contains the name, so it never decides alone. Short terms
+    get short grams of their own, so one short name does not blunt the rest.
     """
-    return products.select("product_id", "product_name", F.explode(F.array(
+    terms = products.select("product_id", "product_name", F.explode(F.array(
         F.lower("product_id"), F.lower("product_name"))).alias("term")).where(F.col("term") != "")
+    size = F.length("term")
+    return terms.withColumn("width", F.when(size >= 8, 8).when(size >= 4, 4).when(size >= 2, 2).otherwise(1))
 
 
-def _exploded(rows: DataFrame, value: Column, width: Column) -> DataFrame:
-    """One row per gram of the value beside the first column."""
-    sized = rows.select(rows.columns[0], value.alias("_value"), width.alias("_width"))
-    return sized.select(rows.columns[0], F.explode(_grams(F.col("_value"), F.col("_width"))).alias("gram"))
-
-
-def _anchors(terms: DataFrame, width: Column) -> DataFrame:
+def _anchors(terms: DataFrame) -> DataFrame:
     """For every term its gram that the fewest terms share."""
-    grams = _exploded(terms.select("term"), F.col("term"), width).distinct()
+    grams = terms.select("term", F.explode(_grams(F.col("term"), F.col("width"))).alias("gram")).distinct()
     shared = grams.groupBy("gram").agg(F.count("*").alias("shared"))
     return (grams.join(shared, "gram").groupBy("term")
             .agg(F.min_by("gram", F.struct("shared", "gram")).alias("gram")))
@@ -46,16 +43,18 @@ def named_products(questions: DataFrame, products: DataFrame) -> DataFrame:
     """The product each text names, longest product name first, ids breaking ties.
 
     Containment has no key to join on, so both sides meet on a substring: a
-    term offers its rarest gram, a text all grams of that width, and the exact
-    containment test runs on the pairs that meet. Text grams grow with the text
-    length and the catalog may grow freely; there is no text x catalog product.
+    term offers its rarest gram, a text all its grams of the widths in use (at
+    most four), and the exact containment test runs on the pairs that meet.
+    Text grams grow with the text length and the catalog may grow freely; there
+    is no text x catalog product.
     """
     terms = product_terms(products)
-    width = terms.agg(F.coalesce(F.min(F.length("term")), F.lit(1)).alias("w")).scalar()
-    anchors = terms.join(_anchors(terms, width), "term")
-    grams = _exploded(questions.select("question_id", "text"), words.clean(F.col("text")), width)
-    met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name").distinct()
+    anchors = terms.join(_anchors(terms), "term").drop("width")
+    widths = terms.agg(F.collect_set("width").alias("w")).scalar()
     texts = questions.select("question_id", words.clean(F.col("text")).alias("clean_text"))
+    grams = texts.withColumn("width", F.explode(widths)).select(
+        "question_id", F.explode(_grams(F.col("clean_text"), F.col("width"))).alias("gram"))
+    met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name").distinct()
     sure = met.join(texts, "question_id").where(F.contains("clean_text", F.col("term")))
     best = F.struct(-F.length("product_name"), F.col("product_id"))
     return sure.groupBy("question_id").agg(F.min_by("product_id", best).alias("matched_product"))

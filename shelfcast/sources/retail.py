@@ -12,6 +12,7 @@ every later per-product window or array by the length of the calendar.
 
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -98,20 +99,20 @@ def daily_panel(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     return _with_attributes(_per_day(sold_lines(lineitem, part).unionByName(empty)), products)
 
 
-def recent_panel(lineitem: DataFrame, part: DataFrame, days: int) -> DataFrame:
+def recent_panel(lineitem: DataFrame, part: DataFrame, days: int, last_day: date | None = None) -> DataFrame:
     """The last ``days`` days of the dense panel, equal to its last rows per product.
 
-    The cut-off is compared with the bare ``l_shipdate`` column, so it reaches
-    the Parquet scan and old row groups are never read.
+    The last day is one value, looked up from one column when not given. As a
+    literal compared with the bare ``l_shipdate`` it reaches the Parquet scan, where
+    dates and zoned timestamps skip old row groups; a subquery would not get there.
     """
-    last = lineitem.agg(F.max("l_shipdate").alias("last"))
-    kind = lineitem.schema["l_shipdate"].dataType
-    start = last.select(F.date_sub(F.to_date("last"), days - 1).cast(kind)).scalar()
-    window = last.select(F.sequence(F.date_sub(F.to_date("last"), days - 1), F.to_date("last")).alias("days"))
+    last = last_day or lineitem.agg(F.to_date(F.max("l_shipdate"))).first()[0]
+    first = F.date_sub(F.lit(last).cast("date"), days - 1)
     products = catalog(part)
-    empty = spine(products, window).select(
-        "product_id", "date", F.lit(0.0).alias("quantity"), F.lit(0.0).alias("discount"))
-    recent = lineitem.where(F.col("l_shipdate") >= start)
+    empty = products.select(
+        "product_id", F.explode(F.sequence(first, F.lit(last).cast("date"))).alias("date"),
+        F.lit(0.0).alias("quantity"), F.lit(0.0).alias("discount"))
+    recent = lineitem.where(F.col("l_shipdate") >= first.cast(lineitem.schema["l_shipdate"].dataType))
     return _with_attributes(_per_day(sold_lines(recent, part).unionByName(empty)), products)
 
 

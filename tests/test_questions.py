@@ -47,6 +47,15 @@ def test_matching_equals_brute_force_on_long_texts(spark, sales):
         assert got.get(key) == best
 
 
+def test_names_of_any_length_are_found(spark):
+    catalog = spark.createDataFrame([("a", "q"), ("bb", "zed"), ("ccccc", "somewhat longer name")],
+                                    "product_id string, product_name string")
+    asked = spark.createDataFrame([("1", "xqx"), ("2", "the zed"), ("3", "Somewhat Longer Name, zed"), ("4", "-"), ("5", "cccccc")],
+                                  "question_id string, text string")
+    got = {r.question_id: r.matched_product for r in questions.named_products(asked, catalog).collect()}
+    assert got == {"1": "a", "2": "bb", "3": "ccccc", "5": "ccccc"}
+
+
 @pytest.mark.parametrize("text, model", [
     ("XGBoost", "XGBoost"), (" random-forest ", "Random Forest"), ("SVR", "Support Vector (RBF)"),
     ("lstm (pytorch)", "LSTM (PyTorch)"), ("prophet", "Seasonal Baseline (Holt-Winters)"), ("", "XGBoost"),
