@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 TOLERANCE = 0.20
+# Leaderboard status for a model that is best and active, only active, only best, neither.
+STATUS = ["👑 BEST OPTIMAL & ACTIVE", "⚡ ACTIVE FORECASTER", "👑 BEST OPTIMAL", "BENCHMARK"]
 METRICS_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("mae", T.DoubleType()),
@@ -61,10 +63,8 @@ def leaderboard(validation: DataFrame, test: DataFrame, val_demand: DataFrame, t
         test.select("model", F.col("mae").alias("test_mae")), "model")
     best = best_model(test).scalar()
     is_best, is_active = F.col("model") == best, F.col("model") == active
-    status = (F.when(is_best & is_active, "👑 BEST OPTIMAL & ACTIVE")
-              .when(is_active, "⚡ ACTIVE FORECASTER")
-              .when(is_best, "👑 BEST OPTIMAL")
-              .otherwise("BENCHMARK"))
+    status = (F.when(is_best & is_active, STATUS[0]).when(is_active, STATUS[1])
+              .when(is_best, STATUS[2]).otherwise(STATUS[3]))
     return both.select(
         "model", "val_mae", accuracy(F.col("val_mae"), val_demand.scalar()).alias("val_accuracy"),
         "test_mae", accuracy(F.col("test_mae"), test_demand.scalar()).alias("test_accuracy"),

@@ -35,6 +35,13 @@ LABELS = {
     "rolling_min_7": "7d Min",
     "rolling_max_7": "7d Max",
 }
+# The sentences of an explanation.
+OPENING = ("For **%s**, the model's next-day baseline demand is **%.1f units**. After accounting for the product's "
+           "current conditions, the forecast lands at **%.1f units**.")
+DRIVER = "**%s** (%s) %s the forecast %.1f units"
+UPWARD = "The strongest upward drivers are "
+DOWNWARD = "The strongest downward pressures are "
+CLOSING = "Across the whole catalog, the features that generally matter most to this model are "
 SAMPLE_SIZE = 500
 EXPLAINED_ROWS = 200
 DRIVERS = 3
@@ -126,7 +133,7 @@ def explanation(contributions: DataFrame, base: Column, names: DataFrame, top_n:
     forecast = contributions.groupBy("product_id", "date").agg(
         (base + F.sum("contribution")).alias("forecast"))
     verb = F.when(F.col("direction") == "up", "pushes").otherwise("pulls")
-    phrase = F.format_string("**%s** (%s) %s the forecast %.1f units", label(F.col("feature")),
+    phrase = F.format_string(DRIVER, label(F.col("feature")),
                              F.round("value", 2).cast("string"), verb, F.round(F.abs("contribution"), 1))
     ranked = drivers(contributions, top_n).withColumn("phrase", phrase)
 
@@ -135,13 +142,10 @@ def explanation(contributions: DataFrame, base: Column, names: DataFrame, top_n:
         return F.array_join(F.transform(F.array_sort(F.collect_list(chosen)), lambda e: e["phrase"]), ", ")
 
     texts = ranked.groupBy("product_id", "date").agg(joined("up").alias("ups"), joined("down").alias("downs"))
-    opening = F.format_string(
-        "For **%s**, the model's next-day baseline demand is **%.1f units**. After accounting for the product's "
-        "current conditions, the forecast lands at **%.1f units**.", F.col("name"), F.round(base, 1), F.round("forecast", 1))
-    up = F.when(F.col("ups") != "", F.concat(F.lit("The strongest upward drivers are "), "ups", F.lit(".")))
-    down = F.when(F.col("downs") != "", F.concat(F.lit("The strongest downward pressures are "), "downs", F.lit(".")))
-    closing = F.concat(F.lit("Across the whole catalog, the features that generally matter most to this model are "),
-                       overall.scalar(), F.lit("."))
+    opening = F.format_string(OPENING, F.col("name"), F.round(base, 1), F.round("forecast", 1))
+    up = F.when(F.col("ups") != "", F.concat(F.lit(UPWARD), "ups", F.lit(".")))
+    down = F.when(F.col("downs") != "", F.concat(F.lit(DOWNWARD), "downs", F.lit(".")))
+    closing = F.concat(F.lit(CLOSING), overall.scalar(), F.lit("."))
     return (forecast.join(texts, ["product_id", "date"], "left").join(names, "product_id")
             .select("product_id", "date", base.alias("base"), "forecast",
                     F.concat_ws(" ", opening, up, down, closing).alias("text")))

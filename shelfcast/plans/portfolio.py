@@ -25,6 +25,9 @@ DISPLAY = {
     "recommended_order_qty": "Recommended Order",
     "action": "Action",
 }
+# The restock message of a product below and above its reorder point.
+RESTOCK_MESSAGE = "RESTOCK REQUIRED: Stock (%d) is below ROP (%d). Order %d units."
+SAFE_MESSAGE = "OPTIMAL INVENTORY: Stock (%d) is safe above ROP (%d)."
 ATTENTION = ["product_name", "brand", "current_stock", "avg_daily_demand", "reorder_point",
              "days_of_supply", "recommended_order_qty", "action"]
 
@@ -169,9 +172,7 @@ def drill_down(sales: DataFrame, forecast: DataFrame, portfolio: DataFrame, days
     series = append_to_history(last_rows(sales, days), forecast)
     message = F.when(
         F.col("needs_restock"),
-        F.format_string("RESTOCK REQUIRED: Stock (%d) is below ROP (%d). Order %d units.",
-                        "current_stock", F.ceil("reorder_point"), "recommended_order_qty")).otherwise(
-        F.format_string("OPTIMAL INVENTORY: Stock (%d) is safe above ROP (%d).",
-                        "current_stock", F.ceil("reorder_point")))
+        F.format_string(RESTOCK_MESSAGE, "current_stock", F.ceil("reorder_point"), "recommended_order_qty")).otherwise(
+        F.format_string(SAFE_MESSAGE, "current_stock", F.ceil("reorder_point")))
     line = portfolio.select("product_id", "reorder_point", message.alias("message"))
     return series.join(line, "product_id")
