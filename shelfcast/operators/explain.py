@@ -75,6 +75,17 @@ def linear_contributions(rows: DataFrame, background: DataFrame, coefficients: d
         F.col(c).cast("double") - F.col("_m")[c]))
 
 
+def linear_importance(rows: DataFrame, background: DataFrame, coefficients: dict[str, float]) -> DataFrame:
+    """``importance`` of a linear model in one aggregate over all rows, without a row per feature."""
+    means = feature_means(background).select(F.struct(*FEATURES).alias("m")).scalar()
+    overall = rows.withColumn("_m", means).agg(*[
+        F.avg(F.abs(F.lit(float(coefficients.get(c, 0.0))) * (F.col(c).cast("double") - F.col("_m")[c]))).alias(c)
+        for c in FEATURES])
+    entries = F.array(*[F.struct(F.lit(LABELS[c]).alias("feature"), F.round(c, 4).alias("importance"))
+                        for c in FEATURES])
+    return overall.select(F.explode(entries).alias("e")).select("e.*").orderBy(F.desc("importance"), "feature")
+
+
 def sampled_contributions(model: PipelineModel, rows: DataFrame, background: DataFrame,
                           permutations: int = 10, seed: int = 42) -> DataFrame:
     """Sampled Shapley values of any fitted model against the background mean.

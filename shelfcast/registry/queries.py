@@ -764,14 +764,9 @@ def leaderboard(d: Data):
         evaluate.mean_units(late), evaluate.mean_units(d.stored_panel), active="Naive")
 
 
-def linear_parts(d: Data) -> DataFrame:
-    rows = d.stored_features
-    return explain.linear_contributions(rows, rows, WEIGHTS)
-
-
 @query("XAI1")
 def global_importance(d: Data):
-    return explain.importance(linear_parts(d))
+    return explain.linear_importance(d.stored_features, d.stored_features, WEIGHTS)
 
 
 @query("XAI2")

@@ -136,6 +136,14 @@ def test_sampled_shapley_is_exact_for_a_linear_model(table, linear):
     assert both.where(F.abs(F.col("exact") - F.col("contribution")) > 1e-6).count() == 0
 
 
+def test_importance_in_one_aggregate_equals_the_long_form(table, linear):
+    weights, _ = models.coefficients(linear)
+    long = explain.importance(explain.linear_contributions(table, table, weights)).collect()
+    wide = explain.linear_importance(table, table, weights).collect()
+    assert [r.feature for r in wide] == [r.feature for r in long] and len(wide) == 25
+    assert all(abs(a.importance - b.importance) < 2e-4 for a, b in zip(wide, long))
+
+
 def test_explanation_text(table, linear, sales):
     weights, intercept = models.coefficients(linear)
     rows = feat.hold_last_features(sales, 1)
