@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfcast.llm.tokens import mix, row_slices, word_hashes
+from shelfcast.llm.tokens import in_small_batches, mix, row_slices, word_hashes
 
 #: Fixed masks: 1 compares the word, 0 ignores it.
 MASKS = ("11101011", "1101100111", "111010010111")
@@ -176,7 +176,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     Empty tables give no rows. ``block_words`` bounds one block of the benchmark;
     each further block costs one more scan of the texts.
     """
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, matched_words int, first_word int, end_word int, item_words int"
     return reduce(DataFrame.unionByName, [
@@ -188,7 +188,7 @@ def drop_leaking(df: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                  item_text: str = "text", min_overlap: int = 13, identity: float = 0.8, min_words: int = MIN_WORDS,
                  block_words: int = 1 << 20) -> DataFrame:
     """The rows of ``df`` in which no passage is found, with all columns, in place."""
-    column = df.columns.index(text_col)
+    column = in_small_batches(df).columns.index(text_col)
     for shared in _blocks(benchmark, item_id, item_text, min_words, block_words):
         df = df.mapInArrow(_without(shared, column, min_overlap, identity), df.schema)
     return df

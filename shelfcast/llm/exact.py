@@ -21,10 +21,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from shelfcast.llm.tokens import SPACE, in_small_batches
 from shelfcast.session import materialize
 
-SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
-
 
 class ContentTable:
     """Open addressing with linear probing; a slot holds a content, equality means equal bytes."""
@@ -79,7 +78,7 @@ def _combine(id_type: pa.DataType, budget: int):
                         ("sha", pa.string()), ("members", pa.list_(member))])
 
     def flush(table: ContentTable, rows: list[list], first: int) -> Iterator[pa.RecordBatch]:
-        step = max(1, int(len(rows) * (1 << 25) / max(table.bytes, 1)))
+        step = max(1, int(len(rows) * (4 << 20) / max(table.bytes, 1)))
         for at in range(0, len(rows), step):
             part = range(at, min(at + step, len(rows)))
             members = pa.array([m for i in part for m in rows[i]], type=member)
@@ -104,7 +103,7 @@ def _combine(id_type: pa.DataType, budget: int):
                     rows.append([])
                 rows[number].append({"id": key, "points": n})
                 held += 1
-                if table.bytes >= budget or held >= 200_000:
+                if table.bytes >= budget or held >= 50_000:
                     yield from flush(table, rows, first)
                     first += len(rows)
                     table, rows, held = ContentTable(1 << 62), [], 0
@@ -145,7 +144,7 @@ def _resolve(budget: int):
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     bucket_bytes: int = 48 << 20, combine_bytes: int = 32 << 20) -> DataFrame:
+                     bucket_bytes: int = 32 << 20, combine_bytes: int = 16 << 20) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept and the SHA-256 of the normalised text.
 
     Texts are equal when they are identical without white space; a null text is
@@ -155,7 +154,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``bucket_bytes`` bounds the contents that one task keeps in memory.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("content"),
+    rows = in_small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("content"),
                      F.coalesce(F.char_length(F.col(text_col)), F.lit(0)).alias("points"))
     id_type = rows.schema["id"].dataType
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type.simpleString()]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.llm.graph import components
-from shelfcast.llm.tokens import mix, row_slices, word_hashes
+from shelfcast.llm.tokens import in_small_batches, mix, row_slices, word_hashes
 from shelfcast.session import materialize
 
 BANDS, ROWS = 24, 4
@@ -175,7 +175,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Bands of 4 of 96 registers find a pair at similarity 0.8 with 1 - 3e-6; every pair
     that shares a band is decided on full sets or by the triangle inequality.
     """
-    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = in_small_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketches = materialize(texts.mapInArrow(_sketch(words), "doc_id long, n long, f1 long, f2 long, bands array<long>"),
                            "sketches")
     able = sketches.where("doc_id is not null and n > 0")

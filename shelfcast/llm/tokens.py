@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SEGMENT_BYTES = 1 << 20
 #: The white space of the word definition: space and \t \n \v \f \r.
@@ -133,3 +134,13 @@ def row_slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Itera
         end = min(max(end, first + 1), batch.num_rows)
         yield batch.slice(first, end - first)
         first = end
+
+
+def in_small_batches(df: DataFrame, most: str = "8m") -> DataFrame:
+    """The same rows; Arrow batches of this session hold about ``most`` bytes from now on.
+
+    The default of 64 MB is held several times over by each task, on both sides of the
+    socket. Texts are long, so small batches cost nothing.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+    return df

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from shelfcast.llm.tokens import in_small_batches
+
 WORDS = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings and endings that may become voters.
 BEGINNINGS, ENDINGS = (3, 4, 5, 6), (4, 5)
@@ -151,7 +153,7 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic")).where(
         "label_id is not null and toxic in (0, 1)")
     chosen = known.orderBy(F.xxhash64("label_id"), "label_id", "toxic").limit(sample_rows)
-    rows = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = (in_small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("text", "toxic"))
     counted = rows.mapInArrow(_count, "mark string, toxic long, clean long").groupBy("mark").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -207,14 +209,14 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     text without evidence. Repeated rows are scored alike, other columns are not read,
     an empty table gives no rows. A model without voters scores 0.
     """
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = df.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(_apply(shared), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def keep_clean(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``df`` whose text scores below the threshold, with all columns, in place."""
-    at = df.columns.index(text_col)
+    at = in_small_batches(df).columns.index(text_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
