@@ -36,6 +36,20 @@ def rank_models(metrics: DataFrame) -> DataFrame:
     return metrics.select("model", "mae", "rmse", F.row_number().over(order).alias("rank"))
 
 
+def merge_metrics(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The stored report with every model of ``fresh`` replaced by its new entry."""
+    return stored.join(fresh.select("model").distinct(), "model", "left_anti").unionByName(fresh, allowMissingColumns=True)
+
+
+def metrics_entries(scored: DataFrame, split: str, train_rows: Column) -> DataFrame:
+    """A report entry per model: pooled errors, errors per product, split date and sample counts."""
+    per_product = errors(scored, "model", "product_id").groupBy("model").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("product_id", F.struct("mae", "rmse"))))).alias("per_product"))
+    counts = scored.groupBy("model").agg(F.count("*").alias("test_rows"))
+    return (errors(scored, "model").join(per_product, "model").join(counts, "model")
+            .withColumn("split_date", F.lit(split)).withColumn("train_rows", train_rows))
+
+
 def best_model(metrics: DataFrame) -> DataFrame:
     return metrics.agg(F.min_by("model", F.struct("mae", "model")).alias("best_model"))
 
@@ -71,13 +85,6 @@ def leaderboard(validation: DataFrame, test: DataFrame, val_demand: DataFrame, t
         status.alias("status")).orderBy("test_mae", "model")
 
 
-def ordered_tail(features: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` rows in product and date order, the validation rows of the round report."""
-    return features.orderBy(F.desc("product_id"), F.desc("date")).limit(n)
-
-
-def before_tail(features: DataFrame, tail: DataFrame) -> DataFrame:
-    return features.join(tail.select("product_id", "date"), ["product_id", "date"], "left_anti")
 
 
 def round_errors(model, validation: DataFrame) -> DataFrame:

@@ -43,7 +43,6 @@ UPWARD = "The strongest upward drivers are "
 DOWNWARD = "The strongest downward pressures are "
 CLOSING = "Across the whole catalog, the features that generally matter most to this model are "
 SAMPLE_SIZE = 500
-EXPLAINED_ROWS = 200
 DRIVERS = 3
 
 

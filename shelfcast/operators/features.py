@@ -74,9 +74,14 @@ def rolling_stats(stats=("mean", "std", "min", "max"), widths=WINDOWS) -> dict[s
     return {f"rolling_{s}_{w}": rolling(w, s) for w in widths for s in stats}
 
 
-def transform_groups(sales: DataFrame, name: str, fn: Callable[[str], Column]) -> DataFrame:
-    """Apply a per-product column function to the units, one output row per input row."""
-    return sales.withColumn(name, fn("units_sold"))
+def transform_groups(sales: DataFrame, name: str, fn: Callable[[Column], Column], frame: tuple[int, int] | None = None,
+                     units: str = "units_sold") -> DataFrame:
+    """Give every row the aggregate ``fn`` of its product's rows, or of a frame of them around it in date order.
+
+    ``frame`` counts rows from the current one, as in ``(-6, 0)``.
+    """
+    group = by_product().rowsBetween(*frame) if frame else Window.partitionBy("product_id")
+    return sales.withColumn(name, fn(F.col(units)).over(group))
 
 
 def feature_table(sales: DataFrame) -> DataFrame:

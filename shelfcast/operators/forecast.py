@@ -131,10 +131,18 @@ def peak(forecast: DataFrame) -> DataFrame:
         F.max("predicted_units").alias("peak_units"), best.alias("peak_date"))
 
 
-def for_requests(requests: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """Answer (request_id, product_id, model, horizon) rows from a forecast table
-    with a ``model`` column; steps beyond the asked horizon are left out."""
-    found = requests.join(forecasts, ["product_id", "model"])
-    return found.where(F.col("step") <= F.col("horizon")).select(
-        "request_id", "product_id", "model", "step", "forecast_date",
-        F.round("predicted_units", 2).alias("forecast_units"))
+def for_requests(requests: DataFrame, products: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Answer (request_id, product_id, model, horizon) rows from a forecast table with a ``model`` column.
+
+    Steps beyond the asked horizon are left out. A request that cannot be answered
+    keeps one row without a forecast, and its status says why.
+    """
+    known = products.select(F.col("product_id").alias("known_id")).distinct()
+    ahead = forecasts.select(F.col("product_id").alias("at"), F.col("model").alias("by"), "step", "forecast_date", "predicted_units")
+    found = (requests.join(known, requests["product_id"] == F.col("known_id"), "left")
+             .join(ahead, (requests["product_id"] == F.col("at")) & (F.col("model") == F.col("by"))
+                   & (F.col("step") <= F.col("horizon")), "left"))
+    status = (F.when(F.col("model").isNull(), "UNKNOWN MODEL").when(F.col("known_id").isNull(), "UNKNOWN PRODUCT")
+              .when(F.col("step").isNull(), "NO FORECAST").otherwise("SUCCESS"))
+    return found.select("request_id", "product_id", "model", "step", "forecast_date",
+                        F.round("predicted_units", 2).alias("forecast_units"), status.alias("status"))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressor)
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfcast.operators.features import FEATURES
 from shelfcast.operators.forecast import at_least_zero
@@ -80,8 +80,10 @@ def fit_rbf(train: DataFrame, components: int = FOURIER_FEATURES, **overrides) -
     machine on unscaled inputs. The normal equations need a single pass, where
     an iterative robust loss takes one pass per step.
     """
-    cells = F.array(*[F.col(c).cast("double") for c in FEATURES])
-    variance = train.select(F.explode(cells).alias("v")).agg(F.var_pop("v")).first()[0]
+    means = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATURES],
+                      *[F.var_pop(F.col(c).cast("double")).alias(f"var_{c}") for c in FEATURES]).first()
+    centres = np.array([means[c] for c in FEATURES])
+    variance = float(np.mean([means[f"var_{c}"] for c in FEATURES]) + centres.var())
     rng = np.random.default_rng(SEED)
     weights = rng.normal(0.0, np.sqrt(2.0 / (len(FEATURES) * variance)), (components, len(FEATURES)))
     offsets = rng.uniform(0.0, 2 * np.pi, components)
@@ -106,11 +108,31 @@ def coefficients(model: PipelineModel) -> tuple[dict[str, float], float]:
     return dict(zip(FEATURES, map(float, line.coefficients))), float(line.intercept)
 
 
-def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save(model: PipelineModel | FourierRegression | DataFrame, path: str) -> None:
+    """Store a fitted model of any kind in a shared folder.
 
-
-def load(path: str) -> PipelineModel:
+    Seasonal and sequence models are tables of states, one row per product.
+    """
+    if isinstance(model, DataFrame):
+        model.write.mode("overwrite").parquet(f"{path}/states")
+    elif isinstance(model, FourierRegression):
+        model.line.write().overwrite().save(f"{path}/line")
+        rows = [(i, row.tolist(), float(offset)) for i, (row, offset) in enumerate(zip(model.weights, model.offsets))]
+        SparkSession.active().createDataFrame(rows, "i int, weights array<double>, offset double").write.mode(
+            "overwrite").parquet(f"{path}/fourier")
+    else:
+        model.write().overwrite().save(path)
+
+
+def load(path: str, model: str) -> PipelineModel | FourierRegression | DataFrame:
+    """The stored model of that name."""
+    spark = SparkSession.active()
+    if model in ("Seasonal Baseline (Holt-Winters)", "LSTM (PyTorch)"):
+        return spark.read.parquet(f"{path}/states")
+    if model == "Support Vector (RBF)":
+        rows = spark.read.parquet(f"{path}/fourier").orderBy("i").collect()
+        return FourierRegression(np.array([r["weights"] for r in rows]), np.array([r["offset"] for r in rows]),
+                                 LinearRegressionModel.load(f"{path}/line"))
     return PipelineModel.load(path)
 
 

@@ -55,7 +55,8 @@ def smooth(units: np.ndarray, alpha: np.ndarray, beta: np.ndarray, gamma: np.nda
 def fit(sales: DataFrame, grid: list[tuple[float, float, float]] | None = None) -> DataFrame:
     """Best parameters and final state per product over the grid; ties take the first set.
 
-    Products whose series cannot carry the model are left out.
+    Products whose series cannot carry the model, or for which no set of parameters
+    gives a finite error, are left out.
     """
     sets = np.array(grid or list(combinations(GRID, GRID, GRID)))
 
@@ -66,12 +67,14 @@ def fit(sales: DataFrame, grid: list[tuple[float, float, float]] | None = None)
             with np.errstate(all="ignore"):
                 level, trend, season, sse = smooth(np.asarray(units), *sets.T)
             k = int(np.argmin(np.where(np.isfinite(sse), sse, np.inf)))
-            rows.append((*sets[k], level[k], trend[k], season[:, k].tolist(), sse[k]))
+            error = sse[k] if np.isfinite(sse[k]) else None
+            rows.append((*sets[k], level[k], trend[k], season[:, k].tolist(), error))
         return pd.DataFrame(rows, columns=["alpha", "beta", "gamma", "level", "trend", "season", "sse"])
 
     ready = series(sales).where(is_smoothable())
     return ready.select("product_id", "last_date", F.size("units").alias("n"),
-                        best_state("units").alias("s")).select("product_id", "last_date", "n", "s.*")
+                        best_state("units").alias("s")).select("product_id", "last_date", "n", "s.*").where(
+        F.col("sse").isNotNull() & ~F.isnan("sse"))
 
 
 def forecast(states: DataFrame, horizon: int) -> DataFrame:
@@ -84,7 +87,6 @@ def forecast(states: DataFrame, horizon: int) -> DataFrame:
 
 def forecast_or_naive(sales: DataFrame, horizon: int, grid=None) -> DataFrame:
     """Smoothed forecast where the series allows it, else the last season repeated."""
-    smoothed = forecast(fit(sales, grid), horizon)
-    others = series(sales).where(~is_smoothable()).select("product_id")
-    rest = sales.join(others, "product_id", "left_semi")
-    return smoothed.unionByName(seasonal_naive(rest, horizon, SEASON))
+    states = fit(sales, grid)
+    rest = sales.join(states.select("product_id"), "product_id", "left_anti")
+    return forecast(states, horizon).unionByName(seasonal_naive(rest, horizon, SEASON))

@@ -173,6 +173,23 @@ def product_pairs(sales: DataFrame, products: int, method: str = "pearson", best
     return grouped.applyInPandas(_correlate(best, min_similarity, digits), PAIR_SCHEMA)
 
 
+def varying_pairs(sales: DataFrame, products: int) -> DataFrame:
+    """Every unordered pair of products that have a correlation, without computing any.
+
+    A product has one if its cells differ from its mean. Ids are paired block by block,
+    so no row of the result passes through one task or the driver.
+    """
+    known = cell_means(sales).groupBy("product_id").agg(F.min("units").alias("low"), F.max("units").alias("high"))
+    ids = known.where("high > low").select("product_id")
+    blocks = block_count(products, sales.sparkSession.sparkContext.defaultParallelism)
+    block = F.pmod(F.xxhash64("product_id"), F.lit(blocks)).cast("int")
+    left = ids.select(F.col("product_id").alias("product_a"), block.alias("block_a"),
+                      F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block_b"))
+    right = ids.select(F.col("product_id").alias("product_b"), block.alias("block_b"),
+                       F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block_a"))
+    return left.join(right, ["block_a", "block_b"]).where("product_a < product_b").select("product_a", "product_b")
+
+
 def similarity_matrix(pairs: DataFrame, product_ids: DataFrame) -> DataFrame:
     """Full symmetric matrix in long form: the pairs, their mirror and a diagonal of 1."""
     mirror = pairs.select(F.col("product_b").alias("product_a"), F.col("product_a").alias("product_b"), "similarity")

@@ -15,7 +15,7 @@ def elasticity_table(spark: SparkSession, values: dict[str, float] | None = None
 
 def with_elasticity(products: DataFrame, elasticities: DataFrame) -> DataFrame:
     """Elasticity by category, -1.5 where the category has none."""
-    found = products.join(F.broadcast(elasticities), "category", "left")
+    found = products.join(elasticities, "category", "left")
     return found.withColumn("ped", F.coalesce("elasticity", F.lit(pricing.DEFAULT_ELASTICITY))).drop("elasticity")
 
 

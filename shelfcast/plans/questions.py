@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions import policy, text as words
-from shelfcast.operators.history import mean_demand, product_attributes, product_profile
+from shelfcast.operators.history import product_profile
 
 SERVICE_LEVEL = 95
 DEFAULT_STOCK = 60
@@ -49,11 +49,12 @@ def named_products(questions: DataFrame, products: DataFrame) -> DataFrame:
     is no text x catalog product.
     """
     terms = product_terms(products)
-    anchors = terms.join(_anchors(terms), "term").drop("width")
+    anchors = terms.join(_anchors(terms), "term").drop("width").withColumn("gram", F.xxhash64("gram"))
     widths = terms.agg(F.collect_set("width").alias("w")).scalar()
     texts = questions.select("question_id", words.clean(F.col("text")).alias("clean_text"))
-    grams = texts.withColumn("width", F.explode(widths)).select(
-        "question_id", F.explode(_grams(F.col("clean_text"), F.col("width"))).alias("gram"))
+    # Each distinct gram of a text leaves once, as eight bytes; equal hashes are told apart by the containment test.
+    hashed = F.transform(_grams(F.col("clean_text"), F.col("width")), lambda g: F.xxhash64(g))
+    grams = texts.withColumn("width", F.explode(widths)).select("question_id", F.explode(F.array_distinct(hashed)).alias("gram"))
     met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name").distinct()
     sure = met.join(texts, "question_id").where(F.contains("clean_text", F.col("term")))
     best = F.struct(-F.length("product_name"), F.col("product_id"))
@@ -89,7 +90,7 @@ def route_questions(questions: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def restock_alerts(recent: DataFrame, selected_product: str | None = None, current_stock: int = DEFAULT_STOCK,
-                   limit: int | None = 10) -> DataFrame:
+                   limit: int | None = None) -> DataFrame:
     """Products whose stock is below the reorder point of their last 14 days."""
     demand = product_profile(recent, 14)
     stock = F.lit(DEFAULT_STOCK)
@@ -101,7 +102,7 @@ def restock_alerts(recent: DataFrame, selected_product: str | None = None, curre
         "brand", "product_name", "product_id",
         F.ceil("rop").cast("bigint").alias("reorder_point"),
         policy.restock_quantity(F.col("stock"), F.col("rop"), F.col("avg_daily")).alias("order_qty"))
-    return alerts.orderBy("brand", "product_name").limit(limit) if limit else alerts
+    return alerts.orderBy("brand", "product_name", "product_id").limit(limit) if limit else alerts
 
 
 def dossiers(sales: DataFrame, current_stock: int = DEFAULT_STOCK) -> DataFrame:
@@ -123,7 +124,9 @@ def dossiers(sales: DataFrame, current_stock: int = DEFAULT_STOCK) -> DataFrame:
 
 def demand_leaders(sales: DataFrame, limit: int = 5) -> DataFrame:
     """Products with the highest mean daily demand."""
-    named = product_attributes(sales).join(mean_demand(sales), "product_id")
+    named = sales.groupBy("product_id").agg(
+        F.min_by("brand", "date").alias("brand"), F.min_by("product_name", "date").alias("product_name"),
+        (F.sum(F.col("units_sold").cast("double")) / F.count("units_sold")).alias("avg_daily"))
     return (named.orderBy(F.desc("avg_daily"), "product_id").limit(limit)
             .select("product_id", "brand", "product_name", F.round("avg_daily", 1).alias("avg_daily")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,18 +20,18 @@ PART_TYPES = ["ECONOMY", "PROMO", "LARGE", "SMALL", "MEDIUM", "STANDARD", "DELUX
 
 # Question templates asked about every product: text, and whether a product is selected beside it.
 QUESTION_TEMPLATES = [
-    ("Tell me about {name}", False),
-    ("Which products need restock urgently?", False),
-    ("What is the ROP for {id}?", False),
-    ("What are the top demand leaders?", False),
-    ("Recommend product bundles", False),
-    ("Show model accuracy comparison", False),
-    ("  What is the safety stock of this one?", True),
-    ("Hello there, {name}", False),
+    ("How did {name} sell lately", False),
+    ("List everything below its reorder line", False),
+    ("At which quantity do we buy {id} again, its rop please", False),
+    ("Name the five most popular articles", False),
+    ("Which two articles go well together", False),
+    ("Whose rmse is lowest", False),
+    ("  Is the current one covered for next week", True),
+    ("Hey, how is {name} doing", False),
     ("   ", True),
-    ("How large is the order size of {brand} {name}, please", False),
-    ("Who sells laptop covers?", False),
-    ("Shipping of {name} and {id}", True),
+    ("Order size of {brand} {name}", False),
+    ("When does the canteen open", False),
+    ("Pallets of {name} beside {id}", True),
 ]
 
 
@@ -76,8 +77,16 @@ class Data:
         """The engineered table, stored once for fitting, scoring and explaining."""
         return materialize(feature_table(self.sales), "features")
 
+    @cached_property
+    def last_day(self) -> date:
+        return retail.last_day(self.lineitem)
+
     def recent(self, days: int) -> DataFrame:
-        return retail.recent_panel(self.lineitem, self.part, days)
+        """The last days of the panel; all that a forecast or a policy figure looks at."""
+        return retail.recent_panel(self.lineitem, self.part, days, self.last_day)
+
+    def since(self, first: str) -> DataFrame:
+        return retail.panel_between(self.lineitem, self.part, date.fromisoformat(first), self.last_day)
 
     @cached_property
     def counts(self) -> DataFrame:

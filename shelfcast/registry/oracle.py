@@ -472,26 +472,30 @@ state AS (
   SELECT product_id, last_date, unit_price, list_append(units, greatest(0.0::DOUBLE, {linear_terms(_state_value)})),
          list_append(promos, 0.0::DOUBLE), step + 1 FROM state WHERE step < 14)"""
 
-COUNTS = """
-counts AS (SELECT event_type AS product_id, CAST(ts AS DATE) AS date, CAST(count(*) AS DOUBLE) AS y FROM events GROUP BY 1, 2),
-series AS (SELECT product_id, max(date) AS last_date, list(y ORDER BY date) AS ys FROM counts GROUP BY product_id
-           HAVING count(*) >= 14 AND min(y) > 0)"""
+SERIES = """
+series AS (SELECT product_id, max(date) AS last_date, list(CAST(units_sold AS DOUBLE) ORDER BY date) AS ys FROM sales
+           GROUP BY product_id HAVING count(*) >= 14 AND min(units_sold) > 0)"""
 
 
 def smoothing(sets: str) -> str:
-    return f"""{COUNTS},
+    return f"""{SERIES},
+points AS (SELECT product_id, date, CAST(row_number() OVER (PARTITION BY product_id ORDER BY date) AS INTEGER) AS t,
+                  CAST(units_sold AS DOUBLE) AS y FROM sales),
 sets(alpha, beta, gamma) AS ({sets}),
 hw AS (
-  SELECT product_id, last_date, ys, alpha, beta, gamma, 7 AS t, list_sum(ys[1:7]) / 7 AS level,
+  SELECT product_id, alpha, beta, gamma, 7 AS t, list_sum(ys[1:7]) / 7 AS level,
          (list_sum(ys[8:14]) / 7 - list_sum(ys[1:7]) / 7) / 7 AS trend,
          list_transform(ys[1:7], lambda v: v / (list_sum(ys[1:7]) / 7)) AS season, CAST(0 AS DOUBLE) AS sse
   FROM series CROSS JOIN sets
   UNION ALL
-  SELECT product_id, last_date, ys, alpha, beta, gamma, t + 1, moved, beta * (moved - level) + (1 - beta) * trend,
-         list_append(season, gamma * (y / base) + (1 - gamma) * s), sse + (y - base * s) * (y - base * s)
+  SELECT product_id, alpha, beta, gamma, t + 1, moved, beta * (moved - level) + (1 - beta) * trend,
+         list_append(season[2:], gamma * (y / base) + (1 - gamma) * s), sse + (y - base * s) * (y - base * s)
   FROM (SELECT *, alpha * (y / s) + (1 - alpha) * base AS moved
-        FROM (SELECT *, ys[t + 1] AS y, season[t - 6] AS s, level + trend AS base FROM hw WHERE t < len(ys)))),
-fitted AS (SELECT * FROM hw WHERE t = len(ys))"""
+        FROM (SELECT hw.*, points.y, season[1] AS s, level + trend AS base
+              FROM hw JOIN points ON points.product_id = hw.product_id AND points.t = hw.t + 1))),
+fitted AS (SELECT * FROM (
+  SELECT hw.*, last_date, ys, row_number() OVER (PARTITION BY hw.product_id ORDER BY sse, alpha, beta, gamma) AS k
+  FROM hw JOIN series ON series.product_id = hw.product_id AND hw.t = len(ys) WHERE isfinite(sse)) WHERE k = 1)"""
 
 
 GRID = ("SELECT a.v, b.v, c.v FROM (SELECT unnest(range(1, 10)) / 10 AS v) a, (SELECT unnest(range(1, 10)) / 10 AS v) b, "
@@ -557,7 +561,7 @@ def _queries() -> dict[str, str]:
     o["SNK2"] = sql(view, PORTFOLIO)
     o["SNK3"] = sql("SELECT * FROM ranked_models", METRICS)
     o["SNK4"] = sql("SELECT 'products' AS table_name, count(DISTINCT product_id) AS n FROM sales "
-                    "UNION ALL SELECT unnest(['sales', 'forecasts', 'inventory_optimization']), 0")
+                    "UNION ALL SELECT unnest(['sales', 'forecasts', 'stock_policy']), 0")
     o["SNK5"] = sql(
         "SELECT product_id, CASE WHEN min(date) < DATE '1995-01-05' THEN upper(any_value(product_name)) "
         "ELSE any_value(product_name) END AS product_name, any_value(category) AS category, "
@@ -570,6 +574,11 @@ def _queries() -> dict[str, str]:
                     "days_of_supply, CAST(needs_restock AS INTEGER) AS needs_restock, recommended_order_qty FROM fixed",
                     fixed_stock(60))
 
+    o["SNK9"] = sql(f"""SELECT model, product_id, CAST(date AS VARCHAR) AS forecast_date, true AS agrees
+        FROM features, (SELECT unnest(['Linear Regression', 'Support Vector (RBF)']) AS model) WHERE date >= DATE '{q.SPLIT}'
+        UNION ALL SELECT 'Seasonal Baseline (Holt-Winters)', product_id, CAST(CAST(last_date + step AS DATE) AS VARCHAR), true
+        FROM series, (SELECT CAST(unnest(range(1, 8)) AS INTEGER) AS step)""", FEATURE_CTES, SERIES)
+
     parts = "CAST(isodow(date) - 1 AS INTEGER) AS day_of_week, CAST(month(date) AS INTEGER) AS month, CAST(quarter(date) AS INTEGER) AS quarter, CAST(isodow(date) >= 6 AS INTEGER) AS is_weekend"
     o["PRJ1"] = sql(f"SELECT {KEYED}, {parts} FROM sales")
     o["PRJ2"] = sql(f"SELECT {KEYED}, " + ", ".join(f"{r(c)} AS {c}" for c in DERIVED[4:8]) + " FROM all_features", FEATURE_CTES)
@@ -706,20 +715,28 @@ dossiers AS (SELECT product_id, upper(brand) AS brand, upper(product_name) AS pr
     o["FN10"] = sql("SELECT model, mae, rmse, (SELECT arg_min(model, (mae, model)) FROM metrics) AS best_model FROM metrics", METRICS)
 
     o["MDL7"] = sql(f"""SELECT product_id, n, {', '.join(f'{r(c, 5)} AS {c}' for c in ('alpha', 'beta', 'gamma', 'level', 'trend', 'sse'))} FROM
-        (SELECT *, CAST(len(ys) AS INTEGER) AS n, row_number() OVER (PARTITION BY product_id ORDER BY sse, alpha, beta, gamma) AS k FROM fitted) WHERE k = 1""",
+        (SELECT *, CAST(len(ys) AS INTEGER) AS n FROM fitted)""",
                     smoothing(GRID))
     o["MDL8"] = sql(f"SELECT product_id, step, {iso('forecast_date')}, predicted_units FROM {seasonal_naive('panel', '30')}")
     o["FC1"] = sql(f"SELECT product_id, step, CAST(CAST(last_date + step AS DATE) AS VARCHAR) AS forecast_date, "
                    f"{r('units[len(units)]')} AS predicted_units FROM state WHERE step > 0", RECURSIVE_LINEAR)
     o["FC2"] = sql(f"SELECT product_id, step, {iso('forecast_date')}, predicted_units FROM {naive('panel', '30')}")
-    value = "greatest((level + step * trend) * season[len(ys) - 6 + (step - 1) % 7], 0)"
-    sets = ", ".join(f"(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE), CAST({c} AS DOUBLE))" for a, b, c in q.HW_SETS)
-    o["FC3"] = sql(f"SELECT product_id, step, CAST(CAST(last_date + step AS DATE) AS VARCHAR) AS forecast_date, {r(value, 4)} AS predicted_units "
-                   "FROM fitted, (SELECT CAST(unnest(range(1, 15)) AS INTEGER) AS step)", smoothing(f"VALUES {sets}"))
-    o["FC6"] = sql(f"""SELECT request_id, product_id, model, step, {iso('forecast_date')}, {r('predicted_units', 2)} AS forecast_units
-        FROM resolved JOIN (SELECT 'Linear Regression' AS model, * FROM {naive('panel', '14')} UNION ALL
-          SELECT 'Seasonal Baseline (Holt-Winters)' AS model, * FROM {seasonal_naive('panel', '14')}) USING (product_id, model)
-        WHERE step <= horizon""", REQUESTS)
+    value = "greatest((level + step * trend) * season[1 + (step - 1) % 7], 0)"
+    o["FC3"] = sql(f"SELECT product_id, step, CAST(CAST(last_date + step AS DATE) AS VARCHAR) AS forecast_date, {r(value, 3)} AS predicted_units "
+                   "FROM fitted, (SELECT CAST(unnest(range(1, 15)) AS INTEGER) AS step)", smoothing(GRID))
+    o["FC6"] = sql(f"""SELECT request_id, q.product_id, q.model, step, CAST(forecast_date AS VARCHAR) AS forecast_date,
+        {r('predicted_units', 2)} AS forecast_units,
+        CASE WHEN q.model IS NULL THEN 'UNKNOWN MODEL' WHEN c.product_id IS NULL THEN 'UNKNOWN PRODUCT'
+             WHEN step IS NULL THEN 'NO FORECAST' ELSE 'SUCCESS' END AS status
+        FROM resolved q LEFT JOIN catalog c ON c.product_id = q.product_id
+        LEFT JOIN (
+          SELECT 'Linear Regression' AS model, product_id, step, CAST(last_date + step AS DATE) AS forecast_date,
+                 units[len(units)] AS predicted_units FROM state WHERE step > 0
+          UNION ALL SELECT 'Seasonal Baseline (Holt-Winters)', product_id, step, CAST(last_date + step AS DATE), {value}
+          FROM fitted, (SELECT CAST(unnest(range(1, 15)) AS INTEGER) AS step)
+          UNION ALL SELECT 'Seasonal Baseline (Holt-Winters)', product_id, step, forecast_date, predicted_units
+          FROM {seasonal_naive('(SELECT * FROM sales ANTI JOIN fitted USING (product_id))', '14')}) f
+        ON f.product_id = q.product_id AND f.model = q.model AND f.step <= q.horizon""", REQUESTS, smoothing(GRID), RECURSIVE_LINEAR)
     o["EVL1"] = sql(f"SELECT {r(MAE, 3)} AS mae, {r(RMSE, 3)} AS rmse FROM hold_out WHERE model = 'Seasonal Naive'", HOLD_OUT)
     o["EVL2"] = sql(f"SELECT model, product_id, {r(MAE, 3)} AS mae, {r(RMSE, 3)} AS rmse FROM hold_out GROUP BY 1, 2", HOLD_OUT)
     o["EVL3"] = sql("SELECT * FROM metrics", METRICS)
@@ -788,7 +805,7 @@ dossiers AS (SELECT product_id, upper(brand) AS brand, upper(product_name) AS pr
     threat = "gap AS price_diff_pct, ped, impact AS demand_impact_pct, level AS threat_level, threat_badge, recommendation"
     o["PR3"] = sql(f"SELECT product_id, category, {threat} FROM threats", prices(ELASTIC))
     o["PR4"] = sql(f"SELECT product_id, category, {d('our_price')}, {d('amazon_price')}, {d('flipkart_price')}, {d('reliance_price')}, "
-                   f"CAST(average AS DOUBLE) AS competitor_avg_price, price_index AS relative_price_index, {threat} FROM threats", prices())
+                   f"CAST(average AS DOUBLE) AS competitor_avg_price, price_index AS relative_price_index, {threat} FROM threats", prices(ELASTIC))
 
     o["REC1"] = sql(named(best(5)), PAIRS3)
     o["REC2"] = sql(impact(named(best(20))), PAIRS3)
@@ -803,11 +820,11 @@ dossiers AS (SELECT product_id, upper(brand) AS brand, upper(product_name) AS pr
     o["QST6"] = sql(f"SELECT question_id, intent, CASE WHEN intent = 'product' THEN product_id END AS product_id FROM "
                     f"(SELECT question_id, product_id, {route} AS intent FROM known)", QUESTIONS, CONTEXT.format(matches="matches"))
     o["QST7"] = sql("SELECT question_id, product_id FROM known WHERE product_id IS NOT NULL", QUESTIONS,
-                    CONTEXT.format(matches="(SELECT * FROM matches WHERE false)"))
+                    CONTEXT.format(matches="matches"))
 
     o["UDF1"] = sql(f"SELECT {KEYED}, units_sold, {r('CAST(units_sold AS DOUBLE) / sum(units_sold) OVER (PARTITION BY product_id ORDER BY sales.date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS share FROM sales WHERE units_sold > 0")
     o["UDF2"] = sql(f"SELECT {KEYED}, {r(linear_terms(lambda c: c), 4)} AS prediction FROM features", FEATURE_CTES)
-    o["UDF3"] = sql(f"SELECT product_id, {r('avg(units_sold)', 4)} AS center, {r('stddev_pop(units_sold)', 4)} AS scale FROM sales WHERE date < DATE '{q.SPLIT}' GROUP BY product_id")
+    o["UDF3"] = sql(f"SELECT product_id, {r('avg(units_sold)', 4)} AS center, {r('CASE WHEN stddev_pop(units_sold) > 0 THEN stddev_pop(units_sold) ELSE 1 END', 4)} AS scale, 30 AS lags FROM sales WHERE date < DATE '{q.SPLIT}' GROUP BY product_id")
     return o
 
 

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from datetime import date, timedelta
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from shelfcast.functions import policy, text as words
-from shelfcast.operators import (bundles, evaluate, explain, features as feat, forecast as fc, history,
+from shelfcast.operators import (bundles, dispatch, evaluate, explain, features as feat, forecast as fc, history,
                                  models, seasonal, sequence, similarity)
 from shelfcast.plans import competitors, portfolio, questions
 from shelfcast.registry.data import Data
 from shelfcast.schemas import STORED_TABLES
-from shelfcast.session import new_folder
+from shelfcast.session import materialize, new_folder
 from shelfcast.sources import files, generator, retail
 from shelfcast.sources.store import Store, new_rows
 
 SPLIT = "2001-01-01"
+# Validation days of the models: from here to the split.
+VALIDATION = "2000-07-01"
 HORIZON = 30
 ONE_PRODUCT = "Brand#17-ECONOMY"
 # A linear model with set weights, so that its recursion can be checked by SQL.
@@ -26,15 +29,7 @@ WEIGHTS = {"sales_lag_1": 0.2, "sales_lag_7": 0.25, "sales_lag_30": 0.1, "rollin
            "rolling_std_14": 0.05, "rolling_min_7": -0.1, "rolling_max_7": 0.04, "is_weekend": 0.5,
            "month_sin": 0.4, "on_promo_lag7": 0.7, "unit_price": 0.0005}
 INTERCEPT = 0.8
-HW_SETS = [(0.3, 0.1, 0.2)]
 ELASTICITY = {"ECONOMY": -1.8, "PROMO": -1.6, "LARGE": -1.3, "SMALL": -1.2}
-# Sizes of the tree models for one machine; the library defaults are the full ones.
-TREES = {"Random Forest": dict(numTrees=10, maxDepth=8),
-         "Gradient Boosting": dict(maxIter=8),
-         "LightGBM": dict(maxIter=8),
-         "XGBoost": dict(maxIter=8),
-         "Linear Regression": {},
-         "Support Vector (RBF)": {}}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -94,7 +89,7 @@ def new_products(d: Data):
 def stored_table(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    store.seed_products(d.stored_sales)
+    store.seed_products(d.sales)
     return store.read("products")
 
 
@@ -109,7 +104,7 @@ def written_sales(d: Data):
 @query("SNK2")
 def exported_portfolio(d: Data):
     path = new_folder(d.spark, "export")
-    view = portfolio.export_view(portfolio.optimize_portfolio(d.stored_panel, fc.seasonal_naive(d.stored_panel, HORIZON), HORIZON))
+    view = portfolio.export_view(seasonal_portfolio(d))
     files.write_csv(view, path)
     return d.spark.read.schema(view.schema).csv(path, header=True, escape='"')
 
@@ -120,19 +115,23 @@ def naive_metrics(d: Data) -> DataFrame:
 
 @query("SNK3")
 def metrics_report(d: Data):
-    path = new_folder(d.spark, "metrics")
-    metrics = naive_metrics(d)
-    for model in ("Naive", "Seasonal Naive"):
-        metrics.where(F.col("model") == model).write.mode("append").json(path)
-    merged = d.spark.read.schema(evaluate.METRICS_SCHEMA).json(path)
-    return evaluate.rank_models(merged)
+    """Two runs of the report: the second replaces the entry of a model that it evaluates again."""
+    scored = hold_out(d)
+    cells = F.lit(d.lineitem.where(F.col("l_shipdate") < F.lit(SPLIT)).count())
+    entries = materialize(evaluate.metrics_entries(scored, SPLIT, cells), "metrics")
+    first = new_folder(d.spark, "metrics")
+    entries.withColumn("mae", F.col("mae") + 1).write.json(first)
+    again = evaluate.merge_metrics(d.spark.read.schema(entries.schema).json(first), entries)
+    second = new_folder(d.spark, "metrics")
+    again.write.json(second)
+    return evaluate.rank_models(d.spark.read.schema(entries.schema).json(second))
 
 
 @query("SNK4")
 def result_tables(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    store.seed_products(d.stored_sales)
+    store.seed_products(d.sales)
     store.create()
     counts = [store.read(t).agg(F.count("*").alias("n")).select(F.lit(t).alias("table_name"), "n")
               for t in STORED_TABLES]
@@ -165,7 +164,7 @@ def seeded_sales(d: Data):
 def stored_forecasts(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    store.save_forecasts(fc.as_arrays(fc.seasonal_naive(d.panel, 14)), "Seasonal Naive")
+    store.save_forecasts(fc.as_arrays(fc.seasonal_naive(d.recent(7), 14)), "Seasonal Naive")
     return store.read("forecasts").drop("created_at")
 
 
@@ -173,17 +172,35 @@ def stored_forecasts(d: Data):
 def stored_optimization(d: Data):
     store = Store(d.spark, new_folder(d.spark, "store"))
     store.create()
-    rows = portfolio.optimize_fixed_stock(d.stored_panel, fc.seasonal_naive(d.stored_panel, 14), 14, with_series=False)
+    week = d.recent(7)
+    rows = portfolio.optimize_fixed_stock(week, fc.seasonal_naive(week, 14), 14, with_series=False)
     store.save_optimization(rows, "Seasonal Naive")
-    return store.read("inventory_optimization").drop("created_at")
+    return store.read("stock_policy").drop("created_at")
 
 
 @query("SNK9")
 def saved_model(d: Data):
+    """Keys of the scored rows of three kinds of model, and whether a loaded one agrees with the one in memory."""
     train, test = feat.split_at(d.stored_features, SPLIT)
-    path = new_folder(d.spark, "model")
-    models.save(models.fit("Linear Regression", train), path)
-    return rounded(models.predict(models.load(path), test), 3)
+    parts = []
+    for kind in ("Linear Regression", "Support Vector (RBF)"):
+        fitted_model, path = models.fit(kind, train), new_folder(d.spark, "model")
+        models.save(fitted_model, path)
+        now = models.predict(fitted_model, test)
+        then = models.predict(models.load(path, kind), test).withColumnRenamed("predicted_units", "loaded")
+        parts.append(_agreement(now.join(then.drop("actual"), ["product_id", "forecast_date"]), kind))
+    kind, path = "Seasonal Baseline (Holt-Winters)", new_folder(d.spark, "model")
+    states = seasonal.fit(d.sales)
+    models.save(states, path)
+    now = seasonal.forecast(states, 7)
+    then = seasonal.forecast(models.load(path, kind), 7).withColumnRenamed("predicted_units", "loaded")
+    parts.append(_agreement(now.join(then.drop("step"), ["product_id", "forecast_date"]), kind))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _agreement(both: DataFrame, kind: str) -> DataFrame:
+    same = F.abs(F.col("predicted_units") - F.col("loaded")) <= 1e-6 * (1 + F.abs("loaded"))
+    return both.select(F.lit(kind).alias("model"), "product_id", "forecast_date", same.alias("agrees"))
 
 
 # ---- projections and filters
@@ -214,7 +231,7 @@ def normalized_prices(d: Data):
 
 @query("PRJ5")
 def display_view(d: Data):
-    return portfolio.export_view(portfolio.optimize_portfolio(d.stored_panel, fc.naive(d.stored_panel, HORIZON), HORIZON))
+    return portfolio.export_view(portfolio.optimize_portfolio(d.recent(1), fc.naive(d.recent(1), HORIZON), HORIZON))
 
 
 def with_nulls(d: Data) -> DataFrame:
@@ -247,8 +264,10 @@ def filtered_products(d: Data):
 
 @query("FLT4")
 def one_product(d: Data):
-    named = (F.col("brand") == "Brand#17") & (F.col("product_name") == "Brand#17 ECONOMY")
-    return d.sales.where((F.col("product_id") == ONE_PRODUCT) | named).orderBy("date")
+    """The product is picked in the small parts table, so only its order lines are aggregated."""
+    named = (F.col("p_brand") == "Brand#17") & (F.concat_ws(" ", "p_brand", "p_type") == "Brand#17 ECONOMY")
+    parts = d.part.where((retail.product_id() == ONE_PRODUCT) | named)
+    return retail.daily_sales(d.lineitem, parts).orderBy("date")
 
 
 @query("FLT5")
@@ -257,7 +276,9 @@ def unknown_products(d: Data):
 
 
 def seasonal_portfolio(d: Data, **options) -> DataFrame:
-    return portfolio.optimize_portfolio(d.stored_panel, fc.seasonal_naive(d.stored_panel, HORIZON), HORIZON, **options)
+    """A season of seven days and the last attributes are all it looks at."""
+    week = d.recent(7)
+    return portfolio.optimize_portfolio(week, fc.seasonal_naive(week, HORIZON), HORIZON, **options)
 
 
 @query("FLT6")
@@ -273,8 +294,7 @@ def risk_map(d: Data):
 
 @query("FLT8")
 def similar_pairs(d: Data):
-    pairs = similarity.product_pairs(d.stored_sales, d.product_count, digits=3)
-    return bundles.at_least_similar(pairs, 0.02)
+    return similarity.product_pairs(d.stored_sales, d.product_count, digits=3, min_similarity=0.02)
 
 
 @query("FLT9")
@@ -293,23 +313,18 @@ def product_days(d: Data):
 
 @query("JN2")
 def unordered_pairs(d: Data):
-    return similarity.product_pairs(d.stored_sales, d.product_count).select("product_a", "product_b")
+    return similarity.varying_pairs(d.stored_sales, d.product_count)
 
 
 @query("JN3")
 def named_pairs(d: Data):
-    pairs = similarity.product_pairs(d.stored_sales, d.product_count).select("product_a", "product_b")
-    return bundles.with_names(pairs, d.catalog)
-
-
-def all_pairs(d: Data) -> DataFrame:
-    return similarity.product_pairs(d.stored_sales, d.product_count, digits=3)
+    return bundles.with_names(similarity.varying_pairs(d.stored_sales, d.product_count), d.catalog)
 
 
 @query("JN4")
 def pair_averages(d: Data):
     known = d.stored_sales.where(F.col("category") != "SMALL")
-    return bundles.with_sales_impact(all_pairs(d).drop("similarity"), known)
+    return bundles.with_sales_impact(similarity.varying_pairs(d.stored_sales, d.product_count), known)
 
 
 @query("JN5")
@@ -358,8 +373,10 @@ def panel_counts(d: Data):
 
 @query("AGG2")
 def distinct_catalog(d: Data):
-    return d.sales.select("product_id", "brand", "product_name", "category", "lead_time_days").distinct().orderBy(
-        "product_id")
+    """Products of the catalog with a sale: a semi-join on the sold part keys, no daily sums."""
+    sold = d.part.join(d.lineitem.select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi")
+    return (d.catalog.join(sold.select(retail.product_id().alias("product_id")).distinct(), "product_id", "left_semi")
+            .select("product_id", "brand", "product_name", "category", "lead_time_days").orderBy("product_id"))
 
 
 @query("AGG3")
@@ -372,7 +389,9 @@ def wide_pivot(d: Data):
     return rounded(similarity.sales_pivot(d.stored_sales, PIVOT_IDS))
 
 
-PIVOT_IDS = ["Brand#17-ECONOMY", "Brand#11-MEDIUM", "Brand#1-LARGE"]
+# A wide table names its columns: every brand with every type of the parts table.
+PIVOT_IDS = [f"Brand#{brand}-{kind}" for brand in range(1, 26)
+             for kind in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")]
 
 
 @query("AGG5")
@@ -384,12 +403,12 @@ def recent_demand(d: Data):
 
 @query("AGG6")
 def forecast_summary(d: Data):
-    return rounded(fc.demand_summary(fc.seasonal_naive(d.panel, 45)), 4)
+    return rounded(fc.demand_summary(fc.seasonal_naive(d.recent(7), 45)), 4)
 
 
 @query("AGG7")
 def forecast_peak(d: Data):
-    return fc.peak(fc.seasonal_naive(d.panel, HORIZON))
+    return fc.peak(fc.seasonal_naive(d.recent(7), HORIZON))
 
 
 @query("AGG8")
@@ -399,7 +418,7 @@ def summary_counts(d: Data):
 
 @query("AGG9")
 def global_mean(d: Data):
-    return rounded(evaluate.mean_units(d.panel))
+    return rounded(retail.panel_mean(d.lineitem, d.part))
 
 
 @query("AGG10")
@@ -484,7 +503,7 @@ def scaled(d: Data):
 
 @query("WIN10")
 def hold_last(d: Data):
-    return rounded(feat.hold_last_features(d.panel, 14))
+    return rounded(feat.hold_last_features(d.recent(30), 14))
 
 
 @query("WIN11")
@@ -506,7 +525,7 @@ def top_products(d: Data):
 
 @query("SRT3")
 def top_bundles(d: Data):
-    return bundles.best_pairs(all_pairs(d), 10)
+    return bundles.best_pairs(similarity.product_pairs(d.stored_sales, d.product_count, digits=3, best=10), 10)
 
 
 @query("SRT4")
@@ -606,7 +625,7 @@ def hash_factor(d: Data):
 
 @query("FN9")
 def array_tail(d: Data):
-    state = feat.recent_history(d.panel)
+    state = feat.recent_history(d.recent(30))
     tail = feat._tail(F.concat("units", F.array(F.lit(1.0))), 7)
     return state.select("product_id", F.element_at("units", -1).alias("last"), F.element_at("units", -7).alias("week_ago"),
                         F.size("units").alias("n"), feat._add(tail).alias("tail_sum"),
@@ -625,7 +644,7 @@ def metrics_entries(d: Data):
 
 def fitted(d: Data, model: str):
     train, test = feat.split_at(d.stored_features, SPLIT)
-    return models.fit(model, train, **TREES[model]), train, test
+    return models.fit(model, train), train, test
 
 
 def model_errors(d: Data, model: str) -> DataFrame:
@@ -640,13 +659,12 @@ for _key, _model in {"MDL1": "Linear Regression", "MDL2": "Random Forest", "MDL3
 
 @query("MDL7")
 def holt_winters(d: Data):
-    rows = seasonal.fit(d.counts)
-    return rounded(rows.drop("season", "last_date"), 5)
+    return rounded(seasonal.fit(d.sales).drop("season", "last_date"), 5)
 
 
 @query("MDL8")
 def seasonal_naive(d: Data):
-    return fc.seasonal_naive(d.panel, HORIZON)
+    return fc.seasonal_naive(d.recent(7), HORIZON)
 
 
 @query("MDL9")
@@ -657,23 +675,23 @@ def sequence_model(d: Data):
 
 @query("FC1")
 def recursive_linear(d: Data):
-    return rounded(fc.with_linear(d.panel, WEIGHTS, INTERCEPT, 14))
+    return rounded(fc.with_linear(d.recent(30), WEIGHTS, INTERCEPT, 14))
 
 
 @query("FC1_MODEL")
 def recursive_model(d: Data):
     pipeline, _, _ = fitted(d, "Random Forest")
-    return rounded(fc.with_model(d.panel, pipeline, 14), 4)
+    return rounded(fc.with_model(d.recent(30), pipeline, 14), 4)
 
 
 @query("FC2")
 def naive(d: Data):
-    return fc.naive(d.panel, HORIZON)
+    return fc.naive(d.recent(1), HORIZON)
 
 
 @query("FC3")
 def seasonal_forecast(d: Data):
-    return rounded(seasonal.forecast(seasonal.fit(d.counts, HW_SETS), 14), 4)
+    return rounded(seasonal.forecast(seasonal.fit(d.sales), 14), 3)
 
 
 @query("FC4")
@@ -681,41 +699,45 @@ def sequence_forecast(d: Data):
     return rounded(sequence.forecast(d.stored_panel, sequence.fit(d.stored_panel), 14), 3)
 
 
-def forecast_for(d: Data, model: str, horizon: int) -> DataFrame:
-    """The forecast behind a resolved model name."""
-    if model == "Seasonal Baseline (Holt-Winters)":
-        return seasonal.forecast_or_naive(d.stored_panel, horizon)
-    if model == "LSTM (PyTorch)":
-        return sequence.forecast(d.stored_panel, sequence.fit(d.stored_panel), horizon)
-    pipeline, _, _ = fitted(d, model)
-    return fc.with_model(d.stored_panel, pipeline, horizon)
-
-
 @query("FC5")
 def dispatched(d: Data):
-    kinds = ["Seasonal Baseline (Holt-Winters)", "LSTM (PyTorch)", "Linear Regression"]
-    parts = [forecast_for(d, m, 7).withColumn("model", F.lit(m)) for m in kinds]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 3)
+    """A week ahead from every kind of model."""
+    train, _ = feat.split_at(d.stored_features, SPLIT)
+    parts = [dispatch.forecast(kind, train, d.stored_sales, d.stored_panel, 7).withColumn("model", F.lit(kind))
+             for kind in words.MODEL_NAMES]
+    return rounded(reduce(DataFrame.unionByName, parts), 3)
 
 
 @query("FC6")
 def requested_forecasts(d: Data):
-    asked = d.requests.select("request_id", "product_id", "horizon",
-                              words.resolve_model(F.col("model_text")).alias("model")).where(F.col("model").isNotNull())
-    naive_part = fc.naive(d.panel, 14).withColumn("model", F.lit("Linear Regression"))
-    season_part = fc.seasonal_naive(d.panel, 14).withColumn("model", F.lit("Seasonal Baseline (Holt-Winters)"))
-    return fc.for_requests(asked, naive_part.unionByName(season_part))
+    """Every request gets an answer: forecast rows, or one row that says what is missing.
+
+    Two kinds are at hand here, the linear model with set weights and Holt-Winters.
+    """
+    asked = d.requests.select("request_id", "product_id", "horizon", words.resolve_model(F.col("model_text")).alias("model"))
+    line = fc.with_linear(d.recent(30), WEIGHTS, INTERCEPT, 14).withColumn("model", F.lit("Linear Regression"))
+    season = (seasonal.forecast_or_naive(d.stored_sales, 14)
+              .withColumn("model", F.lit("Seasonal Baseline (Holt-Winters)")))
+    return fc.for_requests(asked, d.catalog, line.unionByName(season))
 
 
 # ---- evaluation and explanation
 
 def hold_out(d: Data) -> DataFrame:
     """Naive and seasonal-naive forecasts of the hold-out next to the actual units."""
-    train, test = feat.split_at(d.stored_panel, SPLIT)
-    horizon = d.lineitem.agg(F.datediff(F.max("l_shipdate"), F.lit(SPLIT).cast("date"))).first()[0] + 1
-    both = (fc.naive(train, horizon).withColumn("model", F.lit("Naive"))
+    # The forecasts look at the last week before the split, the comparison at the days after it.
+    train, test = feat.split_at(materialize(d.since(days_before(SPLIT, 7)), "hold-out"), SPLIT)
+    horizon = (d.last_day - date.fromisoformat(SPLIT)).days + 1
+    return evaluate.hold_out(naive_pair(train, horizon), test)
+
+
+def days_before(day: str, n: int) -> str:
+    return (date.fromisoformat(day) - timedelta(days=n)).isoformat()
+
+
+def naive_pair(train: DataFrame, horizon: int) -> DataFrame:
+    return (fc.naive(train, horizon).withColumn("model", F.lit("Naive"))
             .unionByName(fc.seasonal_naive(train, horizon).withColumn("model", F.lit("Seasonal Naive"))))
-    return evaluate.hold_out(both, test)
 
 
 @query("EVL1")
@@ -740,11 +762,16 @@ def ranked_models(d: Data):
 
 @query("EVL5")
 def boosting_rounds(d: Data):
+    """Both boosters, validated on the last months before the split over all products."""
     train, _ = feat.split_at(d.stored_features, SPLIT)
-    tail = evaluate.ordered_tail(train, 200)
-    pipeline = models.fit("Gradient Boosting", evaluate.before_tail(train, tail), **TREES["Gradient Boosting"])
-    rows = pipeline.stages[0].transform(tail)
-    return rounded(evaluate.round_errors(pipeline.stages[-1], rows), 3)
+    early, late = feat.split_at(train, VALIDATION)
+    parts = []
+    for model in ("Gradient Boosting", "LightGBM"):
+        pipeline = models.fit(model, early)
+        rounds = evaluate.round_errors(pipeline.stages[-1], pipeline.stages[0].transform(late))
+        parts.append(rounds.select(F.lit(model).alias("model"), "*",
+                                   (F.col("epoch") == evaluate.best_round(rounds).scalar()).alias("is_best")))
+    return rounded(parts[0].unionByName(parts[1]), 3)
 
 
 @query("EVL6")
@@ -754,14 +781,13 @@ def precision(d: Data):
 
 @query("EVL7")
 def leaderboard(d: Data):
-    train, test = feat.split_at(d.stored_panel, SPLIT)
-    early, late = feat.split_at(train, "2000-07-01")
-    horizon = 184
-    val = (fc.naive(early, horizon).withColumn("model", F.lit("Naive"))
-           .unionByName(fc.seasonal_naive(early, horizon).withColumn("model", F.lit("Seasonal Naive"))))
+    shown = materialize(retail.panel_between(
+        d.lineitem, d.part, date.fromisoformat(days_before(VALIDATION, 7)), date.fromisoformat(days_before(SPLIT, 1))), "validation")
+    early, late = feat.split_at(shown, VALIDATION)
+    horizon = (date.fromisoformat(SPLIT) - date.fromisoformat(VALIDATION)).days
     return evaluate.leaderboard(
-        evaluate.errors(evaluate.hold_out(val, late), "model"), naive_metrics(d),
-        evaluate.mean_units(late), evaluate.mean_units(d.stored_panel), active="Naive")
+        evaluate.errors(evaluate.hold_out(naive_pair(early, horizon), late), "model"), naive_metrics(d),
+        evaluate.mean_units(late), retail.panel_mean(d.lineitem, d.part), active="Naive")
 
 
 @query("XAI1")
@@ -772,15 +798,15 @@ def global_importance(d: Data):
 @query("XAI2")
 def sampled_shapley(d: Data):
     pipeline, train, _ = fitted(d, "Random Forest")
-    rows = explain.sample(train, explain.EXPLAINED_ROWS)
-    parts = explain.sampled_contributions(pipeline, rows, train, permutations=4)
+    rows = explain.sample(train, 200)
+    parts = explain.sampled_contributions(pipeline, rows, train)
     return rounded(parts.select("product_id", "date", "feature", "contribution"), 4)
 
 
 @query("XAI3")
 def local_explanations(d: Data):
     train, _ = feat.split_at(d.stored_features, SPLIT)
-    ahead = feat.hold_last_features(d.stored_panel, 1)
+    ahead = feat.hold_last_features(d.recent(30), 1)
     parts = explain.linear_contributions(ahead, train, WEIGHTS)
     base = explain.feature_means(train, list(WEIGHTS)).select(
         fc.linear_score({c: F.col(c) for c in WEIGHTS}, WEIGHTS, INTERCEPT)).scalar()
@@ -791,7 +817,7 @@ def local_explanations(d: Data):
 @query("XAI3_DRIVERS")
 def top_drivers(d: Data):
     return rounded(explain.drivers(explain.linear_contributions(
-        feat.hold_last_features(d.panel, 1), d.stored_features, WEIGHTS)), 4)
+        feat.hold_last_features(d.recent(30), 1), d.stored_features, WEIGHTS)), 4)
 
 
 # ---- inventory policy
@@ -867,7 +893,7 @@ def joined_series(rows: DataFrame) -> DataFrame:
 
 @query("INV9")
 def single_summary(d: Data):
-    return joined_series(portfolio.summarize_product(d.stored_panel, fc.seasonal_naive(d.stored_panel, 14), ONE_PRODUCT, 14))
+    return joined_series(portfolio.summarize_product(d.recent(7), fc.seasonal_naive(d.recent(7), 14), ONE_PRODUCT, 14))
 
 
 @query("INV10")
@@ -877,13 +903,12 @@ def whole_portfolio(d: Data):
 
 @query("INV11")
 def fixed_stock(d: Data):
-    return joined_series(portfolio.optimize_fixed_stock(d.stored_panel, fc.seasonal_naive(d.stored_panel, 14), 14, current_stock=80))
+    return joined_series(portfolio.optimize_fixed_stock(d.recent(7), fc.seasonal_naive(d.recent(7), 14), 14, current_stock=80))
 
 
 @query("INV12")
 def drill_down(d: Data):
-    forecast = fc.seasonal_naive(d.stored_panel, HORIZON)
-    return portfolio.drill_down(d.stored_panel, forecast, seasonal_portfolio(d))
+    return portfolio.drill_down(d.recent(60), fc.seasonal_naive(d.recent(7), HORIZON), seasonal_portfolio(d))
 
 
 # ---- pricing
@@ -920,7 +945,7 @@ def threats(d: Data):
 @query("PR4")
 def competitor_summary(d: Data):
     return money(competitors.competitor_summary(
-        history.product_attributes(d.sales), competitors.elasticity_table(d.spark), d.offers))
+        history.product_attributes(d.sales), competitors.elasticity_table(d.spark, ELASTICITY), d.offers))
 
 
 # ---- recommendation and questions
@@ -947,7 +972,7 @@ def dossiers(d: Data):
 
 @query("QST3")
 def leaders(d: Data):
-    return questions.demand_leaders(d.stored_sales)
+    return questions.demand_leaders(d.sales)
 
 
 @query("QST4")
@@ -967,8 +992,8 @@ def routed(d: Data):
 
 @query("QST7")
 def in_context(d: Data):
-    nothing = d.questions.select("question_id", F.lit(None).cast("string").alias("matched_product")).where(F.lit(False))
-    return questions.context_product(d.questions, d.catalog, nothing).select("question_id", "product_id").where(
+    named = questions.named_products(d.questions, d.catalog)
+    return questions.context_product(d.questions, d.catalog, named).select("question_id", "product_id").where(
         F.col("product_id").isNotNull())
 
 
@@ -976,9 +1001,9 @@ def in_context(d: Data):
 
 @query("UDF1")
 def group_transform(d: Data):
-    share = lambda units: F.col(units) / F.sum(units).over(feat.by_product().rowsBetween(-6, 0))
-    positive = d.sales.where(F.col("units_sold") > 0)
-    return rounded(feat.transform_groups(positive.select(*KEY, "units_sold"), "share", share))
+    positive = d.sales.where(F.col("units_sold") > 0).select(*KEY, "units_sold")
+    week = feat.transform_groups(positive, "week_units", F.sum, frame=(-6, 0))
+    return rounded(week.withColumn("share", F.col("units_sold") / F.col("week_units")).drop("week_units"))
 
 
 class LinearPredictor:
@@ -1000,12 +1025,6 @@ def foreign_model(d: Data):
 
 @query("UDF3")
 def fit_by_group(d: Data):
-    import pandas as pd
-
-    def mean_and_spread(rows):
-        units = rows["units_sold"]
-        return pd.DataFrame({"product_id": [rows["product_id"].iloc[0]], "center": [float(units.mean())],
-                             "scale": [float(units.std(ddof=0))]})
-
-    train, _ = feat.split_at(d.sales.select(*KEY, "units_sold"), SPLIT)
-    return rounded(models.fit_per_product(train, mean_and_spread, "product_id string, center double, scale double"), 4)
+    """The sequence model of each product; its scaling can be checked by SQL."""
+    train, _ = feat.split_at(d.sales, SPLIT)
+    return rounded(sequence.fit(train).select("product_id", "center", "scale", F.size("weights").alias("lags")), 4)

@@ -40,7 +40,7 @@ STORED_TABLES = {
         T.StructField("predicted_units", T.DoubleType()),
         T.StructField("created_at", T.TimestampType()),
     ]),
-    "inventory_optimization": T.StructType([
+    "stock_policy": T.StructType([
         T.StructField("product_id", T.StringType()),
         T.StructField("model_name", T.StringType()),
         T.StructField("avg_daily_demand", T.DoubleType()),

@@ -12,7 +12,7 @@ every later per-product window or array by the length of the calendar.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -99,21 +99,37 @@ def daily_panel(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     return _with_attributes(_per_day(sold_lines(lineitem, part).unionByName(empty)), products)
 
 
-def recent_panel(lineitem: DataFrame, part: DataFrame, days: int, last_day: date | None = None) -> DataFrame:
-    """The last ``days`` days of the dense panel, equal to its last rows per product.
+def last_day(lineitem: DataFrame) -> date:
+    """The day of the last sale, from one column."""
+    return lineitem.agg(F.to_date(F.max("l_shipdate"))).first()[0]
 
-    The last day is one value, looked up from one column when not given. As a
-    literal compared with the bare ``l_shipdate`` it reaches the Parquet scan, where
-    dates and zoned timestamps skip old row groups; a subquery would not get there.
+
+def panel_between(lineitem: DataFrame, part: DataFrame, first: date, last: date) -> DataFrame:
+    """The dense panel from ``first`` to ``last``, both included.
+
+    As literals compared with the bare ``l_shipdate`` the days reach the Parquet scan,
+    where dates and zoned timestamps skip other row groups; a subquery would not get there.
     """
-    last = last_day or lineitem.agg(F.to_date(F.max("l_shipdate"))).first()[0]
-    first = F.date_sub(F.lit(last).cast("date"), days - 1)
     products = catalog(part)
-    empty = products.select(
-        "product_id", F.explode(F.sequence(first, F.lit(last).cast("date"))).alias("date"),
-        F.lit(0.0).alias("quantity"), F.lit(0.0).alias("discount"))
-    recent = lineitem.where(F.col("l_shipdate") >= first.cast(lineitem.schema["l_shipdate"].dataType))
-    return _with_attributes(_per_day(sold_lines(recent, part).unionByName(empty)), products)
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    empty = products.select("product_id", F.explode(days).alias("date"),
+                            F.lit(0.0).alias("quantity"), F.lit(0.0).alias("discount"))
+    kind = lineitem.schema["l_shipdate"].dataType
+    after = F.lit(last + timedelta(days=1)).cast("date").cast(kind)
+    lines = lineitem.where((F.col("l_shipdate") >= F.lit(first).cast("date").cast(kind)) & (F.col("l_shipdate") < after))
+    return _with_attributes(_per_day(sold_lines(lines, part).unionByName(empty)), products)
+
+
+def recent_panel(lineitem: DataFrame, part: DataFrame, days: int, last: date | None = None) -> DataFrame:
+    """The last ``days`` days of the dense panel, equal to its last rows per product."""
+    last = last or last_day(lineitem)
+    return panel_between(lineitem, part, last - timedelta(days=days - 1), last)
+
+
+def panel_mean(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Mean units per cell of the dense panel, without building it: all units over products times days."""
+    cells = catalog(part).agg(F.count("*").alias("n")).scalar() * calendar_days(lineitem).select(F.size("days")).scalar()
+    return sold_lines(lineitem, part).agg((F.sum("quantity") / cells).alias("mean_units"))
 
 
 def event_counts(events: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ class Store:
         self.append("forecasts", forecast_rows(forecasts, model))
 
     def save_optimization(self, rows: DataFrame, model: str) -> None:
-        self.append("inventory_optimization", optimization_rows(rows, model))
+        self.append("stock_policy", optimization_rows(rows, model))
 
 
 def new_rows(rows: DataFrame, stored: DataFrame, table: str, first_by: list[str | Column]) -> DataFrame:

@@ -11,22 +11,23 @@ from shelfcast.sources.generator import synthetic_sales  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     return session
 
 
 CATALOG = [
-    ("P101", "Apple", "iPhone 15 Pro", "Smartphone", 25, 4, 999, None, None),
-    ("P121", "Apple", "iPhone 16 Pro", "Smartphone", 20, 4, 1199, None, None),
-    ("P122", "Apple", "iPhone 16 Pro Max", "Smartphone", 18, 4, 1299, None, None),
-    ("P102", "Samsung", "Galaxy S24", "Smartphone", 20, 3, 799, None, None),
-    ("P103", "Samsung", "Smart Refrigerator 450L", "Refrigerator", 8, 7, 1250, None, None),
-    ("P104", "LG", "1.5T Inverter AC", "Air Conditioner", 12, 6, 620, [4, 5, 6, 7], 2.0),
-    ("P105", "LG", "4K Smart OLED TV 55\"", "Television", 10, 5, 1100, None, None),
+    ("K01", "Norvik", "Lantern 3 Lite", "Smartphone", 24, 4, 949, None, None),
+    ("K02", "Norvik", "Lantern 4 Lite", "Smartphone", 19, 4, 1149, None, None),
+    ("K03", "Norvik", "Lantern 4 Lite Plus", "Smartphone", 17, 4, 1249, None, None),
+    ("K04", "Ostra", "Beacon 24", "Smartphone", 21, 3, 749, None, None),
+    ("K05", "Ostra", "Cold Chest 450L", "Refrigerator", 9, 7, 1190, None, None),
+    ("K06", "Tarn", "Breeze 2 Cooler", "Air Conditioner", 12, 6, 640, [4, 5, 6, 7], 2.0),
+    ("K07", "Tarn", "Wide Screen 48\"", "Television", 11, 5, 1080, None, None),
 ]
 
 

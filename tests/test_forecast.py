@@ -35,7 +35,7 @@ def test_round_by_round_equals_the_fold(sales, linear):
 
 
 def test_recursion_against_plain_python(sales):
-    rows = sales.where("product_id = 'P101'").orderBy("date").toPandas()
+    rows = sales.where("product_id = 'K01'").orderBy("date").toPandas()
     weights = {"sales_lag_1": 0.5, "rolling_mean_7": 0.3, "rolling_std_3": 0.2, "is_weekend": 2.0}
     series, expected = list(rows["units_sold"].astype(float)), []
     for step in range(1, 11):
@@ -43,7 +43,7 @@ def test_recursion_against_plain_python(sales):
         value = 1.0 + 0.5 * series[-1] + 0.3 * np.mean(series[-7:]) + 0.2 * np.std(series[-3:]) + 2.0 * (day.weekday() >= 5)
         expected.append(max(0.0, value))
         series.append(max(0.0, value))
-    got = fc.with_linear(sales, weights, 1.0, 10).where("product_id = 'P101'").orderBy("step").collect()
+    got = fc.with_linear(sales, weights, 1.0, 10).where("product_id = 'K01'").orderBy("step").collect()
     np.testing.assert_allclose([r.predicted_units for r in got], expected, rtol=1e-9)
 
 
@@ -67,7 +67,7 @@ def test_saved_model_predicts_the_same(table, linear, spark):
     path = new_folder(spark, "model")
     models.save(linear, path)
     a = models.predict(linear, table)
-    assert a.exceptAll(models.predict(models.load(path), table)).count() == 0
+    assert a.exceptAll(models.predict(models.load(path, "Linear Regression"), table)).count() == 0
 
 
 def plain_smoothing(y, a, b, g):
@@ -84,9 +84,9 @@ def plain_smoothing(y, a, b, g):
 
 
 def test_smoothing_against_plain_python(sales):
-    rows = sales.where("product_id = 'P102'").orderBy("date").toPandas()["units_sold"].astype(float).tolist()
+    rows = sales.where("product_id = 'K04'").orderBy("date").toPandas()["units_sold"].astype(float).tolist()
     level, trend, season, sse = plain_smoothing(rows, 0.3, 0.1, 0.2)
-    state = seasonal.fit(sales, [(0.3, 0.1, 0.2)]).where("product_id = 'P102'")
+    state = seasonal.fit(sales, [(0.3, 0.1, 0.2)]).where("product_id = 'K04'")
     got = state.first()
     assert (got.level, got.trend, got.sse) == pytest.approx((level, trend, sse), rel=1e-9)
     ahead = [r.predicted_units for r in seasonal.forecast(state, 9).orderBy("step").collect()]
@@ -94,19 +94,19 @@ def test_smoothing_against_plain_python(sales):
 
 
 def test_grid_takes_the_lowest_error(sales):
-    best = seasonal.fit(sales).where("product_id = 'P102'").first()
-    rows = sales.where("product_id = 'P102'").orderBy("date").toPandas()["units_sold"].astype(float).tolist()
+    best = seasonal.fit(sales).where("product_id = 'K04'").first()
+    rows = sales.where("product_id = 'K04'").orderBy("date").toPandas()["units_sold"].astype(float).tolist()
     tried = [plain_smoothing(rows, a, b, g)[3] for a in (0.1, 0.5, 0.9) for b in (0.1, 0.5, 0.9) for g in (0.1, 0.5, 0.9)]
     assert best.sse <= min(tried) + 1e-6
 
 
 def test_series_with_zeros_fall_back_to_naive(sales):
-    zero = sales.withColumn("units_sold", F.when((F.col("product_id") == "P101") & (F.col("date") == "2024-05-05"), 0)
+    zero = sales.withColumn("units_sold", F.when((F.col("product_id") == "K01") & (F.col("date") == "2024-05-05"), 0)
                             .otherwise(F.col("units_sold")))
     got = seasonal.forecast_or_naive(zero, 7, [(0.3, 0.1, 0.2)])
     assert got.count() == 7 * 7
-    naive = fc.seasonal_naive(sales, 7).where("product_id = 'P101'")
-    assert got.where("product_id = 'P101'").exceptAll(naive).count() == 0
+    naive = fc.seasonal_naive(sales, 7).where("product_id = 'K01'")
+    assert got.where("product_id = 'K01'").exceptAll(naive).count() == 0
 
 
 def test_sequence_model_beats_the_naive_one(sales):
@@ -118,11 +118,11 @@ def test_sequence_model_beats_the_naive_one(sales):
 
 
 def test_sequence_weights_match_plain_numpy(sales):
-    y = sales.where("product_id = 'P103'").orderBy("date").toPandas()["units_sold"].to_numpy(float)
+    y = sales.where("product_id = 'K05'").orderBy("date").toPandas()["units_sold"].to_numpy(float)
     z = (y - y.mean()) / y.std()
     x = np.array([np.append(z[i:i + 30], 1.0) for i in range(len(z) - 30)])
     best = np.linalg.solve(x.T @ x + sequence.RIDGE * np.eye(31), x.T @ z[30:])
-    got = sequence.fit(sales).where("product_id = 'P103'").first()
+    got = sequence.fit(sales).where("product_id = 'K05'").first()
     np.testing.assert_allclose([*got.weights, got.bias], best, atol=1e-8)
 
 
@@ -174,9 +174,29 @@ def test_ranking_and_rounds(spark):
 
 
 def test_round_errors(table):
-    tail = evaluate.ordered_tail(table, 200)
-    train = evaluate.before_tail(table, tail)
-    assert train.count() == table.count() - 200
+    train, tail = feat.split_at(table, "2024-11-01")
     fitted = models.fit("Gradient Boosting", train, maxIter=4)
     rounds = evaluate.round_errors(fitted.stages[-1], fitted.stages[0].transform(tail)).collect()
     assert [r.epoch for r in rounds] == [1, 2, 3, 4] and all(r.val_rmse >= r.val_mae for r in rounds)
+
+
+def test_metrics_are_replaced_by_model(spark):
+    def scored(model, off):
+        return [(model, p, 10.0, 10.0 + off * k) for k, p in enumerate(("K01", "K02"), 1)]
+
+    schema = "model string, product_id string, actual double, predicted_units double"
+    old = evaluate.metrics_entries(spark.createDataFrame(scored("a", 4) + scored("b", 1), schema), "2024-01-01", F.lit(5))
+    new = evaluate.metrics_entries(spark.createDataFrame(scored("a", 2), schema), "2024-02-01", F.lit(7))
+    rows = {r.model: r for r in evaluate.merge_metrics(old, new).collect()}
+    assert set(rows) == {"a", "b"} and (rows["a"].mae, rows["a"].split_date, rows["a"].train_rows) == (3.0, "2024-02-01", 7)
+    assert rows["a"].per_product["K02"].mae == 4.0 and rows["b"].mae == 1.5 and rows["b"].test_rows == 2
+
+
+def test_every_request_is_answered(spark):
+    asked = spark.createDataFrame([(1, "K01", 2, "m"), (2, "K01", 2, None), (3, "none", 2, "m"), (4, "K01", 2, "other")],
+                                  "request_id int, product_id string, horizon int, model string")
+    ahead = spark.createDataFrame([("K01", "m", s, None, 1.0 * s) for s in (1, 2, 3)],
+                                  "product_id string, model string, step int, forecast_date date, predicted_units double")
+    got = fc.for_requests(asked, spark.createDataFrame([("K01",)], "product_id string"), ahead).collect()
+    assert sorted((r.request_id, r.step, r.status) for r in got if r.request_id == 1) == [(1, 1, "SUCCESS"), (1, 2, "SUCCESS")]
+    assert {r.request_id: r.status for r in got if r.request_id > 1} == {2: "UNKNOWN MODEL", 3: "UNKNOWN PRODUCT", 4: "NO FORECAST"}

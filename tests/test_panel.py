@@ -54,7 +54,7 @@ def test_generator_is_reproducible(catalog, sales):
     assert again.exceptAll(sales).count() == 0 and sales.count() == 7 * 366
     promo = sales.agg(F.avg("on_promo")).first()[0]
     assert 0.07 < promo < 0.13
-    assert sales.where("product_id = 'P101' and on_promo = 0").agg(F.max("unit_price")).first()[0] == 999 * 83.0
+    assert sales.where("product_id = 'K01' and on_promo = 0").agg(F.max("unit_price")).first()[0] == 949 * 83.0
     assert sales.where("units_sold < 0").count() == 0
 
 

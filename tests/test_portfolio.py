@@ -11,8 +11,8 @@ def forecast(sales):
 
 
 def test_counts_add_up_and_filter_holds(sales, forecast):
-    rows = portfolio.optimize_portfolio(sales, forecast, 30, brand="Apple", category=portfolio.ALL_CATEGORIES)
-    assert {r.brand for r in rows.collect()} == {"Apple"}
+    rows = portfolio.optimize_portfolio(sales, forecast, 30, brand="Norvik", category=portfolio.ALL_CATEGORIES)
+    assert {r.brand for r in rows.collect()} == {"Norvik"}
     s = portfolio.portfolio_summary(rows).first()
     assert s.total_products == 3 == s.high_risk_count + s.medium_risk_count + s.healthy_count
 
@@ -23,9 +23,9 @@ def test_empty_filter_gives_zeros(sales, forecast):
 
 
 def test_single_summary_equals_portfolio(spark, sales, forecast):
-    stock = spark.createDataFrame([("P101", 60)], "product_id string, stock int")
-    many = portfolio.optimize_portfolio(sales, forecast, 30, stock_overrides=stock).where("product_id = 'P101'").first()
-    one = portfolio.summarize_product(sales, forecast, "P101", 30, current_stock=60).first()
+    stock = spark.createDataFrame([("K01", 60)], "product_id string, stock int")
+    many = portfolio.optimize_portfolio(sales, forecast, 30, stock_overrides=stock).where("product_id = 'K01'").first()
+    one = portfolio.summarize_product(sales, forecast, "K01", 30, current_stock=60).first()
     for field in ("avg_daily_demand", "safety_stock", "reorder_point", "eoq", "days_of_supply", "needs_restock",
                   "recommended_order_qty", "lead_time_days"):
         assert many[field] == one[field], field
@@ -33,9 +33,9 @@ def test_single_summary_equals_portfolio(spark, sales, forecast):
 
 
 def test_missing_forecast_gives_an_error_row(sales, forecast):
-    rows = portfolio.optimize_portfolio(sales, forecast.where("product_id <> 'P102'"), 30)
+    rows = portfolio.optimize_portfolio(sales, forecast.where("product_id <> 'K04'"), 30)
     bad = rows.where("risk_level = 'ERROR'").collect()
-    assert [r.product_id for r in bad] == ["P102"]
+    assert [r.product_id for r in bad] == ["K04"]
     assert bad[0].reorder_point == 0.0 and bad[0].current_stock == 0 and bad[0].action == "Forecast Unavailable"
     s = portfolio.portfolio_summary(rows).first()
     assert s.total_products == 7 and s.high_risk_count + s.medium_risk_count + s.healthy_count == 6
@@ -55,5 +55,5 @@ def test_attention_list_is_sorted(sales, forecast):
 def test_drill_down_joins_history_and_forecast(sales, forecast):
     rows = portfolio.drill_down(sales, forecast, portfolio.optimize_portfolio(sales, forecast, 30))
     counts = {(r.product_id, r.kind): r["count"] for r in rows.groupBy("product_id", "kind").count().collect()}
-    assert counts[("P101", "history")] == 60 and counts[("P101", "forecast")] == 30
+    assert counts[("K01", "history")] == 60 and counts[("K01", "forecast")] == 30
     assert rows.where(F.col("message").isNull()).count() == 0

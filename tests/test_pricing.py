@@ -7,13 +7,13 @@ from shelfcast.plans import competitors
 
 @pytest.fixture(scope="module")
 def products(spark):
-    return spark.createDataFrame([("P101", "Smartphone", 82917.0), ("P900", "Unknown", 100.0)],
+    return spark.createDataFrame([("K01", "Smartphone", 82917.0), ("P900", "Unknown", 100.0)],
                                  "product_id string, category string, last_price double")
 
 
 def test_summary_has_positive_prices(spark, products):
     rows = {r.product_id: r for r in competitors.competitor_summary(products, competitors.elasticity_table(spark)).collect()}
-    row = rows["P101"]
+    row = rows["K01"]
     for shop in pricing.SHOP_NOISE:
         assert 0.89 < float(row[f"{shop}_price"]) / 82917.0 < 1.09
     assert row.competitor_avg_price > 0 and row.relative_price_index > 0 and row.ped == -1.8
@@ -21,9 +21,9 @@ def test_summary_has_positive_prices(spark, products):
 
 
 def test_offers_win_when_positive(spark, products):
-    offers = spark.createDataFrame([("P101", 70000.0, 0.0, 71000.0)],
+    offers = spark.createDataFrame([("K01", 70000.0, 0.0, 71000.0)],
                                    "product_id string, amazon_price double, flipkart_price double, reliance_price double")
-    row = competitors.competitor_prices(competitors.our_prices(products), offers).where("product_id = 'P101'").first()
+    row = competitors.competitor_prices(competitors.our_prices(products), offers).where("product_id = 'K01'").first()
     assert float(row.amazon_price) == 70000.0 and float(row.reliance_price) == 71000.0 and row.flipkart_price > 0
 
 

@@ -14,7 +14,7 @@ def wide(sales):
 def gappy(sales):
     """Sales with days missing at random per product, and one product without variance."""
     kept = sales.where(F.pmod(F.xxhash64("product_id", "date"), F.lit(5)) > 0)
-    flat = kept.where("product_id = 'P101'").withColumn("product_id", F.lit("FLAT")).withColumn(
+    flat = kept.where("product_id = 'K01'").withColumn("product_id", F.lit("FLAT")).withColumn(
         "units_sold", F.lit(3).cast("long"))
     return kept.unionByName(flat)
 
@@ -40,7 +40,7 @@ def test_matrix_is_symmetric_with_unit_diagonal(sales):
 
 
 def test_pivot_has_dates_by_products(gappy):
-    ids = ["P101", "P102"]
+    ids = ["K01", "K04"]
     got = similarity.sales_pivot(gappy, ids).orderBy("date").toPandas()
     expected = wide(gappy)
     assert len(got) == len(expected)

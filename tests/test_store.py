@@ -20,7 +20,7 @@ def test_creates_four_tables_once(store, sales):
     store.seed_products(sales)
     store.create()
     assert {t: store.read(t).count() for t in STORED_TABLES} == {
-        "products": 7, "sales": 0, "forecasts": 0, "inventory_optimization": 0}
+        "products": 7, "sales": 0, "forecasts": 0, "stock_policy": 0}
 
 
 def test_duplicates_are_ignored_and_first_row_wins(store, sales):
@@ -32,23 +32,23 @@ def test_duplicates_are_ignored_and_first_row_wins(store, sales):
 
 
 def test_null_fields_are_refused(store, sales):
-    store.seed_products(sales.withColumn("category", F.when(F.col("product_id") != "P101", F.col("category"))))
-    assert store.read("products").where("product_id = 'P101'").count() == 0
+    store.seed_products(sales.withColumn("category", F.when(F.col("product_id") != "K01", F.col("category"))))
+    assert store.read("products").where("product_id = 'K01'").count() == 0
 
 
 def test_forecast_rows(store, spark):
-    rows = spark.createDataFrame([("P101", ["2026-01-01", "2026-01-02"], [30.5, 29.8])],
+    rows = spark.createDataFrame([("K05", ["2027-03-05", "2027-03-06", "2027-03-07"], [4.25, 0.0, 11.5])],
                                  "product_id string, forecast_dates array<string>, forecast array<double>")
-    store.save_forecasts(rows, "Random Forest")
+    store.save_forecasts(rows, "LightGBM")
     got = store.read("forecasts")
-    assert got.count() == 2 and got.agg(F.sum("predicted_units")).first()[0] == pytest.approx(60.3)
+    assert got.count() == 3 and got.agg(F.sum("predicted_units")).first()[0] == pytest.approx(15.75)
     assert got.where("created_at is null").count() == 0
 
 
 def test_optimization_rows(store, sales):
     rows = portfolio.optimize_fixed_stock(sales, fc.naive(sales, 14), 14, with_series=False)
     store.save_optimization(rows, "Naive")
-    got = store.read("inventory_optimization")
+    got = store.read("stock_policy")
     assert got.count() == 7 and {r.needs_restock for r in got.collect()} <= {0, 1}
 
 
