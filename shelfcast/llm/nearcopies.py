@@ -3,9 +3,9 @@
 Documents with equal shingle sets are one class. Classes that share a band meet
 at the smallest class of that band first, so a band with k classes gives k - 1
 pairs. Only classes that this leaves in another component than their band's
-smallest one are compared with the other members of the band, and only where the
-triangle inequality of the Jaccard distance allows a link. Every link is confirmed
-on full shingle sets.
+smallest one, the strays, are compared with the other members as well: as blocks
+of queries that all members stream past, never as rows of pairs. Every link is
+confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -173,7 +173,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows with a null id are linked with nothing, have a null component and are kept.
     A null text is empty. Other columns are not read. An empty table gives no rows.
     Bands of 4 of 96 registers find a pair at similarity 0.8 with 1 - 3e-6; every pair
-    that shares a band is decided on full sets or by the triangle inequality.
+    that shares a band and is not joined otherwise is decided on full sets.
     """
     texts = in_small_batches(df).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketches = materialize(texts.mapInArrow(_sketch(words), "doc_id long, n long, f1 long, f2 long, bands array<long>"),
@@ -188,9 +188,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     link = 100 * F.col("both") >= percent * F.col("either")
     links = tested.where(link).select("a", "b")
     found = materialize(components(links), "components")
-    rest = materialize(_remainder(members, tested, found, percent), "remainder")
-    more = materialize(verify(rest, bodies, words), "tested")
-    more_links = more.where(link).select("a", "b")
+    more_links = materialize(rest_links(_strays(members, found), bodies, words, percent), "links")
     if not more_links.isEmpty():
         found = materialize(components(links.unionByName(more_links)), "components")
     named = (classes.join(found, "node", "left")
@@ -216,26 +214,71 @@ def _candidates(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     return pairs, members
 
 
-def _remainder(members: DataFrame, tested: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a band, lie in different components and are not excluded by their distances to the pivot."""
-    apart = 1 - percent / 100
-    known = tested.groupBy("a", "b").agg(F.min(1 - F.col("both") / F.col("either")).alias("d"))
-    m = (members.join(found.select(F.col("node").alias("x"), F.col("component").alias("own")), F.col("node") == F.col("x"), "left")
-         .drop("x")
-         .join(found.select(F.col("node").alias("x"), F.col("component").alias("theirs")), F.col("pivot") == F.col("x"), "left")
-         .withColumn("own", F.coalesce("own", "node")).withColumn("theirs", F.coalesce("theirs", "pivot"))
-         .join(known, (F.col("node") == F.col("a")) & (F.col("pivot") == F.col("b")), "left"))
-    at_pivot = F.col("node") == F.col("pivot")
-    floor = 1 - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")
-    m = m.select("band", "node", "n", "own", "pivot", (F.col("own") != F.col("theirs")).alias("stray"),
-                 F.when(at_pivot, 0.0).otherwise(F.coalesce("d", floor)).alias("low"),
-                 F.when(at_pivot, 0.0).otherwise(F.coalesce("d", F.lit(1.0))).alias("high"))
-    m = materialize(m, "band-members")
-    stray = m.where("stray").select("band", *[F.col(c).alias(f"s_{c}") for c in ("node", "n", "own", "low", "high")])
-    slack = apart + 1e-9
-    return (stray.join(m, "band")
-            .where((F.col("own") != F.col("s_own")) & (F.col("node") != F.col("pivot"))
-                   & (~F.col("stray") | (F.col("s_node") < F.col("node")))
-                   & _fits(F.col("n"), F.col("s_n"), percent)
-                   & (F.col("s_low") - F.col("high") <= slack) & (F.col("low") - F.col("s_high") <= slack))
-            .select(F.col("s_node").alias("a"), F.col("node").alias("b")).distinct())
+def _strays(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Every class with the smallest class of its bands, and whether that one is still in another component."""
+    at = found.select(F.col("node").alias("x"), F.col("component").alias("c"))
+    met = members.select("pivot", "node").distinct()
+    named = (met.join(at, F.col("node") == F.col("x"), "left").withColumn("own", F.coalesce("c", "node")).drop("x", "c")
+             .join(at, F.col("pivot") == F.col("x"), "left").withColumn("theirs", F.coalesce("c", "pivot")).drop("x", "c"))
+    return named.select("pivot", "node", "own", (F.col("own") != F.col("theirs")).alias("stray"))
+
+
+def _compare_blocks(words: int, percent: int):
+    """Rows sorted by group and role: the sets of a block of strays are held while a part of the members streams past."""
+
+    def index(held: list[tuple]) -> dict:
+        sizes = np.array([len(h[2]) for h in held])
+        keys = np.concatenate([h[2] for h in held])
+        order = np.argsort(keys, kind="stable")
+        return {"keys": keys[order], "owner": np.repeat(np.arange(len(held)), sizes)[order], "sizes": sizes,
+                "nodes": np.array([h[0] for h in held]), "own": np.array([h[1] for h in held])}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, block = None, [], None
+        for whole in batches:
+            for batch in row_slices(whole, 6, 2 << 20):
+                sets, offsets = shingle_sets(batch.column("text"), words)
+                columns = [batch.column(c).to_pylist() for c in ("pivot", "block", "part", "role", "node", "own")]
+                links: list[np.ndarray] = []
+                for i, (pivot, number, part, role, node, own) in enumerate(zip(*columns)):
+                    shingles = sets[offsets[i]:offsets[i + 1]]
+                    if (pivot, number, part) != current:
+                        current, held, block = (pivot, number, part), [], None
+                    if role == 0:
+                        held.append((node, own, shingles))
+                        continue
+                    if not held:
+                        continue
+                    block = block or index(held)
+                    first = np.searchsorted(block["keys"], shingles, "left")
+                    count = np.searchsorted(block["keys"], shingles, "right") - first
+                    at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+                    both = np.bincount(block["owner"][at], minlength=len(held))
+                    linked = 100 * both >= percent * (len(shingles) + block["sizes"] - both)
+                    for other in block["nodes"][linked & (block["own"] != own)].tolist():
+                        links.append((other, node))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in zip(*links)], names=["a", "b"])
+
+    return run
+
+
+def rest_links(strays: DataFrame, texts: DataFrame, words: int, percent: int, block: int = 256, part: int = 2048) -> DataFrame:
+    """The links between strays and all other classes that share a band with them.
+
+    Strays of one pivot are held in blocks, its members stream past in parts; no row per
+    pair exists, and a pivot with a third of all classes is dealt to many tasks.
+    """
+    counts = strays.groupBy("pivot").agg(
+        F.ceil(F.count_if("stray") / block).cast("int").alias("blocks"), F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    known = strays.join(counts.where("blocks > 0"), "pivot")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(n)).cast("int")
+    held = known.where("stray").select("pivot", dealt("blocks", 1).alias("block"), every("parts").alias("part"),
+                                       F.lit(0).alias("role"), "node", "own")
+    streamed = known.where("node <> pivot").select("pivot", every("blocks").alias("block"), dealt("parts", 2).alias("part"),
+                                                   F.lit(1).alias("role"), "node", "own")
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = held.unionByName(streamed).join(texts, "node").select("pivot", "block", "part", "role", "node", "own", "text")
+    return (rows.repartition(tasks, "pivot", "block", "part").sortWithinPartitions("pivot", "block", "part", "role")
+            .mapInArrow(_compare_blocks(words, percent), "a long, b long"))
