@@ -13,6 +13,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfcast.llm.tables import literal_table
 from shelfcast.session import materialize
 
 CELL_BITS = 16
@@ -55,7 +56,7 @@ def _key(dims: list[str], dim: Column) -> Column:
 
 def _node_table(points: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
     """A table of the tree's open nodes; it has at most as many rows as there are shards."""
-    return F.broadcast(points.sparkSession.createDataFrame(rows, schema))
+    return F.broadcast(literal_table(points.sparkSession, rows, schema))
 
 
 def _split(points: DataFrame, leaves: dict[int, int], dims: list[str], tolerance: float) -> dict[int, tuple[int, int]]:
@@ -126,21 +127,23 @@ def kd_shards(df: DataFrame, text_col: str = "text", dimensions: list[str] | Non
         leaves = grown
     order = sorted(leaves, key=lambda n: n / (1 << n.bit_length()))
     numbers = _node_table(points, [(n, i) for i, n in enumerate(order)], "node long, shard int")
-    placed = points.join(numbers, "node").select("k1", "k2", "shard")
-    keyed = base.select("*", _size(F.col(text_col)).alias("shard_size"), *_text_key(F.col(text_col)))
-    return keyed.join(placed, ["k1", "k2"]).drop("k1", "k2")
+    placed = points.join(numbers, "node").select(
+        F.col("k1").alias("_group_1"), F.col("k2").alias("_group_2"), "shard")
+    first, second = _text_key(F.col(text_col))
+    keyed = base.select("*", _size(F.col(text_col)).alias("shard_size"), first.alias("_group_1"), second.alias("_group_2"))
+    return keyed.join(placed, ["_group_1", "_group_2"]).drop("_group_1", "_group_2")
 
 
 def with_slots(df: DataFrame, order: list[str], shard_col: str = "shard", lanes: int = 256) -> DataFrame:
     """Numbers the rows of each shard from 0 without gaps, in lanes that are numbered in parallel."""
     lane = F.pmod(F.xxhash64(*order), F.lit(lanes)).cast("int")
-    laned = df.withColumn("lane", lane)
-    counts = laned.groupBy(shard_col, "lane").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(shard_col).orderBy("lane").rowsBetween(
+    laned = df.drop("slot").withColumn("_lane", lane)
+    counts = laned.groupBy(F.col(shard_col).alias("_of_shard"), F.col("_lane").alias("_of_lane")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_of_shard").orderBy("_of_lane").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(F.col(shard_col).alias("of_shard"), F.col("lane").alias("of_lane"), before.alias("before"))
-    number = F.row_number().over(Window.partitionBy(shard_col, "lane").orderBy(*order)) - 1
-    return (laned.withColumn("number", number)
-            .join(offsets, (F.col(shard_col) == F.col("of_shard")) & (F.col("lane") == F.col("of_lane")))
-            .withColumn("slot", (F.col("number") + F.col("before")).cast("long"))
-            .drop("lane", "number", "before", "of_shard", "of_lane"))
+    offsets = counts.select("_of_shard", "_of_lane", before.alias("_before"))
+    number = F.row_number().over(Window.partitionBy(shard_col, "_lane").orderBy(*order)) - 1
+    return (laned.withColumn("_number", number)
+            .join(offsets, (F.col(shard_col) == F.col("_of_shard")) & (F.col("_lane") == F.col("_of_lane")))
+            .withColumn("slot", (F.col("_number") + F.col("_before")).cast("long"))
+            .drop("_lane", "_number", "_before", "_of_shard", "_of_lane"))
