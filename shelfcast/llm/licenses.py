@@ -17,6 +17,8 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfcast.llm.tables import literal_table
+
 #: Names under which the families are granted. Fixed values.
 FAMILIES = {
     "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache Software License version 2"],
@@ -45,11 +47,16 @@ GRANTS = [
 ]
 CALIBRATION = ["This package is released under {}.", "The content is available under {}."]
 #: Names of licences that belong to no family above.
-OTHER = ["the Acme Source License, version 1.1", "a proprietary license", "the vendor license agreement", "the Community License",
-         "its own license", "the terms of the End User License", "the Internal Use License 3", "a commercial licence"]
+OTHER = ["a proprietary license", "the vendor license agreement", "its own license", "a commercial licence",
+         "the terms of the End User License", *[f"the {name} {kind} License, version {number}" for name, kind, number in (
+             ("Acme", "Source", 1), ("Harbor", "Community", 3), ("Quill", "Internal", 5), ("Tundra", "Research", 6),
+             ("Velvet", "Private", 9), ("Osprey", "Reader", 4), ("Granite", "Partner", 8))]]
+#: More such names that only calibrate: what the fit has not seen keeps its probabilities modest.
+OTHER_CALIBRATION = ["the Saffron Editor License, version 2", "a license of the publisher", "the Meridian Use License 12",
+                     "the Cobalt Archive Licence", "the Juniper Field License, version 10", "site license terms"]
 UNKNOWN, NONE = "unknown", "none"
 TOKEN = r"[\p{L}\p{N}]+(?:\.[0-9]+)*"
-FEATURES = 1 << 15
+FEATURES = 1 << 13
 PIECE, STEP = 64, 48
 
 
@@ -81,16 +88,16 @@ def _vectors(rows: DataFrame) -> DataFrame:
         rows.withColumn("grams", grams))
 
 
-def _notices(sentences: list[str]) -> list[tuple[str, str]]:
+def _notices(sentences: list[str], others: list[str]) -> list[tuple[str, str]]:
     named = [(family, s.format(name)) for family, names in FAMILIES.items() for name in names for s in sentences]
-    return named + [(UNKNOWN, s.format(name)) for name in OTHER for s in sentences]
+    return named + [(UNKNOWN, s.format(name)) for name in others for s in sentences]
 
 
 def templates(spark: SparkSession) -> DataFrame:
     """The word pairs of every template, one row each; their number is fixed by the lists above."""
     rows = [(family, text) for family, names in FAMILIES.items() for text in names]
     words = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
-    return (spark.createDataFrame(rows, "family string, text string").select("family", words.alias("words"))
+    return (literal_table(spark, rows, "family string, text string").select("family", words.alias("words"))
             .select("family", F.when(F.size("words") > 1, pairs_of(F.col("words"))).otherwise(F.col("words")).alias("pairs")))
 
 
@@ -103,18 +110,21 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", backgro
     spark = df.sparkSession
     schema = "name string, text string"
     words = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("words")
-    fitted = spark.createDataFrame(_notices(GRANTS), schema).select("name", words, F.lit(False).alias("calibrates"))
-    kept = spark.createDataFrame(_notices(CALIBRATION), schema).select("name", words, F.lit(True).alias("calibrates"))
+    fitted = literal_table(spark, _notices(GRANTS, OTHER), schema).select("name", words, F.lit(False).alias("calibrates"))
+    kept = literal_table(spark, _notices(CALIBRATION, OTHER_CALIBRATION), schema).select("name", words, F.lit(True).alias("calibrates"))
     plain = (paragraphs(df, id_col, text_col).where(~F.array_join("words", " ").rlike("licen[cs]"))
              .select("words", F.xxhash64("words").alias("h")).orderBy("h").limit(background_rows)
              .select(F.lit(NONE).alias("name"), "words", (F.pmod("h", F.lit(5)) == 0).alias("calibrates")))
     classes = [*FAMILIES, UNKNOWN, NONE]
     label = F.coalesce(*[F.when(F.col("name") == c, F.lit(float(i))) for i, c in enumerate(classes)])
-    rows = _vectors(fitted.unionByName(kept).unionByName(plain)).select("features", "calibrates", label.alias("label")).cache()
-    missing = spark.createDataFrame([("", NONE)], "text string, name string").select(words, "name")
-    regression = LogisticRegression(maxIter=60, regParam=3e-4, family="multinomial").fit(
+    rows = _vectors(fitted.unionByName(kept).unionByName(plain)).select("features", "calibrates", label.alias("label")).coalesce(4).cache()
+    missing = literal_table(spark, [("", NONE)], "text string, name string").select(words, "name")
+    # Classes weigh alike, whatever their number of rows.
+    counts = {r["label"]: r["count"] for r in rows.where("not calibrates").groupBy("label").count().collect()}
+    weight = F.coalesce(*[F.when(F.col("label") == c, F.lit(100.0 / n)) for c, n in counts.items()], F.lit(1.0))
+    regression = LogisticRegression(maxIter=40, regParam=3e-4, family="multinomial", weightCol="weight").fit(
         rows.where("not calibrates").select("features", "label").unionByName(
-            _vectors(missing).select("features", F.lit(float(len(classes) - 1)).alias("label"))))
+            _vectors(missing).select("features", F.lit(float(len(classes) - 1)).alias("label"))).withColumn("weight", weight))
     raw = [(list(r["raw"]), int(r["label"])) for r in regression.transform(rows.where("calibrates")).select(
         vector_to_array("rawPrediction").alias("raw"), "label").collect()]
     rows.unpersist()
