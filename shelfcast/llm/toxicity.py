@@ -1,9 +1,9 @@
 """Toxicity by weak supervision.
 
 Voters are words (lexicon) and word beginnings or endings (patterns) that labelled
-training texts single out. A generative model with a hidden class estimates from
-the votes alone how often each voter fires in either class, and how voters repeat
-each other. A linear classifier learns the posterior labels and scores all texts.
+training texts single out; the given label is one more, fallible voter. A
+generative model with a hidden class estimates how often each voter fires in either
+class, how voters repeat each other and how far the labels can be trusted. A linear classifier learns the posterior labels and scores all texts.
 """
 
 from __future__ import annotations
@@ -74,44 +74,49 @@ class Votes:
         return sorted(fired), marked, len(words)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
 @dataclass
 class LabelModel:
-    """Class balance, firing rates of each voter in either class, and its weight after correlations."""
+    """Class balance, firing rates of each voter in either class, weights after correlations, trust in the annotator.
+
+    A voter that does not fire abstains, which says nothing: voters of one language are
+    silent on texts of another. The annotator votes on every row and may be wrong.
+    """
 
     prior: float
     toxic: np.ndarray
     clean: np.ndarray
     weight: np.ndarray
+    trust: float
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: np.ndarray, annotator: np.ndarray) -> np.ndarray:
+        said = np.where(annotator == 1, 1.0, -1.0) * np.log(self.trust / (1 - self.trust))
         gain = np.log(self.toxic / self.clean) * self.weight
-        loss = np.log((1 - self.toxic) / (1 - self.clean)) * self.weight
-        return _sigmoid(np.log(self.prior / (1 - self.prior)) + votes @ gain + (1 - votes) @ loss)
+        return _sigmoid(np.log(self.prior / (1 - self.prior)) + votes @ gain + said)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-
-
-def fit_label_model(votes: np.ndarray, rounds: int = 25) -> LabelModel:
-    """Expectation maximisation over the hidden class.
+def fit_label_model(votes: np.ndarray, annotator: np.ndarray, rounds: int = 25) -> LabelModel:
+    """Expectation maximisation over the hidden class, from the votes and the annotator's labels.
 
     After each step the correlation of any two voters within a class is estimated from
     the posterior; a voter that repeats others shares its weight with them.
     """
-    likely = np.where(votes.any(axis=1), 0.9, 0.02)
+    likely = np.where(annotator == 1, 0.9, 0.05)
     model = None
     for _ in range(rounds):
         mass = likely.sum(), (1 - likely).sum()
         toxic = (likely @ votes + 0.5) / (mass[0] + 1)
-        clean = ((1 - likely) @ votes + 0.01) / (mass[1] + 1)
+        clean = ((1 - likely) @ votes + 0.5) / (mass[1] + 1)
         centred = votes - np.outer(likely, toxic) - np.outer(1 - likely, clean)
         spread = np.sqrt((centred ** 2).sum(axis=0) + 1e-9)
         correlation = np.clip((centred.T @ centred) / np.outer(spread, spread), 0, 1)
-        weight = 1 / np.maximum(correlation.sum(axis=0), 1)
-        clip = 1e-5, 1 - 1e-5
-        model = LabelModel(float(np.clip(mass[0] / len(votes), 1e-3, 1 - 1e-3)), np.clip(toxic, *clip), np.clip(clean, *clip), weight)
-        likely = model.posterior(votes)
+        weight = 1 / np.maximum((correlation ** 2).sum(axis=0), 1)
+        trust = float(np.clip(np.where(annotator == 1, likely, 1 - likely).mean(), 0.7, 0.95))
+        model = LabelModel(float(np.clip(mass[0] / len(votes), 1e-3, 1 - 1e-3)), toxic, clean, weight, trust)
+        likely = model.posterior(votes, annotator)
     return model
 
 
@@ -138,6 +143,8 @@ def fit_classifier(features: np.ndarray, likely: np.ndarray, ridge: float = 1.0,
 
 @dataclass
 class Model:
+    """Broadcast as its fields: workers need no copy of this package."""
+
     voters: list[str]
     labels: LabelModel | None
     weights: np.ndarray
@@ -171,32 +178,33 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         votes = Votes(shared.value)
         for batch in batches:
             found = [votes.of(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], type=pa.list_(pa.int32())),
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([f[0] for f in found], type=pa.list_(pa.int32())),
                                               pa.array([f[1] for f in found], type=pa.int32()),
                                               pa.array([f[2] for f in found], type=pa.int32())],
-                                             names=["fired", "marked", "words"])
+                                             names=["toxic", "fired", "marked", "words"])
 
-    seen = rows.select("text").mapInArrow(fire, "fired array<int>, marked int, words int").orderBy(
-        "words", "marked", F.col("fired").cast("string")).collect()
+    seen = rows.select("text", "toxic").mapInArrow(fire, "toxic int, fired array<int>, marked int, words int").orderBy(
+        "words", "marked", "toxic", F.col("fired").cast("string")).collect()
     features = np.array([_features(r["fired"], r["marked"], r["words"], len(voters)) for r in seen])
-    model = fit_label_model(features[:, :len(voters)])
-    return Model(voters, model, fit_classifier(features, model.posterior(features[:, :len(voters)])))
+    votes, annotator = features[:, :len(voters)], np.array([r["toxic"] for r in seen])
+    model = fit_label_model(votes, annotator)
+    return Model(voters, model, fit_classifier(features, model.posterior(votes, annotator)))
 
 
-def score_one(model: Model, votes: Votes, text: str | None) -> float:
-    count = len(model.voters)
-    if not count:
+def score_one(weights: np.ndarray, votes: Votes, text: str | None) -> float:
+    if not len(weights):
         return 0.0
     fired, marked, words = votes.of(text)
     rest = np.array([np.log1p(len(fired)), np.log1p(marked), 10 * marked / (words + 10), 1.0])
-    return float(_sigmoid(model.weights[fired].sum() + model.weights[count:] @ rest))
+    return float(_sigmoid(weights[fired].sum() + weights[-4:] @ rest))
 
 
 def _apply(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        votes = Votes(shared.value.voters)
+        voters, weights = shared.value
+        votes = Votes(voters)
         for batch in batches:
-            scores = [score_one(shared.value, votes, text) for text in batch.column(1).to_pylist()]
+            scores = [score_one(weights, votes, text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, type=pa.float64())], names=["doc_id", "score"])
 
     return run
@@ -210,19 +218,20 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     an empty table gives no rows. A model without voters scores 0.
     """
     rows = in_small_batches(df).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast((model.voters, model.weights))
     return rows.mapInArrow(_apply(shared), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def keep_clean(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``df`` whose text scores below the threshold, with all columns, in place."""
     at = in_small_batches(df).columns.index(text_col)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast((model.voters, model.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        votes = Votes(shared.value.voters)
+        voters, weights = shared.value
+        votes = Votes(voters)
         for batch in batches:
-            scores = [score_one(shared.value, votes, text) for text in batch.column(at).to_pylist()]
+            scores = [score_one(weights, votes, text) for text in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([s < threshold for s in scores], type=pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
