@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 SEGMENT_BYTES = 1 << 20
@@ -51,14 +52,18 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2^64."""
-    if len(_POWERS.get("up", ())) < size:
-        size = max(size, SEGMENT_BYTES + 4096)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            out = np.full(size, np.uint64(base))
-            out[0] = 1
-            with np.errstate(over="ignore"):
-                _POWERS[name] = np.cumprod(out, dtype=np.uint64)
-    return _POWERS["up"], _POWERS["down"]
+    if len(_POWERS.get("up", ())) >= size:
+        return _POWERS["up"], _POWERS["down"]
+    size = max(size, SEGMENT_BYTES + 4096)
+    tables = {}
+    for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+        out = np.full(size, np.uint64(base))
+        out[0] = 1
+        with np.errstate(over="ignore"):
+            tables[name] = np.cumprod(out, dtype=np.uint64)
+    if TaskContext.get():  # the driver keeps none, or each function sent out would carry them
+        _POWERS.update(tables)
+    return tables["up"], tables["down"]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
