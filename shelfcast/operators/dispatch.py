@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from shelfcast.operators import forecast as fc, models, seasonal, sequence
@@ -9,17 +11,16 @@ from shelfcast.operators import forecast as fc, models, seasonal, sequence
 SEASONAL, SEQUENCE, LINEAR = "Seasonal Baseline (Holt-Winters)", "LSTM (PyTorch)", "Linear Regression"
 
 
-def forecast(model: str, features: DataFrame, sales: DataFrame, panel: DataFrame, horizon: int) -> DataFrame:
-    """Fits the named kind and forecasts every product.
+def forecast(model: str, fitted: Callable[[str], object], sales: DataFrame, panel: DataFrame, horizon: int) -> DataFrame:
+    """A forecast of every product from the named kind.
 
-    ``features`` are the training rows, ``sales`` the sparse sales that smoothing needs,
-    ``panel`` the dense history that is carried on.
+    ``fitted`` gives the model of a name for the kinds on features, ``sales`` the sparse
+    sales that smoothing needs, ``panel`` the dense history that is carried on.
     """
     if model == SEASONAL:
         return seasonal.forecast_or_naive(sales, horizon)
     if model == SEQUENCE:
         return sequence.forecast(panel, sequence.fit(panel), horizon)
-    fitted = models.fit(model, features)
     if model == LINEAR:
-        return fc.with_linear(panel, *models.coefficients(fitted), horizon)
-    return fc.with_model(panel, fitted, horizon)
+        return fc.with_linear(panel, *models.coefficients(fitted(model)), horizon)
+    return fc.with_model(panel, fitted(model), horizon)

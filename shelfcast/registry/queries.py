@@ -642,9 +642,16 @@ def metrics_entries(d: Data):
 
 # ---- models and forecasts
 
+FITTED: dict[tuple, object] = {}
+
+
 def fitted(d: Data, model: str):
+    """The model at its library size. Queries of one session that ask for the same fit share it."""
     train, test = feat.split_at(d.stored_features, SPLIT)
-    return models.fit(model, train), train, test
+    key = (d.spark.sparkContext.applicationId, d.folder, model)
+    if key not in FITTED:
+        FITTED[key] = models.fit(model, train)
+    return FITTED[key], train, test
 
 
 def model_errors(d: Data, model: str) -> DataFrame:
@@ -702,9 +709,8 @@ def sequence_forecast(d: Data):
 @query("FC5")
 def dispatched(d: Data):
     """A week ahead from every kind of model."""
-    train, _ = feat.split_at(d.stored_features, SPLIT)
-    parts = [dispatch.forecast(kind, train, d.stored_sales, d.stored_panel, 7).withColumn("model", F.lit(kind))
-             for kind in words.MODEL_NAMES]
+    parts = [dispatch.forecast(kind, lambda name: fitted(d, name)[0], d.stored_sales, d.stored_panel, 7)
+             .withColumn("model", F.lit(kind)) for kind in words.MODEL_NAMES]
     return rounded(reduce(DataFrame.unionByName, parts), 3)
 
 
