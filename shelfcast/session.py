@@ -57,13 +57,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     For a result that several branches of a plan use: the input is scanned once,
-    each branch prunes its own columns, and lost executors cost no recomputation.
+    each branch prunes its own columns, and lost executors cost no recomputation. The
+    folder goes when the application ends.
     """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove a folder of this application when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table or model of this run."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
