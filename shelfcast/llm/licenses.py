@@ -101,20 +101,22 @@ def templates(spark: SparkSession) -> DataFrame:
             .select("family", F.when(F.size("words") > 1, pairs_of(F.col("words"))).otherwise(F.col("words")).alias("pairs")))
 
 
-def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", background_rows: int = 4000) -> LicenseModel:
-    """Fits the classifier on the notices and on at most ``background_rows`` other paragraphs of the texts.
+def train(df: DataFrame, text_col: str = "text", background_rows: int = 4000) -> LicenseModel:
+    """Fits the classifier on the notices and on at most ``background_rows`` other lines of the texts.
 
-    The background is the bounded sample with the smallest hashes of all paragraphs that
-    do not speak of a licence; a fifth of it calibrates.
+    The background is the bounded sample with the smallest hashes of all lines that do
+    not speak of a licence; a fifth of it calibrates.
     """
     spark = df.sparkSession
     schema = "name string, text string"
     words = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("words")
     fitted = literal_table(spark, _notices(GRANTS, OTHER), schema).select("name", words, F.lit(False).alias("calibrates"))
     kept = literal_table(spark, _notices(CALIBRATION, OTHER_CALIBRATION), schema).select("name", words, F.lit(True).alias("calibrates"))
-    plain = (paragraphs(df, id_col, text_col).where(~F.array_join("words", " ").rlike("licen[cs]"))
-             .select("words", F.xxhash64("words").alias("h")).orderBy("h").limit(background_rows)
-             .select(F.lit(NONE).alias("name"), "words", (F.pmod("h", F.lit(5)) == 0).alias("calibrates")))
+    lines = (df.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
+             .where(~F.col("line").rlike("(?i)licen[cs]")).select("line", F.xxhash64("line").alias("h"))
+             .orderBy("h", "line").limit(background_rows))
+    plain = paragraphs(lines, "h", "line").select(
+        F.lit(NONE).alias("name"), "words", (F.pmod("doc_id", F.lit(5)) == 0).alias("calibrates"))
     classes = [*FAMILIES, UNKNOWN, NONE]
     label = F.coalesce(*[F.when(F.col("name") == c, F.lit(float(i))) for i, c in enumerate(classes)])
     rows = _vectors(fitted.unionByName(kept).unionByName(plain)).select("features", "calibrates", label.alias("label")).coalesce(4).cache()
