@@ -110,9 +110,13 @@ def fit_label_model(votes: np.ndarray, annotator: np.ndarray, rounds: int = 25)
         mass = likely.sum(), (1 - likely).sum()
         toxic = (likely @ votes + 0.5) / (mass[0] + 1)
         clean = ((1 - likely) @ votes + 0.5) / (mass[1] + 1)
-        centred = votes - np.outer(likely, toxic) - np.outer(1 - likely, clean)
-        spread = np.sqrt((centred ** 2).sum(axis=0) + 1e-9)
-        correlation = np.clip((centred.T @ centred) / np.outer(spread, spread), 0, 1)
+        shared = np.zeros((votes.shape[1], votes.shape[1]))
+        for at in range(0, len(votes), 2048):
+            q = likely[at:at + 2048]
+            centred = votes[at:at + 2048] - np.outer(q, toxic) - np.outer(1 - q, clean)
+            shared += centred.T @ centred
+        spread = np.sqrt(np.diag(shared) + 1e-9)
+        correlation = np.clip(shared / np.outer(spread, spread), 0, 1)
         weight = 1 / np.maximum((correlation ** 2).sum(axis=0), 1)
         trust = float(np.clip(np.where(annotator == 1, likely, 1 - likely).mean(), 0.7, 0.95))
         model = LabelModel(float(np.clip(mass[0] / len(votes), 1e-3, 1 - 1e-3)), toxic, clean, weight, trust)
@@ -121,7 +125,7 @@ def fit_label_model(votes: np.ndarray, annotator: np.ndarray, rounds: int = 25)
 
 
 def _features(fired: list[int], marked: int, words: int, voters: int) -> np.ndarray:
-    out = np.zeros(voters + 3)
+    out = np.zeros(voters + 3, dtype=np.float32)
     out[fired] = 1.0
     out[voters:] = np.log1p(len(fired)), np.log1p(marked), 10 * marked / (words + 10)
     return out
@@ -129,12 +133,16 @@ def _features(fired: list[int], marked: int, words: int, voters: int) -> np.ndar
 
 def fit_classifier(features: np.ndarray, likely: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
     """Logistic regression on posterior labels by Newton steps; the last weight is the constant."""
-    x = np.hstack([features, np.ones((len(features), 1))])
+    x = np.hstack([features, np.ones((len(features), 1), dtype=features.dtype)])
     penalty = np.diag([ridge] * features.shape[1] + [1e-6])
     weights = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = _sigmoid(x @ weights)
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + penalty, x.T @ (likely - p) - penalty @ weights)
+        slope = np.zeros_like(penalty)
+        for at in range(0, len(x), 2048):  # in strips, so no second matrix of this size exists
+            part, curve = x[at:at + 2048].astype(np.float64), (p * (1 - p) + 1e-6)[at:at + 2048]
+            slope += (part * curve[:, None]).T @ part
+        step = np.linalg.solve(slope + penalty, x.T @ (likely - p) - penalty @ weights)
         weights += step
         if np.abs(step).max() < 1e-6:
             break
@@ -185,7 +193,9 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     seen = rows.select("text", "toxic").mapInArrow(fire, "toxic int, fired array<int>, marked int, words int").orderBy(
         "words", "marked", "toxic", F.col("fired").cast("string")).collect()
-    features = np.array([_features(r["fired"], r["marked"], r["words"], len(voters)) for r in seen])
+    features = np.zeros((len(seen), len(voters) + 3), dtype=np.float32)
+    for i, r in enumerate(seen):
+        features[i] = _features(r["fired"], r["marked"], r["words"], len(voters))
     votes, annotator = features[:, :len(voters)], np.array([r["toxic"] for r in seen])
     model = fit_label_model(votes, annotator)
     return Model(voters, model, fit_classifier(features, model.posterior(votes, annotator)))
