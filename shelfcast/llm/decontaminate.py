@@ -3,7 +3,7 @@
 A seed is the hash of the words at the marked positions of a mask; the unmarked
 positions may differ. Seeds of the benchmark are looked up at every position of
 every training text. Each hit fixes an alignment of the whole passage, and the
-best-matching stretch around the hit decides. The benchmark is taken in blocks
+longest stretch that matches well enough decides. The benchmark is taken in blocks
 of bounded size, so what is sent to the executors does not grow with it, and a
 text never leaves its row, so nothing is shuffled.
 """
@@ -85,6 +85,30 @@ def best_stretch(same: np.ndarray, penalty: int = 2) -> tuple[int, int, int]:
     return int(same[first:end].sum()), first, end
 
 
+def leaking_stretch(same: np.ndarray, need: int, identity: float) -> tuple[int, int, int] | None:
+    """The stretch with the most matches of all that hold ``need`` matches at ``identity``: matches, first, end.
+
+    With T the running sum of (match - identity), a stretch is good enough when T does
+    not fall over it. It may begin and end at matches, and the last end at which T is
+    high enough is the best one for a beginning.
+    """
+    hits = np.flatnonzero(same)
+    if len(hits) < need:
+        return None
+    # T before the i-th match and after it, from the matches and words up to there.
+    number = np.arange(len(hits))
+    before = number - identity * hits
+    after = number + 1 - identity * (hits + 1)
+    # For each beginning the last match whose T, or that of any later one, is not below.
+    highest = np.maximum.accumulate(after[::-1])[::-1]
+    last = np.searchsorted(-highest, -(before - 1e-9), "right") - 1
+    matches = last - number + 1
+    best = int(np.argmax(matches))
+    if matches[best] < need:
+        return None
+    return int(matches[best]), int(hits[best]), int(hits[last[best]]) + 1
+
+
 def leaks_of(words: np.ndarray, index: dict, min_overlap: int, identity: float) -> dict[int, tuple]:
     """For each passage found in a text: matched words, stretch in the text, and its length."""
     tried, found = set(), {}
@@ -103,11 +127,11 @@ def leaks_of(words: np.ndarray, index: dict, min_overlap: int, identity: float)
                 tried.add((number, shift))
                 passage = index["words"][index["offsets"][number]:index["offsets"][number + 1]]
                 begin, end = max(0, shift), min(len(words), shift + len(passage))
-                matched, low, high = best_stretch(words[begin:end] == passage[begin - shift:end - shift])
                 need = min(min_overlap, math.ceil(identity * len(passage)))
-                if matched >= need and matched >= identity * (high - low):
-                    if matched > found.get(number, (0,))[0]:
-                        found[number] = (matched, begin + low, begin + high, len(passage))
+                stretch = leaking_stretch(words[begin:end] == passage[begin - shift:end - shift], need, identity)
+                if stretch and stretch[0] > found.get(number, (0,))[0]:
+                    matched, low, high = stretch
+                    found[number] = (matched, begin + low, begin + high, len(passage))
     return found
 
 

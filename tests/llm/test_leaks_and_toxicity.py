@@ -55,6 +55,27 @@ def test_best_stretch():
     assert decontaminate.best_stretch(np.zeros(3, dtype=bool))[0] == 0
 
 
+@pytest.mark.parametrize("equal,length,step", [(20, 150, 4), (13, 80, 4), (40, 300, 4)])
+def test_an_exact_run_before_a_weak_tail_is_a_leak(equal, length, step):
+    rng = random.Random(12)
+    passage = [f"word{rng.randrange(10 ** 6)}" for _ in range(length)]
+    text = [w if k < equal or (k - equal) % step else f"other{k}" for k, w in enumerate(passage)]
+    index = decontaminate.benchmark_index([(1, " ".join(passage))])
+    found = decontaminate.leaks_of(decontaminate._encode([" ".join(text)])[0], index, 13, 0.8)
+    matched, first, end, _ = found[0]
+    assert first == 0 and matched >= max(13, equal) and matched >= 0.8 * (end - first)
+
+
+def test_leaking_stretch_matches_brute_force():
+    rng = random.Random(3)
+    for _ in range(400):
+        same = np.array([rng.random() < rng.choice([0.3, 0.7, 0.95]) for _ in range(rng.randrange(0, 40))], dtype=bool)
+        most = max((int(same[i:j].sum()) for i in range(len(same)) for j in range(i + 1, len(same) + 1)
+                    if same[i:j].sum() >= 0.8 * (j - i) - 1e-9), default=0)
+        got = decontaminate.leaking_stretch(same, 5, 0.8)
+        assert (got[0] if got else 0) == (most if most >= 5 else 0)
+
+
 @pytest.fixture(scope="module")
 def insults(spark):
     """Toxic texts hold words of two families, one of them open: grumpf plus any ending."""
