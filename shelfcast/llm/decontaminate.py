@@ -11,6 +11,7 @@ text never leaves its row, so nothing is shuffled.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -22,8 +23,11 @@ from shelfcast.llm.tokens import in_small_batches, mix, row_slices, word_hashes
 
 #: Fixed masks: 1 compares the word, 0 ignores it.
 MASKS = ("11101011", "1101100111", "111010010111")
-#: Passages with fewer words take no part: phrases that short recur by chance.
-MIN_WORDS = 8
+#: Passages with fewer words are looked for whole and unchanged, those under EXACT_WORDS not at all.
+MIN_WORDS, EXACT_WORDS = 8, 3
+#: Scripts without spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer): each character is a word; their punctuation is none.
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30fa\u30fc-\u30ff\u3400-\u4dbf"
+                      "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])|[\u3000-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20]")
 _FILTER_BITS = 20
 
 
@@ -51,18 +55,40 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
 
 
 def _encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    return word_hashes(pa.array([t.lower() for t in texts], type=pa.string()), word_separators())
+    parted = [t.lower() if t.isascii() else UNSPACED.sub(r" \1 ", t.lower()) for t in texts]
+    return word_hashes(pa.array(parted, type=pa.string()), word_separators())
 
 
-def benchmark_index(items: list[tuple[int, str]], masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS) -> dict:
+def needed(length: int, min_overlap: int, identity: float, min_words: int) -> int:
+    """The matches that a passage of this many words must have."""
+    return length if length < min_words else min(min_overlap, math.ceil(identity * length))
+
+
+def masks_for(length: int, masks: tuple[str, ...], min_overlap: int, identity: float, min_words: int) -> tuple[str, ...]:
+    """The masks of a passage of this many words.
+
+    A short passage has one more, a plain run. The matches asked of it lie in at most one
+    run more than there are differences, so one run is as long as their share.
+    """
+    if length < EXACT_WORDS:
+        return ()
+    if length < min_words:
+        return ("1" * length,)
+    need = needed(length, min_overlap, identity, min_words)
+    if need == min_overlap:
+        return masks
+    return (*masks, "1" * math.ceil(need / (length - need + 1)))
+
+
+def benchmark_index(items: list[tuple[int, str]], masks: tuple[str, ...] = MASKS, min_words: int = MIN_WORDS,
+                    min_overlap: int = 13, identity: float = 0.8) -> dict:
     """Sorted seeds of one block of passages with their places, and the passages' words."""
     items = [(i, t or "") for i, t in items]
     words, offsets = _encode([t for _, t in items])
-    keys, places = [], []
+    keys, places, used = [], [], set()
     for number, (first, last) in enumerate(zip(offsets[:-1], offsets[1:])):
-        if last - first < min_words:
-            continue
-        for mask in masks:
+        for mask in masks_for(int(last - first), masks, min_overlap, identity, min_words):
+            used.add(mask)
             found = seeds(words[first:last], mask)
             keys.append(found)
             places.append(np.stack([np.full(len(found), number), np.arange(len(found))], axis=1))
@@ -72,7 +98,7 @@ def benchmark_index(items: list[tuple[int, str]], masks: tuple[str, ...] = MASKS
     table = np.zeros(1 << _FILTER_BITS, dtype=bool)
     table[keys >> np.uint64(64 - _FILTER_BITS)] = True
     return {"ids": [i for i, _ in items], "words": words, "offsets": offsets, "keys": keys[order],
-            "places": places[order], "filter": table, "masks": masks}
+            "places": places[order], "filter": table, "masks": sorted(used), "min_words": min_words}
 
 
 def best_stretch(same: np.ndarray, penalty: int = 2) -> tuple[int, int, int]:
@@ -127,7 +153,7 @@ def leaks_of(words: np.ndarray, index: dict, min_overlap: int, identity: float)
                 tried.add((number, shift))
                 passage = index["words"][index["offsets"][number]:index["offsets"][number + 1]]
                 begin, end = max(0, shift), min(len(words), shift + len(passage))
-                need = min(min_overlap, math.ceil(identity * len(passage)))
+                need = needed(len(passage), min_overlap, identity, index["min_words"])
                 stretch = leaking_stretch(words[begin:end] == passage[begin - shift:end - shift], need, identity)
                 if stretch and stretch[0] > found.get(number, (0,))[0]:
                     matched, low, high = stretch
@@ -176,7 +202,8 @@ def _without(shared, column: int, min_overlap: int, identity: float):
     return run
 
 
-def _blocks(benchmark: DataFrame, item_id: str, item_text: str, min_words: int, block_words: int) -> Iterator:
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, min_words: int, block_words: int, min_overlap: int,
+            identity: float) -> Iterator:
     """The benchmark's seeds as broadcasts of bounded size, one block after the other."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
     volume = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -184,7 +211,8 @@ def _blocks(benchmark: DataFrame, item_id: str, item_text: str, min_words: int,
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
         yield benchmark.sparkSession.sparkContext.broadcast(
-            benchmark_index([(r["item"], r["text"]) for r in part], min_words=min_words))
+            benchmark_index([(r["item"], r["text"]) for r in part], min_words=min_words, min_overlap=min_overlap,
+                            identity=identity))
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -192,10 +220,12 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                min_words: int = MIN_WORDS, block_words: int = 1 << 20) -> DataFrame:
     """One row per training row and benchmark passage found in it, with the stretch that matched.
 
-    Words are runs of letters and digits, lower-cased. A passage is found when a
+    Words are runs of letters and digits, lower-cased, and the single characters of
+    scripts without spaces. A passage is found when a
     stretch aligned by a seed matches in ``min_overlap`` words, or in ``identity`` of
     a shorter passage, and at least ``identity`` of the stretch's words are equal.
-    Passages under ``min_words`` words and null or empty texts find nothing. Repeated
+    A passage under ``min_words`` words is found only whole and unchanged, one under
+    three words and null or empty texts find nothing. Repeated
     rows are reported each; a null doc_id is carried. Other columns are not read.
     Empty tables give no rows. ``block_words`` bounds one block of the benchmark;
     each further block costs one more scan of the texts.
@@ -205,7 +235,7 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     schema = f"doc_id {kind}, item_id long, matched_words int, first_word int, end_word int, item_words int"
     return reduce(DataFrame.unionByName, [
         texts.mapInArrow(_scan(shared, min_overlap, identity), schema)
-        for shared in _blocks(benchmark, item_id, item_text, min_words, block_words)])
+        for shared in _blocks(benchmark, item_id, item_text, min_words, block_words, min_overlap, identity)])
 
 
 def drop_leaking(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -213,6 +243,6 @@ def drop_leaking(df: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                  block_words: int = 1 << 20) -> DataFrame:
     """The rows of ``df`` in which no passage is found, with all columns, in place."""
     column = in_small_batches(df).columns.index(text_col)
-    for shared in _blocks(benchmark, item_id, item_text, min_words, block_words):
+    for shared in _blocks(benchmark, item_id, item_text, min_words, block_words, min_overlap, identity):
         df = df.mapInArrow(_without(shared, column, min_overlap, identity), df.schema)
     return df

@@ -66,6 +66,27 @@ def test_an_exact_run_before_a_weak_tail_is_a_leak(equal, length, step):
     assert first == 0 and matched >= max(13, equal) and matched >= 0.8 * (end - first)
 
 
+@pytest.mark.parametrize("length", [8, 9, 10, 11, 12])
+def test_every_pattern_within_the_identity_is_found(length):
+    from itertools import combinations
+
+    passage = [f"token{k}" for k in range(length)]
+    index = decontaminate.benchmark_index([(1, " ".join(passage))])
+    for changed in range(length - -(-4 * length // 5) + 1):
+        for places in combinations(range(length), changed):
+            text = ["before", *["other" if k in places else w for k, w in enumerate(passage)], "after"]
+            assert decontaminate.leaks_of(decontaminate._encode([" ".join(text)])[0], index, 13, 0.8), places
+
+
+def test_short_passages_and_scripts_without_spaces():
+    items = [(1, "who wrote the first one"), (2, "春眠不覚暁処処聞啼鳥夜来風雨声花落"), (3, "สวัสดีครับยินดีต้อนรับ")]
+    index = decontaminate.benchmark_index(items)
+    find = lambda t: set(decontaminate.leaks_of(decontaminate._encode([t])[0], index, 13, 0.8))
+    assert find("Asked: Who wrote the first one?") == {0} and find("who wrote the last one") == set()
+    assert find("詩。春眠不覚暁、処処聞啼鳥。夜来風雨声、花落知多少") == {1}
+    assert find("เขาพูดว่าสวัสดีครับยินดีต้อนรับค่ะ") == {2} and find("春の海") == set()
+
+
 def test_leaking_stretch_matches_brute_force():
     rng = random.Random(3)
     for _ in range(400):
