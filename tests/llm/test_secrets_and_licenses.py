@@ -68,6 +68,16 @@ def test_window_entropy_matches_the_formula(spark):
     assert [r.bits for r in rows] == pytest.approx([brute_entropy(r.v) for r in rows], abs=1e-9)
 
 
+def test_one_case_with_digits_and_repeats_before_a_key(spark):
+    found = ["k3x9qz7w1vbn5t8rj2mp6hyd4gfc", "JBSWY3DPEHPK3PXPQ4RTMN6ZKL5VGF2A", "---" + KEY, "AAAA" + KEY,
+             "aaa" + "90f3b7c2e58d146a0b7e9d2c4f815a63d7e0"]
+    nothing = ["ab1" * 10, "ab1" * 10 + "a", "1a" * 300, "articles/2019-the-best-of-all-the-rest-of-it", "a1" + "a" * 30]
+    rows = [(i, t, None, None, None) for i, t in enumerate(found + nothing)]
+    got = secrets.scan_secrets(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: [(s.start, s.stop) for s in r.entropy_spans] for r in got} == {
+        i: [(0, len(t))] if t in found else [] for i, t, *_ in rows}
+
+
 def test_nothing_to_scan(empty):
     assert secrets.scan_secrets(empty).collect() == []
 
