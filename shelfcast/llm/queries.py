@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import decontaminate, exact, language, licenses, lines, mixing, nearcopies, secrets, shards, toxicity
+from shelfcast.llm import decontaminate, exact, language, licenses, lines, mixing, nearcopies, pieces, secrets, shards, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,6 +76,18 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op13_sentencepiece(spark: SparkSession, folder: str, model_path: str | None = None) -> DataFrame:
+    """``model_path`` names the vocabulary file; by default the public one of 32,000 pieces."""
+    if model_path is None:
+        import public_tokenizers
+
+        model_path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_texts(_table(spark, folder, "documents").select("doc_id", "text"), model_path)
+    numbers = F.array_join(F.col("piece_ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"),
+                        F.sha2("piece_text", 256).alias("decoded_sha256"), F.col("piece_agrees").alias("agrees"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +96,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_exact_dedup, op2_line_dedup, op3_decontamination, op4_toxicity, op5_sharding, op6_near_dedup, op7_secrets,
-    op8_licenses, op9_language_model, op10_mixing, pipeline)}
+    op8_licenses, op9_language_model, op10_mixing, op13_sentencepiece, pipeline)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
