@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import decontaminate, exact, language, licenses, lines, mixing, nearcopies, pieces, secrets, shards, toxicity
+from shelfcast.llm import decontaminate, exact, language, licenses, lines, mixing, nearcopies, pieces, secrets, shards, spelling, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.count_words(_table(spark, folder, "documents"), damage_modulus=97)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_sentencepiece(spark: SparkSession, folder: str, model_path: str | None = None) -> DataFrame:
     """``model_path`` names the vocabulary file; by default the public one of 32,000 pieces."""
     if model_path is None:
@@ -96,7 +101,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_exact_dedup, op2_line_dedup, op3_decontamination, op4_toxicity, op5_sharding, op6_near_dedup, op7_secrets,
-    op8_licenses, op9_language_model, op10_mixing, op13_sentencepiece, pipeline)}
+    op8_licenses, op9_language_model, op10_mixing, op12_spelling, op13_sentencepiece, pipeline)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
