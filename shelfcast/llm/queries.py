@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import decontaminate, exact, language, licenses, lines, mixing, nearcopies, pieces, secrets, shards, spelling, toxicity
+from shelfcast.llm import decontaminate, exact, language, licenses, lines, mixing, nearcopies, negatives, pieces, secrets, shards, spelling, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,6 +76,13 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    table = _table(spark, folder, "embeddings").where(negatives.usable(F.col("embedding"), F.col("label")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table.select(F.col("vec_id").alias("id"), label.alias("label"), negatives.quantized(F.col("embedding")).alias("vector"))
+    return negatives.mine_hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     words = spelling.count_words(_table(spark, folder, "documents"), damage_modulus=97)
     return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -101,7 +108,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_exact_dedup, op2_line_dedup, op3_decontamination, op4_toxicity, op5_sharding, op6_near_dedup, op7_secrets,
-    op8_licenses, op9_language_model, op10_mixing, op12_spelling, op13_sentencepiece, pipeline)}
+    op8_licenses, op9_language_model, op10_mixing, op11_hard_negatives, op12_spelling, op13_sentencepiece, pipeline)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -126,6 +133,23 @@ ORACLE: dict[str, str] = {
         select doc_id, count(*) as n_lines, cast(sum(gone::int) as bigint) as n_dropped,
                sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
         from m group by doc_id""",
+    "op11_hard_negatives": """
+        with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                          list_transform(embedding, x -> floor(256 * x::double)) as v
+                   from embeddings where label is not null and embedding is not null
+                   and len(list_filter(embedding, x -> coalesce(isfinite(x::double), false))) = len(embedding)),
+             s as (select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id,
+                          cast(list_inner_product(a.v, r.v) as bigint) as score
+                   from r as a, r where a.vec_id % 100 = 0),
+             p as (select anchor_id, vec_id as positive_id, score as positive_score from s
+                   where same and vec_id <> anchor_id
+                   qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select p.anchor_id, p.positive_id,
+               cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as int) as rank,
+               s.vec_id as negative_id, p.positive_score, s.score as negative_score
+        from p join s on s.anchor_id = p.anchor_id and not s.same
+             and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
+        qualify rank <= 5""",
     "op10_mixing": rf"""
         with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as size from documents),
              s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
