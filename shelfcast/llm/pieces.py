@@ -16,7 +16,8 @@ from __future__ import annotations
 import heapq
 import re
 from collections import ChainMap
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -33,7 +34,7 @@ MODEL_BYTES = 16 << 20
 #: Texts worked on together, in bytes.
 TEXT_BYTES = 2 << 20
 #: Segments that a task remembers, the longest that share an array in code points, and the rows of an array.
-REMEMBERED, SHORT, TOGETHER = 300_000, 64, 20_000
+REMEMBERED, SHORT, TOGETHER = 500_000, 64, 8192
 
 
 class Agenda:
@@ -54,7 +55,7 @@ class Agenda:
         number = {**ids, **{c: self.first_other + k for k, c in enumerate(self.others)}}
         self.first_unknown = max(number.values()) + 1
         self.points = np.array([ord(c) for c in characters], np.uint32)
-        self.symbols = np.array([number[c] for c in characters], np.int64)
+        self.symbols = np.array([number[c] for c in characters], np.int32)
         place = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
         pairs = sorted((self.key(number[piece[:k]], number[piece[k:]]), place[scores[piece]], i)
                        for piece, i in ids.items() for k in range(1, len(piece))
@@ -65,13 +66,13 @@ class Agenda:
 
     @staticmethod
     def key(left, right):
-        return (left << 22) | right
+        return (np.int64(1) << 22) * left + right
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Where the pairs stand in the table; its last entry stands for no piece."""
         key = self.key(left, right)
         at = np.searchsorted(self.keys, key)
-        return np.where((self.keys[at] == key) & (right >= 0), at, len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (right >= 0), at, len(self.keys) - 1).astype(np.int32)
 
     def character(self, symbol: int) -> str:
         """The character behind a symbol that is no piece."""
@@ -86,7 +87,7 @@ class Agenda:
         width = int(lengths.max())
         points = np.array(segments, f"U{width}").view(np.uint32).reshape(len(segments), width)
         at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
-        symbols = np.where(self.points[at] == points, self.symbols[at], points + np.int64(self.first_unknown))
+        symbols = np.where(self.points[at] == points, self.symbols[at], points.astype(np.int32) + np.int32(self.first_unknown))
         symbols[np.arange(width) >= lengths[:, None]] = -1
         rows = np.arange(len(segments))
         pairs = self._pairs(symbols[:, :-1], symbols[:, 1:])
@@ -127,6 +128,7 @@ class PieceCodec:
         if library.normalize(" a  Ａ\t") != f"{MARK * 2}a{MARK * 2}Ａ\t":
             raise ValueError("the vocabulary must leave texts as they are, but for a space put in front")
         self.controls = {i for i in every if library.is_control(i)}
+        self.last_control = max(self.controls, default=-1)
         self.byte_of = {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.spelt = [b"" if library.is_control(i) else UNKNOWN.encode() if library.is_unknown(i) else
                       self.byte_of.get(i) or library.id_to_piece(i).replace(MARK, " ").encode() for i in every]
@@ -211,17 +213,17 @@ class PieceCodec:
         cut = [self.cut(text) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = {segment for segments in cut for segment in segments if segment not in self.known}
+        new = set(chain.from_iterable(cut)).difference(self.known)
         long = {segment: self.long_segment(segment) for segment in new if len(segment) > SHORT}
         self.known.update(self.short_segments([segment for segment in new if len(segment) <= SHORT]))
         packed = ChainMap(long, self.known) if long else self.known
         return [np.frombuffer(b"".join(map(packed.__getitem__, segments)), np.int32) for segments in cut]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """The text of any ids. The space that the encoder put in front goes; each byte that is
         no part of a character becomes U+FFFD."""
         try:
-            if not self.controls.isdisjoint(ids):
+            if min(ids, default=self.last_control + 1) <= self.last_control and not self.controls.isdisjoint(ids):
                 raise ValueError
             text = b"".join(map(self.spelt.__getitem__, ids)).decode()
         except ValueError:  # control pieces and broken characters part the runs of bytes
@@ -229,7 +231,7 @@ class PieceCodec:
         first = next((i for i in ids if i not in self.controls), None)
         return text[1:] if first in self.spaced else text
 
-    def _decode_runs(self, ids: list[int]) -> str:
+    def _decode_runs(self, ids: Sequence[int]) -> str:
         parts, run = [], b""
         for i in [*ids, None]:
             if i in self.byte_of:
@@ -298,9 +300,9 @@ def encode_texts(df: DataFrame, model_path: str, text_col: str = "text") -> Data
         sources = [value.as_py() or "" for value in batch.column(batch.num_columns - 1)]
         ids, texts, agrees = codec.encode(sources), [], []
         for source_text, own in zip(sources, ids):
-            texts.append(codec.decode(own.tolist()))
-            theirs = codec.library.encode(source_text)
-            agrees.append(own.tolist() == theirs and texts[-1] == codec.library.decode(theirs))
+            listed, theirs = own.tolist(), codec.library.encode(source_text)
+            texts.append(codec.decode(listed))
+            agrees.append(listed == theirs and texts[-1] == codec.library.decode(theirs))
         ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
         values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.RecordBatch.from_arrays(
