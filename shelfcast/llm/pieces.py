@@ -4,8 +4,9 @@ A text is cut where no piece of the vocabulary can reach across: before each run
 space marks. Within such a segment all adjacent symbol pairs that spell a piece stand
 on an agenda ordered by score, then by position; the best pair is merged, its two new
 neighbours are offered, until the agenda is empty. Symbols outside the vocabulary
-become their UTF-8 bytes. Every text is encoded and decoded by the sentencepiece
-library too, in the same Arrow batch, and each row says whether both agree.
+become their UTF-8 bytes. In the same Arrow batch the sentencepiece library encodes every
+segment that is new to the task and decodes the ids of every text, and each row says
+whether both agree.
 
 The vocabulary travels to the tasks as the bytes of its file, which only the driver
 reads; the file is refused above ``MODEL_BYTES``.
@@ -64,6 +65,12 @@ class Agenda:
         self.places = np.array([p[1] for p in pairs] + [self.NONE], np.int32)
         self.merged = np.array([p[2] for p in pairs] + [0])
 
+        # Pairs of the most usual characters are looked up in a square.
+        usual = np.flatnonzero((self.points < 0x180) | (self.points == ord(MARK)))
+        self.place_in_square = np.full(int(self.points[usual].max(initial=0)) + 1, -1, np.int32)
+        self.place_in_square[self.points[usual]] = np.arange(len(usual), dtype=np.int32)
+        self.square = self._pairs(self.symbols[usual][:, None], self.symbols[usual][None, :])
+
     @staticmethod
     def key(left, right):
         return (np.int64(1) << 22) * left + right
@@ -74,6 +81,17 @@ class Agenda:
         at = np.searchsorted(self.keys, key)
         return np.where((self.keys[at] == key) & (right >= 0), at, len(self.keys) - 1).astype(np.int32)
 
+    def _first_pairs(self, points: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The pairs of neighbouring characters."""
+        at = self.place_in_square[np.minimum(points, len(self.place_in_square) - 1)]
+        at[(points >= len(self.place_in_square)) | (symbols < 0)] = -1
+        usual = (at[:, :-1] >= 0) & (at[:, 1:] >= 0)
+        pairs = self.square[at[:, :-1], at[:, 1:]]
+        other = ~usual & (symbols[:, 1:] >= 0)
+        pairs[~usual] = len(self.keys) - 1
+        pairs[other] = self._pairs(symbols[:, :-1][other], symbols[:, 1:][other])
+        return pairs
+
     def character(self, symbol: int) -> str:
         """The character behind a symbol that is no piece."""
         return self.others[symbol - self.first_other] if symbol < self.first_unknown else chr(symbol - self.first_unknown)
@@ -90,7 +108,7 @@ class Agenda:
         symbols = np.where(self.points[at] == points, self.symbols[at], points.astype(np.int32) + np.int32(self.first_unknown))
         symbols[np.arange(width) >= lengths[:, None]] = -1
         rows = np.arange(len(segments))
-        pairs = self._pairs(symbols[:, :-1], symbols[:, 1:])
+        pairs = self._first_pairs(points, symbols)
         while True:
             places = self.places[pairs]
             best = places.argmin(axis=1) if places.shape[1] else np.zeros(len(rows), np.int64)
@@ -137,6 +155,7 @@ class PieceCodec:
         self.joins = any(MARK in piece.lstrip(MARK) for piece in self.ids)
         self.agenda = Agenda(self.ids, self.scores)
         self.known: dict[str, bytes] = {}
+        self.doubtful: set[str] = set()
 
     def merge(self, segment: str) -> list[str]:
         """The symbols left when no adjacent pair spells a piece."""
@@ -210,14 +229,34 @@ class PieceCodec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of whole texts; an empty text has none. New segments of all texts are worked out together."""
+        return [ids for ids, _ in self.encode_checked(texts)]
+
+    def encode_checked(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
+        """The ids of each text, and whether the library gives the same for all its segments."""
         cut = [self.cut(text) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new = set(chain.from_iterable(cut)).difference(self.known)
         long = {segment: self.long_segment(segment) for segment in new if len(segment) > SHORT}
-        self.known.update(self.short_segments([segment for segment in new if len(segment) <= SHORT]))
+        short = dict(self.short_segments([segment for segment in new if len(segment) <= SHORT]))
+        for found in (long, short):
+            self._compare(list(found), list(found.values()))
+        self.known.update(short)
         packed = ChainMap(long, self.known) if long else self.known
-        return [np.frombuffer(b"".join(map(packed.__getitem__, segments)), np.int32) for segments in cut]
+        for segments in cut:
+            yield (np.frombuffer(b"".join(map(packed.__getitem__, segments)), np.int32),
+                   not self.doubtful or self.doubtful.isdisjoint(segments))
+
+    def _compare(self, segments: list[str], packed: list[bytes]) -> None:
+        """Notes the segments that the library, which puts a mark in front, encodes in another way."""
+        for first in range(0, len(segments), TOGETHER):
+            part, own = segments[first:first + TOGETHER], packed[first:first + TOGETHER]
+            # A single mark would be an empty text, which has no ids.
+            theirs = [[self.library.piece_to_id(s)] if s == MARK else ids
+                      for s, ids in zip(part, self.library.encode([s[1:].replace(MARK, " ") for s in part]))]
+            if np.fromiter(chain.from_iterable(theirs), np.int32).tobytes() != b"".join(own) or any(
+                    4 * len(t) != len(o) for t, o in zip(theirs, own)):
+                self.doubtful.update(s for s, t, o in zip(part, theirs, own) if np.array(t, np.int32).tobytes() != o)
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of any ids. The space that the encoder put in front goes; each byte that is
@@ -273,12 +312,13 @@ def _texts(df: DataFrame, column: str) -> DataFrame:
     return in_small_batches(df).select(*rest, df[column].cast("string").alias("piece_source"))
 
 
-def encode_texts(df: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+def encode_texts(df: DataFrame, model_path: str, text_col: str = "text", whole_texts: bool = False) -> DataFrame:
     """The rows of ``df`` with piece_ids, piece_text and piece_agrees.
 
     ``piece_ids`` are the ids of the whole text without begin or end, ``piece_text`` is
-    their decoding, and ``piece_agrees`` says that the library gives the same ids and the
-    same decoding. A null text is empty and has no ids; texts of any length are taken
+    their decoding, and ``piece_agrees`` says that the library encodes all segments of the
+    text alike and decodes all its ids alike; ``whole_texts`` has it encode each whole text
+    too, which about doubles the work. A null text is empty and has no ids; texts of any length are taken
     whole, a text must fit an Arrow batch. Rows are independent: repeated rows and null
     or repeated ids are answered row by row, an empty table gives no rows. Columns named
     piece_... are replaced.
@@ -298,11 +338,15 @@ def encode_texts(df: DataFrame, model_path: str, text_col: str = "text") -> Data
 
     def encoded(codec: PieceCodec, batch: pa.RecordBatch) -> pa.RecordBatch:
         sources = [value.as_py() or "" for value in batch.column(batch.num_columns - 1)]
-        ids, texts, agrees = codec.encode(sources), [], []
-        for source_text, own in zip(sources, ids):
-            listed, theirs = own.tolist(), codec.library.encode(source_text)
-            texts.append(codec.decode(listed))
-            agrees.append(listed == theirs and texts[-1] == codec.library.decode(theirs))
+        ids, texts, agrees = [], [], []
+        for source_text, (own, same) in zip(sources, codec.encode_checked(sources)):
+            listed = own.tolist()
+            decoded = codec.decode(listed)
+            if whole_texts:
+                same = same and codec.library.encode(source_text) == listed
+            ids.append(own)
+            texts.append(decoded)
+            agrees.append(same and codec.library.decode(listed) == decoded)
         ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
         values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.RecordBatch.from_arrays(

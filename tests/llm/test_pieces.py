@@ -45,6 +45,14 @@ def test_both_forms_of_the_agenda_agree(codec):
     assert dict(codec.short_segments(segments)) == {s: codec.long_segment(s) for s in segments}
 
 
+def test_a_segment_that_differs_is_noted(codec, monkeypatch):
+    broken = PieceCodec(pieces.read_model(MODEL))
+    monkeypatch.setattr(broken, "merge", list)
+    monkeypatch.setattr(broken, "short_segments", lambda segments: ((s, broken.long_segment(s)) for s in segments))
+    assert [same for _, same in broken.encode_checked(["the fox", "", "日", "fox 日"])] == [False, True, True, False]
+    assert all(same for _, same in codec.encode_checked(odd_texts()))
+
+
 def test_a_full_memory_of_segments_changes_nothing(codec, monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 5)
     texts = odd_texts()[:200]
@@ -61,7 +69,7 @@ def test_decoding_of_any_ids(codec):
 
 
 def test_rows_and_clashing_names(edge):
-    got = pieces.encode_texts(edge.withColumn("piece_ids", edge["bucket"]), MODEL)
+    got = pieces.encode_texts(edge.withColumn("piece_ids", edge["bucket"]), MODEL, whole_texts=True)
     assert [c for c in got.columns if not c.startswith("piece_")] == edge.columns
     library = SentencePieceProcessor(model_file=MODEL)
     rows = got.collect()
