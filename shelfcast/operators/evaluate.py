@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from shelfcast.operators.forests import FlatForest, staged_errors
+from shelfcast.session import materialize
+
 TOLERANCE = 0.20
 # Leaderboard status for a model that is best and active, only active, only best, neither.
 STATUS = ["👑 BEST OPTIMAL & ACTIVE", "⚡ ACTIVE FORECASTER", "👑 BEST OPTIMAL", "BENCHMARK"]
@@ -85,18 +88,23 @@ def leaderboard(validation: DataFrame, test: DataFrame, val_demand: DataFrame, t
         status.alias("status")).orderBy("test_mae", "model")
 
 
+def round_report(forest: FlatForest, rows: DataFrame, label: str = "units_sold") -> DataFrame:
+    """(epoch, val_mae, val_rmse, is_best, test_mae, test_rmse, test_precision) of a boosted ensemble.
 
-
-def round_errors(model, validation: DataFrame) -> DataFrame:
-    """Error after each boosting round of a fitted gradient-boosted model.
-
-    ``validation`` holds the assembled feature vector and the label. The result
-    has one row per round, a model parameter and not a data size.
+    ``rows`` holds the features, the label and a column ``part`` that says ``validation`` or
+    ``test``; one pass scores every round of both. The test figures stand at the best round,
+    the earliest of those with the lowest validation error, and are null elsewhere.
     """
-    mae = model.evaluateEachIteration(validation, "absolute")
-    mse = model.evaluateEachIteration(validation, "squared")
-    rows = [(i + 1, float(a), float(s) ** 0.5) for i, (a, s) in enumerate(zip(mae, mse))]
-    return validation.sparkSession.createDataFrame(rows, "epoch int, val_mae double, val_rmse double")
+    # One row per part and round: a size of the model, not of the data.
+    staged = materialize(staged_errors(forest, rows, label), "staged-errors")
+    validation = staged.where("part = 'validation'").select(
+        "epoch", F.col("mae").alias("val_mae"), F.col("rmse").alias("val_rmse"))
+    test = staged.where("part = 'test'").select(
+        "epoch", F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"), F.col("precision_pct").alias("test_precision"))
+    is_best = F.col("epoch") == best_round(validation).scalar()
+    both = validation.join(test, "epoch", "left").withColumn("is_best", is_best)
+    shown = [F.when(F.col("is_best"), F.col(c)).alias(c) for c in ("test_mae", "test_rmse", "test_precision")]
+    return both.select("epoch", "val_mae", "val_rmse", "is_best", *shown)
 
 
 def best_round(rounds: DataFrame) -> DataFrame:

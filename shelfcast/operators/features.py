@@ -7,8 +7,10 @@ so a partition is never longer than the calendar.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions import calendar
@@ -163,6 +165,63 @@ def state_features(units: Column, promos: Column, date: Column, price: Column) -
     return {name: values[name].cast("double") for name in FEATURES}
 
 
+class HistoryMatrix:
+    """The state of many products as arrays, for forecasts that carry on inside a task.
+
+    ``features`` gives the same inputs as ``state_features``, added up in the same order;
+    units stand at the right end of a row, so the last ones of all products share columns.
+    """
+
+    def __init__(self, units: list, promos: list, prices: np.ndarray, horizon: int):
+        self.prices, self.end = prices, max([*map(len, units), *map(len, promos), 1])
+        self.start, self.sizes = self.end, np.array([len(u) for u in units])
+        self.promo_sizes = np.array([len(p) for p in promos])
+        self.units, self.promos = (np.zeros((len(units), self.end + horizon)) for _ in range(2))
+        for table, rows in ((self.units, units), (self.promos, promos)):
+            for row, values in zip(table, rows):
+                row[self.end - len(values):self.end] = values
+
+    def append(self, values: np.ndarray) -> None:
+        """The next day's units, without a promotion."""
+        self.units[:, self.end] = values
+        self.end += 1
+        self.sizes, self.promo_sizes = self.sizes + 1, self.promo_sizes + 1
+
+    def made(self) -> np.ndarray:
+        return self.units[:, self.start:self.end]
+
+    def _lag(self, n: int) -> np.ndarray:
+        last = self.units[:, self.end - 1]
+        return np.where(self.sizes >= n, self.units[:, self.end - n], last) if n <= self.end else last
+
+    def _tail(self, width: int):
+        """(values, whether they exist) of the last days, oldest first."""
+        for k in range(min(width, self.end), 0, -1):
+            yield self.units[:, self.end - k], self.sizes >= k
+
+    def features(self, days: np.ndarray) -> np.ndarray:
+        """The model inputs of each product for its day, given as days since 1970-01-01."""
+        weekday = (days + 3) % 7
+        month = days.astype("datetime64[D]").astype("datetime64[M]").astype(int) % 12 + 1
+        values = {
+            "day_of_week": weekday, "month": month, "quarter": (month + 2) // 3, "is_weekend": weekday >= 5,
+            "on_promo": np.zeros(len(days)), "unit_price": self.prices,
+            "on_promo_lag7": np.where(self.promo_sizes >= 7, self.promos[:, max(self.end - 7, 0)], 0.0),
+            **{f"sales_lag_{n}": self._lag(n) for n in LAGS},
+            "rolling_min_7": np.min([np.where(there, v, np.inf) for v, there in self._tail(7)], axis=0),
+            "rolling_max_7": np.max([np.where(there, v, -np.inf) for v, there in self._tail(7)], axis=0),
+        }
+        for name, value, period in (("dow", weekday, 7), ("month", month, 12)):
+            angle = value * (2 * math.pi) / period
+            values[f"{name}_sin"], values[f"{name}_cos"] = np.sin(angle), np.cos(angle)
+        for width in WINDOWS:
+            n = np.minimum(self.sizes, width).astype(float)
+            mean = sum(np.where(there, v, 0.0) for v, there in self._tail(width)) / n
+            squares = sum(np.where(there, (v - mean) * (v - mean), 0.0) for v, there in self._tail(width))
+            values[f"rolling_mean_{width}"], values[f"rolling_std_{width}"] = mean, np.sqrt(squares / n)
+        return np.column_stack([np.asarray(values[name], float) for name in FEATURES])
+
+
 def hold_last_features(sales: DataFrame, horizon: int) -> DataFrame:
     """Features of the next ``horizon`` days with the last sale repeated and no promotion."""
     state = recent_history(sales).select(

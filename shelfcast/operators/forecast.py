@@ -6,10 +6,12 @@ State is one row per product holding at most its last 30 units.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.operators import features as feat
 from shelfcast.operators.history import last_rows
@@ -68,6 +70,28 @@ def with_model(sales: DataFrame, model: PipelineModel, horizon: int) -> DataFram
     return _steps(state, horizon, lambda step: F.element_at("made", step))
 
 
+def with_predictor(sales: DataFrame, predictor, horizon: int) -> DataFrame:
+    """Recursive forecast with any object that has ``predict(matrix)``, all steps of a product in one pass.
+
+    The state is one row per product. A batch of products is carried forward day by day
+    inside one Arrow function, so a step costs neither a job nor a checkpoint.
+    """
+    state = feat.recent_history(sales).select("product_id", "last_date", "unit_price", "units", "promos")
+    schema = T.StructType([*state.schema.fields[:2], T.StructField("made", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            days = np.asarray(batch.column(1).cast(pa.int32()), np.int64)
+            state = feat.HistoryMatrix(batch.column(3).to_pylist(), batch.column(4).to_pylist(),
+                                       np.asarray(batch.column(2), float), horizon)
+            for step in range(horizon):
+                state.append(np.maximum(predictor.predict(state.features(days + step + 1)), 0.0))
+            made = pa.array(state.made().tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], names=["product_id", "last_date", "made"])
+
+    return _steps(state.mapInArrow(run, schema), horizon, lambda step: F.element_at("made", step))
+
+
 def linear_score(inputs: dict[str, Column], coefficients: dict[str, float], intercept: float) -> Column:
     total = F.lit(float(intercept))
     for name, weight in coefficients.items():

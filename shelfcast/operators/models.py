@@ -1,18 +1,23 @@
-"""Demand models on the 25 features, fitted with pyspark.ml."""
+"""Demand models on the 25 features: linear, forests, boosters, a kernel machine."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import (GBTRegressor, LinearRegression, LinearRegressionModel,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from shelfcast.operators import tube
+from shelfcast.operators.boosting import Settings, fit_boosting
 from shelfcast.operators.features import FEATURES
 from shelfcast.operators.forecast import at_least_zero
+from shelfcast.operators.forests import FlatForest, flatten
 
 LABEL = "units_sold"
 SEED = 42
@@ -26,29 +31,36 @@ def assembler() -> VectorAssembler:
 def regressor(model: str, **overrides):
     """The estimator behind a model name with its standard settings, which ``overrides`` tune.
 
-    Boosters take 100 rounds at step size 0.1, the total shrinkage of 300 rounds at 0.03:
-    each round is a chain of jobs, so rounds cost time whatever the cluster. Trees are
-    limited in depth, as the driver holds all nodes; leaf-wise growth is approximated so too.
+    Trees are limited in depth, as the driver holds all nodes.
     """
     common = dict(featuresCol="features", labelCol=LABEL)
-    boosted = dict(maxIter=100, stepSize=0.1, seed=SEED, cacheNodeIds=False)
     settings = {
         "Linear Regression": (LinearRegression, dict(regParam=0.0, solver="normal")),
         "Random Forest": (RandomForestRegressor, dict(numTrees=100, maxDepth=12, seed=SEED)),
-        "Gradient Boosting": (GBTRegressor, dict(boosted, maxDepth=5)),
-        "LightGBM": (GBTRegressor, dict(boosted, maxDepth=5, maxBins=255)),
-        "XGBoost": (GBTRegressor, dict(boosted, maxDepth=6, subsamplingRate=0.9, featureSubsetStrategy="0.9")),
     }
     estimator, values = settings[model]
     return estimator(**common, **{**values, **overrides})
 
 
-def fit(model: str, train: DataFrame, **overrides) -> PipelineModel | FourierRegression:
+#: Plain level-wise growth of depth 5; leaf-wise growth with 31 leaves; level-wise growth of depth 6 with a
+#: penalty on leaf weights and 90 % of the rows and of the features per tree. 30 rounds at step size 0.3 have the
+#: total shrinkage of 300 at 0.03: each round is a chain of jobs, so rounds cost time whatever the cluster.
+BOOSTERS = {
+    "Gradient Boosting": Settings(leaves=32, depth=5, min_rows=1),
+    "LightGBM": Settings(leaves=31, min_rows=20),
+    "XGBoost": Settings(leaves=64, depth=6, penalty=1.0, min_rows=1, rows_share=0.9, columns_share=0.9),
+}
+
+
+def fit(model: str, train: DataFrame, **overrides) -> PipelineModel | FourierRegression | FlatForest:
     """Assemble the features and fit. The training rows are read once per tree level,
     so they are kept while fitting and released after."""
     if model == "Support Vector (RBF)":
         return fit_rbf(train, **overrides)
-    rows = train.select(*FEATURES, LABEL).persist()
+    if model in BOOSTERS:
+        return fit_boosting(train, LABEL, replace(BOOSTERS[model], **overrides))
+    # With its name in the plan, a model fitted beside others keeps rows of its own and releases no other's.
+    rows = train.select(*FEATURES, LABEL, F.lit(model).alias("fitted_for")).persist()
     try:
         return Pipeline(stages=[assembler(), regressor(model, **overrides)]).fit(rows)
     finally:
@@ -58,28 +70,25 @@ def fit(model: str, train: DataFrame, **overrides) -> PipelineModel | FourierReg
 class FourierRegression:
     """A fitted line on random Fourier features; scores like any fitted pipeline."""
 
-    def __init__(self, weights: np.ndarray, offsets: np.ndarray, line: LinearRegressionModel):
+    def __init__(self, weights: np.ndarray, offsets: np.ndarray, line: np.ndarray):
         self.weights, self.offsets, self.line = weights, offsets, line
 
-    def transform(self, rows: DataFrame) -> DataFrame:
-        return self.line.transform(rows.withColumn("features", fourier(self.weights, self.offsets))).drop("features")
+    def predict(self, rows: np.ndarray) -> np.ndarray:
+        return fourier(rows, self.weights, self.offsets) @ self.line[:-1] + self.line[-1]
 
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("prediction", score_with(self, rows))
 
-def fourier(weights: np.ndarray, offsets: np.ndarray) -> Column:
-    """cos(weights . x + offsets) of the model inputs as a vector, in Arrow batches."""
-    @F.pandas_udf("array<double>")
-    def project(batch: pd.DataFrame) -> pd.Series:
-        return pd.Series(list(np.cos(batch.to_numpy(float) @ weights.T + offsets)))
 
-    return array_to_vector(project(F.struct(*[F.col(c).cast("double").alias(c) for c in FEATURES])))
+def fourier(rows: np.ndarray, weights: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    return np.cos(rows @ weights.T + offsets)
 
 
 def fit_rbf(train: DataFrame, components: int = FOURIER_FEATURES, **overrides) -> FourierRegression:
-    """Ridge regression on random Fourier features of an RBF kernel.
+    """Support-vector regression on random Fourier features of an RBF kernel: cost 1, tube of 0.1.
 
     The kernel width is 1 / (inputs * variance over all inputs), as for a kernel
-    machine on unscaled inputs. The normal equations need a single pass, where
-    an iterative robust loss takes one pass per step.
+    machine on unscaled inputs.
     """
     means = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATURES],
                       *[F.var_pop(F.col(c).cast("double")).alias(f"var_{c}") for c in FEATURES]).first()
@@ -88,16 +97,41 @@ def fit_rbf(train: DataFrame, components: int = FOURIER_FEATURES, **overrides) -
     rng = np.random.default_rng(SEED)
     weights = rng.normal(0.0, np.sqrt(2.0 / (len(FEATURES) * variance)), (components, len(FEATURES)))
     offsets = rng.uniform(0.0, 2 * np.pi, components)
-    settings = {**dict(solver="normal", regParam=1e-3), **overrides}
-    rows = train.select(fourier(weights, offsets).alias("features"), LABEL).persist()
+    blocks = tube.pack(train, FEATURES, LABEL, lambda rows: fourier(rows, weights, offsets)).persist()
     try:
-        line = LinearRegression(featuresCol="features", labelCol=LABEL, **settings).fit(rows)
+        line, _ = tube.fit_tube(blocks, components, **overrides)
     finally:
-        rows.unpersist()
+        blocks.unpersist()
     return FourierRegression(weights, offsets, line)
 
 
-def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
+def fit_all(names: list[str], train: DataFrame) -> dict[str, PipelineModel | FourierRegression | FlatForest]:
+    """The named models, fitted side by side: each is a chain of short jobs, and chains fill the
+    gaps that others leave."""
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), name, train) for name in names}
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def flat(model: PipelineModel | FourierRegression | FlatForest):
+    """The model as an object with ``predict(matrix)``."""
+    if not isinstance(model, PipelineModel):
+        return model
+    last = model.stages[-1]
+    return LinearScore(last.coefficients.toArray(), float(last.intercept)) if isinstance(
+        last, LinearRegressionModel) else flatten(last)
+
+
+@dataclass
+class LinearScore:
+    weights: np.ndarray
+    intercept: float
+
+    def predict(self, rows: np.ndarray) -> np.ndarray:
+        return rows @ self.weights + self.intercept
+
+
+def predict(model: PipelineModel | FourierRegression | FlatForest, features: DataFrame) -> DataFrame:
     """Clipped predictions next to the actual units."""
     return model.transform(features).select(
         "product_id", F.col("date").alias("forecast_date"),
@@ -109,31 +143,36 @@ def coefficients(model: PipelineModel) -> tuple[dict[str, float], float]:
     return dict(zip(FEATURES, map(float, line.coefficients))), float(line.intercept)
 
 
-def save(model: PipelineModel | FourierRegression | DataFrame, path: str) -> None:
+def save(model: PipelineModel | FourierRegression | FlatForest | DataFrame, path: str) -> None:
     """Store a fitted model of any kind in a shared folder.
 
     Seasonal and sequence models are tables of states, one row per product.
     """
     if isinstance(model, DataFrame):
         model.write.mode("overwrite").parquet(f"{path}/states")
+    elif isinstance(model, FlatForest):
+        model.save(path)
     elif isinstance(model, FourierRegression):
-        model.line.write().overwrite().save(f"{path}/line")
-        rows = [(i, row.tolist(), float(offset)) for i, (row, offset) in enumerate(zip(model.weights, model.offsets))]
-        SparkSession.active().createDataFrame(rows, "i int, weights array<double>, offset double").write.mode(
+        # The intercept is the line's last weight and has no feature.
+        rows = [(i, weights.tolist(), float(offset), float(line)) for i, (weights, offset, line) in enumerate(
+            zip([*model.weights, np.zeros(0)], [*model.offsets, 0.0], model.line))]
+        SparkSession.active().createDataFrame(rows, "i int, weights array<double>, offset double, line double").write.mode(
             "overwrite").parquet(f"{path}/fourier")
     else:
         model.write().overwrite().save(path)
 
 
-def load(path: str, model: str) -> PipelineModel | FourierRegression | DataFrame:
+def load(path: str, model: str) -> PipelineModel | FourierRegression | FlatForest | DataFrame:
     """The stored model of that name."""
     spark = SparkSession.active()
     if model in ("Seasonal Baseline (Holt-Winters)", "LSTM (PyTorch)"):
         return spark.read.parquet(f"{path}/states")
+    if model in BOOSTERS:
+        return FlatForest.load(path)
     if model == "Support Vector (RBF)":
         rows = spark.read.parquet(f"{path}/fourier").orderBy("i").collect()
-        return FourierRegression(np.array([r["weights"] for r in rows]), np.array([r["offset"] for r in rows]),
-                                 LinearRegressionModel.load(f"{path}/line"))
+        return FourierRegression(np.array([r["weights"] for r in rows[:-1]]), np.array([r["offset"] for r in rows[:-1]]),
+                                 np.array([r["line"] for r in rows]))
     return PipelineModel.load(path)
 
 

@@ -642,16 +642,27 @@ def metrics_entries(d: Data):
 
 # ---- models and forecasts
 
+# Fits of the current application; those of an ended one are released when the next one asks.
 FITTED: dict[tuple, object] = {}
 
 
+def fit_missing(d: Data, names: list[str]) -> None:
+    """Fits the named models that no query of this session has asked for yet, side by side."""
+    application = d.spark.sparkContext.applicationId
+    for key in [k for k in FITTED if k[0] != application]:
+        del FITTED[key]
+    missing = [n for n in names if (application, d.folder, n) not in FITTED]
+    if missing:
+        train, _ = feat.split_at(d.stored_features, SPLIT)
+        for name, model in models.fit_all(missing, train).items():
+            FITTED[application, d.folder, name] = model
+
+
 def fitted(d: Data, model: str):
     """The model at its library size. Queries of one session that ask for the same fit share it."""
+    fit_missing(d, [model])
     train, test = feat.split_at(d.stored_features, SPLIT)
-    key = (d.spark.sparkContext.applicationId, d.folder, model)
-    if key not in FITTED:
-        FITTED[key] = models.fit(model, train)
-    return FITTED[key], train, test
+    return FITTED[d.spark.sparkContext.applicationId, d.folder, model], train, test
 
 
 def model_errors(d: Data, model: str) -> DataFrame:
@@ -688,7 +699,7 @@ def recursive_linear(d: Data):
 @query("FC1_MODEL")
 def recursive_model(d: Data):
     pipeline, _, _ = fitted(d, "Random Forest")
-    return rounded(fc.with_model(d.recent(30), pipeline, 14), 4)
+    return rounded(fc.with_predictor(d.recent(30), models.flat(pipeline), 14), 4)
 
 
 @query("FC2")
@@ -709,22 +720,30 @@ def sequence_forecast(d: Data):
 @query("FC5")
 def dispatched(d: Data):
     """A week ahead from every kind of model."""
+    fit_missing(d, dispatch.ON_FEATURES)
     parts = [dispatch.forecast(kind, lambda name: fitted(d, name)[0], d.stored_sales, d.stored_panel, 7)
              .withColumn("model", F.lit(kind)) for kind in words.MODEL_NAMES]
     return rounded(reduce(DataFrame.unionByName, parts), 3)
 
 
+def asked(d: Data) -> DataFrame:
+    return d.requests.select("request_id", "product_id", "horizon", words.resolve_model(F.col("model_text")).alias("model"))
+
+
 @query("FC6")
 def requested_forecasts(d: Data):
-    """Every request gets an answer: forecast rows, or one row that says what is missing.
+    """Every request gets an answer from the kind of model it names: forecast rows, or one row
+    that says what is missing."""
+    wanted = [r[0] for r in asked(d).select("model").distinct().collect() if r[0] in dispatch.ON_FEATURES]
+    fit_missing(d, wanted)
+    return dispatch.answer(asked(d), d.catalog, lambda name: fitted(d, name)[0], d.stored_sales, d.stored_panel)
 
-    Two kinds are at hand here, the linear model with set weights and Holt-Winters.
-    """
-    asked = d.requests.select("request_id", "product_id", "horizon", words.resolve_model(F.col("model_text")).alias("model"))
-    line = fc.with_linear(d.recent(30), WEIGHTS, INTERCEPT, 14).withColumn("model", F.lit("Linear Regression"))
-    season = (seasonal.forecast_or_naive(d.stored_sales, 14)
-              .withColumn("model", F.lit("Seasonal Baseline (Holt-Winters)")))
-    return fc.for_requests(asked, d.catalog, line.unionByName(season))
+
+@query("FC6_SEASONAL")
+def requested_seasonal_forecasts(d: Data):
+    """The requests for the seasonal model, whose fit SQL can express."""
+    seasonal_only = asked(d).where(F.col("model") == dispatch.SEASONAL)
+    return dispatch.answer(seasonal_only, d.catalog, lambda name: None, d.stored_sales, d.stored_panel)
 
 
 # ---- evaluation and explanation
@@ -768,16 +787,17 @@ def ranked_models(d: Data):
 
 @query("EVL5")
 def boosting_rounds(d: Data):
-    """Both boosters, validated on the last months before the split over all products."""
-    train, _ = feat.split_at(d.stored_features, SPLIT)
+    """Both boosters, validated on the last months before the split over all products, tested after it.
+
+    The test figures are those of the round with the lowest validation error.
+    """
+    train, test = feat.split_at(d.stored_features, SPLIT)
     early, late = feat.split_at(train, VALIDATION)
-    parts = []
-    for model in ("Gradient Boosting", "LightGBM"):
-        pipeline = models.fit(model, early)
-        rounds = evaluate.round_errors(pipeline.stages[-1], pipeline.stages[0].transform(late))
-        parts.append(rounds.select(F.lit(model).alias("model"), "*",
-                                   (F.col("epoch") == evaluate.best_round(rounds).scalar()).alias("is_best")))
-    return rounded(parts[0].unionByName(parts[1]), 3)
+    rows = late.withColumn("part", F.lit("validation")).unionByName(test.withColumn("part", F.lit("test")))
+    kinds = ["Gradient Boosting", "LightGBM"]
+    parts = [evaluate.round_report(models.flat(model), rows).select(F.lit(kind).alias("model"), "*")
+             for kind, model in models.fit_all(kinds, early).items()]
+    return rounded(reduce(DataFrame.unionByName, parts), 3)
 
 
 @query("EVL6")
