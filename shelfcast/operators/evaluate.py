@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from shelfcast.operators.features import FEATURES
 from shelfcast.operators.forests import FlatForest, staged_errors
 from shelfcast.session import materialize
 
@@ -88,6 +93,37 @@ def leaderboard(validation: DataFrame, test: DataFrame, val_demand: DataFrame, t
         status.alias("status")).orderBy("test_mae", "model")
 
 
+def errors_of_all(predictors: dict[str, object], rows: DataFrame, label: str = "units_sold",
+                  predicted: tuple[str, ...] = (), digits: int = 3) -> DataFrame:
+    """(model, n, mae, rmse, precision_pct) of many fitted models over the same rows, in one scan.
+
+    ``predictors`` have ``predict(matrix)`` over the features. The columns named in
+    ``predicted`` hold predictions made elsewhere, such as per-product models; rows where
+    such a column is null do not count for it. Predictions are clipped at zero. A task adds
+    up its rows and hands on one row per model.
+    """
+    names = [*predictors, *predicted]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(names), 4))
+        for batch in batches:
+            actual = np.asarray(batch.column(0), float)
+            made = [np.asarray(c.cast(pa.float64()).fill_null(np.nan), float) for c in batch.columns[1:1 + len(predicted)]]
+            matrix = np.column_stack([np.asarray(c, float) for c in batch.columns[1 + len(predicted):]])
+            for k, guess in enumerate([*(p.predict(matrix) for p in predictors.values()), *made]):
+                gap = np.abs(np.maximum(guess, 0.0) - actual)
+                hit = gap <= TOLERANCE * np.abs(actual) + 1e-9
+                total[k] += [np.isfinite(gap).sum(), np.nansum(gap), np.nansum(gap * gap), hit.sum()]
+        yield pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(c) for c in total.T]], names=["model", "n", "gap", "squares", "hits"])
+
+    inputs = rows.select(F.col(label).cast("double"), *[F.col(c).cast("double") for c in [*predicted, *FEATURES]])
+    sums = inputs.mapInArrow(run, "model string, n double, gap double, squares double, hits double").groupBy("model").agg(
+        *[F.sum(c).alias(c) for c in ("n", "gap", "squares", "hits")]).where("n > 0")
+    return sums.select("model", F.col("n").cast("long").alias("n"), F.round(F.col("gap") / F.col("n"), digits).alias("mae"),
+                       F.round(F.sqrt(F.col("squares") / F.col("n")), digits).alias("rmse"),
+                       F.round(F.col("hits") * 100.0 / F.col("n"), digits).alias("precision_pct"))
+
+
 def round_report(forest: FlatForest, rows: DataFrame, label: str = "units_sold") -> DataFrame:
     """(epoch, val_mae, val_rmse, is_best, test_mae, test_rmse, test_precision) of a boosted ensemble.
 

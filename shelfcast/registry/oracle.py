@@ -625,8 +625,8 @@ def _queries() -> dict[str, str]:
     o["AGG2"] = sql("SELECT DISTINCT product_id, brand, product_name, category, lead_time_days FROM sales")
     mean = "SELECT product_id, CAST(sum(units_sold) AS DOUBLE) / count(*) AS m FROM sales GROUP BY product_id"
     o["AGG3"] = sql(f"SELECT product_id, {r('m')} AS avg_daily FROM ({mean})")
-    o["AGG4"] = sql(f"SELECT {iso()}, " + ", ".join(
-        f"{r(f'max(units) FILTER (product_id = {text(p)})')} AS \"{p}\"" for p in q.PIVOT_IDS) + " FROM cells GROUP BY cells.date", CELLS)
+    o["AGG4"] = sql(f"SELECT * FROM (PIVOT (SELECT {iso()}, product_id, {r('units')} AS units FROM cells) "
+                    "ON product_id USING max(units) GROUP BY date)", CELLS)
     o["AGG5"] = sql(" UNION ALL ".join(
         f"SELECT product_id, {r('avg_daily')} AS avg_daily, {r('sigma')} AS sigma, {n} AS days FROM {recent(n)}" for n in (14, 30)), RECENT)
     first = "CASE WHEN step <= 30 THEN predicted_units END"

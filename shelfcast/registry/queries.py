@@ -386,12 +386,9 @@ def mean_units(d: Data):
 
 @query("AGG4")
 def wide_pivot(d: Data):
-    return rounded(similarity.sales_pivot(d.stored_sales, PIVOT_IDS))
-
-
-# A wide table names its columns: every brand with every type of the parts table.
-PIVOT_IDS = [f"Brand#{brand}-{kind}" for brand in range(1, 26)
-             for kind in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")]
+    # A wide table names its columns: every product that was sold.
+    ids = [r[0] for r in d.stored_sales.select("product_id").distinct().orderBy("product_id").collect()]
+    return rounded(similarity.sales_pivot(d.stored_sales, ids))
 
 
 @query("AGG5")
@@ -785,6 +782,23 @@ def ranked_models(d: Data):
     return evaluate.rank_models(naive_metrics(d))
 
 
+@query("EVL4_MODELS")
+def ranked_fitted_models(d: Data):
+    """All eight kinds of model on the hold-out, scored in one scan and ranked by error."""
+    fit_missing(d, dispatch.ON_FEATURES)
+    _, test = feat.split_at(d.stored_features, SPLIT)
+    past, _ = feat.split_at(d.stored_panel, SPLIT)
+    sold, _ = feat.split_at(d.stored_sales, SPLIT)
+    horizon = (d.last_day - date.fromisoformat(SPLIT)).days + 1
+    made = {dispatch.SEASONAL: seasonal.forecast_or_naive(sold, horizon),
+            dispatch.SEQUENCE: sequence.one_step(d.stored_panel, sequence.fit(past), SPLIT)}
+    for kind, ahead in made.items():
+        test = test.join(ahead.select("product_id", F.col("forecast_date").alias("date"),
+                                      F.col("predicted_units").alias(kind)), ["product_id", "date"], "left")
+    scored = evaluate.errors_of_all({k: models.flat(fitted(d, k)[0]) for k in dispatch.ON_FEATURES}, test, predicted=tuple(made))
+    return evaluate.rank_models(scored).join(scored.select("model", "n", "precision_pct"), "model")
+
+
 @query("EVL5")
 def boosting_rounds(d: Data):
     """Both boosters, validated on the last months before the split over all products, tested after it.

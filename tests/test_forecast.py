@@ -55,8 +55,8 @@ def test_naive_forecasts(sales):
 
 
 @pytest.mark.parametrize("model, sizes", [
-    ("Random Forest", dict(numTrees=5, maxDepth=5)), ("Gradient Boosting", dict(maxIter=3)),
-    ("LightGBM", dict(maxIter=3)), ("XGBoost", dict(maxIter=3)), ("Support Vector (RBF)", {})])
+    ("Random Forest", dict(numTrees=5, maxDepth=5)), ("Gradient Boosting", dict(rounds=3)),
+    ("LightGBM", dict(rounds=3)), ("XGBoost", dict(rounds=3)), ("Support Vector (RBF)", dict(rounds=3))])
 def test_models_fit_and_predict(table, model, sizes):
     scored = models.predict(models.fit(model, table, **sizes), table)
     assert scored.where("predicted_units < 0 or predicted_units is null").count() == 0
@@ -173,11 +173,18 @@ def test_ranking_and_rounds(spark):
     assert {(r.model, r.mae, r.best_model) for r in parsed} == {("a", 1.0, "a"), ("b", 2.0, "a")}
 
 
-def test_round_errors(table):
-    train, tail = feat.split_at(table, "2024-11-01")
-    fitted = models.fit("Gradient Boosting", train, maxIter=4)
-    rounds = evaluate.round_errors(fitted.stages[-1], fitted.stages[0].transform(tail)).collect()
-    assert [r.epoch for r in rounds] == [1, 2, 3, 4] and all(r.val_rmse >= r.val_mae for r in rounds)
+def test_models_scored_in_one_scan(table, linear):
+    booster = models.fit("LightGBM", table, rounds=2)
+    rows = table.withColumn("elsewhere", F.when(F.col("month") > 2, F.col("sales_lag_7")))
+    got = {r.model: r for r in evaluate.errors_of_all(
+        {"line": models.flat(linear), "trees": booster}, rows, predicted=("elsewhere",)).collect()}
+    for name, model in (("line", linear), ("trees", booster)):
+        one = evaluate.errors(models.predict(model, table)).first()
+        assert (got[name].mae, got[name].rmse) == pytest.approx((one.mae, one.rmse), abs=0.0011)
+        assert got[name].n == table.count()
+    naive = rows.where("month > 2").select(F.col("units_sold").cast("double").alias("actual"), F.col("sales_lag_7").alias("predicted_units"))
+    one = evaluate.errors(naive).first()
+    assert (got["elsewhere"].mae, got["elsewhere"].rmse, got["elsewhere"].n) == (one.mae, one.rmse, naive.count())
 
 
 def test_metrics_are_replaced_by_model(spark):
