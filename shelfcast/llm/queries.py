@@ -72,8 +72,8 @@ def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, folder, "documents"))
     return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
-                        F.col("mix_target").alias("target"), F.col("mix_rate").alias("rate"),
-                        (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+                        F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"),
+                        F.col("mix_rate").alias("rate"))
 
 
 def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
@@ -135,9 +135,9 @@ ORACLE: dict[str, str] = {
         from m group by doc_id""",
     "op11_hard_negatives": """
         with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-                          list_transform(embedding, x -> floor(256 * x::double)) as v
+                          list_transform(embedding, lambda x: floor(256 * x::double)) as v
                    from embeddings where label is not null and embedding is not null
-                   and len(list_filter(embedding, x -> coalesce(isfinite(x::double), false))) = len(embedding)),
+                   and len(list_filter(embedding, lambda x: coalesce(isfinite(x::double), false))) = len(embedding)),
              s as (select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id,
                           cast(list_inner_product(a.v, r.v) as bigint) as score
                    from r as a, r where a.vec_id % 100 = 0),

@@ -73,7 +73,9 @@ def _located(text: Column, pattern: str, rank: int, kind: str, keep) -> Column:
     spans = F.aggregate(lengths, start, add)["spans"]
     flags = keep(hits)
     if flags is not None:
-        spans = F.filter(spans, lambda _, i: F.get(flags, i))
+        # Judged once for all spans, not again for each.
+        judged = F.arrays_zip(spans.alias("span"), flags.alias("kept"))
+        spans = F.transform(F.filter(judged, lambda j: j["kept"]), lambda j: j["span"])
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
@@ -87,24 +89,27 @@ def _base(text: Column, rank: int, kind: str) -> Column:
 
 def window_entropy(value: Column, alphabet: str, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits, of any ``window`` neighbouring characters."""
-    table = F.lit(alphabet)
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)])
-    zero = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-
-    def move(state: Column, at: Column) -> Column:
-        comes = F.call_function("instr", table, F.call_function("substring", value, at, F.lit(1))) - 1
-        goes = F.when(at > window, F.call_function("instr", table, F.call_function("substring", value, at - window, F.lit(1))) - 1
-                      ).otherwise(F.lit(-1))
+    # Each character's cell, beside the cell of the one that leaves the window. What a lambda takes from outside
+    # is worked out anew at every step, so the text must be taken apart before.
+    cells = F.transform(F.split(value, ""), lambda c: F.call_function("instr", F.lit(alphabet), c) - 1)
+    leaving = F.slice(F.concat(F.array_repeat(F.lit(-1), window), cells), F.lit(1), F.char_length(value))
+    steps = F.arrays_zip(cells.alias("comes"), leaving.alias("goes"))
+    zero = F.struct(F.lit(0).alias("n"), F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"),
+                    F.lit(0.0).alias("best"))
+
+    def move(state: Column, step: Column) -> Column:
+        comes, goes, n = step["comes"], step["goes"], state["n"] + 1
         here, there = F.get(state["counts"], comes), F.get(state["counts"], goes)
         total = F.when(comes == goes, state["sum"]).otherwise(
             state["sum"] + F.get(weight, here + 1) - F.get(weight, here)
             + F.coalesce(F.get(weight, there - 1) - F.get(weight, there), F.lit(0.0)))
         counts = F.when(comes == goes, state["counts"]).otherwise(F.transform(
             state["counts"], lambda c, i: c + F.when(i == comes, 1).when(i == goes, -1).otherwise(0)))
-        bits = F.when(at >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
-        return F.struct(counts.alias("counts"), total.alias("sum"), F.greatest(state["best"], bits).alias("best"))
+        bits = F.when(n >= window, F.lit(math.log2(window)) - total / window).otherwise(F.lit(0.0))
+        return F.struct(n.alias("n"), counts.alias("counts"), total.alias("sum"), F.greatest(state["best"], bits).alias("best"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.char_length(value)), zero, move)["best"]
+    return F.aggregate(steps, zero, move)["best"]
 
 
 def _suspicious(value: Column) -> Column:

@@ -78,6 +78,22 @@ def test_one_case_with_digits_and_repeats_before_a_key(spark):
         i: [(0, len(t))] if t in found else [] for i, t, *_ in rows}
 
 
+def test_a_very_long_candidate_takes_time_in_proportion(spark):
+    """A megabyte of base64 in one run, and a text of many candidates; the cost used to be quadratic."""
+    import base64
+    import random
+    import time
+
+    rng = random.Random(8)
+    long = "data:" + base64.b64encode(rng.randbytes(750_000)).decode()
+    many = " ".join(base64.b64encode(rng.randbytes(24)).decode() for _ in range(2000))
+    df = spark.createDataFrame([(1, long), (2, many), (3, "x" * 300_000)], "doc_id long, text string").repartition(3)
+    started = time.time()
+    got = {r.doc_id: r.entropy_spans for r in secrets.scan_secrets(df).collect()}
+    assert time.time() - started < 120
+    assert [(s.start, s.stop) for s in got[1]] == [(5, len(long))] and len(got[2]) > 1900 and got[3] == []
+
+
 def test_nothing_to_scan(empty):
     assert secrets.scan_secrets(empty).collect() == []
 
