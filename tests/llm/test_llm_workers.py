@@ -12,7 +12,8 @@ from shelfcast.session import build_session
 spark = build_session("workers", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
                                                  "spark.checkpoint.dir": {shared!r}}})
 from __spark_entry__ import queries
-for key in ("op1_exact_dedup", "op3_decontamination", "op4_toxicity", "op6_near_dedup", "op9_language_model"):
+for key in ("op1_exact_dedup", "op3_decontamination", "op4_toxicity", "op6_near_dedup", "op9_language_model", "op11_hard_negatives",
+            "op12_spelling", "op13_sentencepiece"):
     assert queries()[key](spark, "/root/testdata/sf0.001").count() >= 0
 print("all ran")
 """
