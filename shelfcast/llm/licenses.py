@@ -101,20 +101,24 @@ def templates(spark: SparkSession) -> DataFrame:
             .select("family", F.when(F.size("words") > 1, pairs_of(F.col("words"))).otherwise(F.col("words")).alias("pairs")))
 
 
-def train(df: DataFrame, text_col: str = "text", background_rows: int = 4000) -> LicenseModel:
+def train(df: DataFrame, text_col: str = "text", background_rows: int = 20_000) -> LicenseModel:
     """Fits the classifier on the notices and on at most ``background_rows`` other lines of the texts.
 
-    The background is the bounded sample with the smallest hashes of all lines that do
-    not speak of a licence; a fifth of it calibrates.
+    The background is the bounded sample with the smallest hashes of all distinct lines
+    that do not speak of a licence; a fifth of it calibrates.
     """
     spark = df.sparkSession
     schema = "name string, text string"
     words = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("words")
     fitted = literal_table(spark, _notices(GRANTS, OTHER), schema).select("name", words, F.lit(False).alias("calibrates"))
     kept = literal_table(spark, _notices(CALIBRATION, OTHER_CALIBRATION), schema).select("name", words, F.lit(True).alias("calibrates"))
-    lines = (df.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
-             .where(~F.col("line").rlike("(?i)licen[cs]")).select("line", F.xxhash64("line").alias("h"))
-             .orderBy("h", "line").limit(background_rows))
+    spoken = (df.select(F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line"))
+              .where(~F.col("line").rlike("(?i)licen[cs]")).select("line", F.xxhash64("line").alias("h")))
+    # Of so many distinct lines, those below this hash are about four times the sample; only they are made distinct.
+    distinct = spoken.agg(F.approx_count_distinct("h")).first()[0]
+    share = min(1.0, 4.0 * background_rows / max(1, distinct))
+    below = F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+    lines = spoken.where(F.col("h") <= below).distinct().orderBy("h", "line").limit(background_rows)
     plain = paragraphs(lines, "h", "line").select(
         F.lit(NONE).alias("name"), "words", (F.pmod("doc_id", F.lit(5)) == 0).alias("calibrates"))
     classes = [*FAMILIES, UNKNOWN, NONE]
