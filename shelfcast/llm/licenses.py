@@ -129,8 +129,9 @@ def train(df: DataFrame, text_col: str = "text", background_rows: int = 20_000)
     counts = {r["label"]: r["count"] for r in rows.where("not calibrates").groupBy("label").count().collect()}
     weight = F.coalesce(*[F.when(F.col("label") == c, F.lit(100.0 / n)) for c, n in counts.items()], F.lit(1.0))
     regression = LogisticRegression(maxIter=40, regParam=3e-4, family="multinomial", weightCol="weight").fit(
-        rows.where("not calibrates").select("features", "label").unionByName(
-            _vectors(missing).select("features", F.lit(float(len(classes) - 1)).alias("label"))).withColumn("weight", weight))
+        rows.where("not calibrates").select("features", "label", weight.alias("weight")).unionByName(
+            # Words that no row has are no evidence of a notice: that case weighs as much as a class.
+            _vectors(missing).select("features", F.lit(float(len(classes) - 1)).alias("label"), F.lit(100.0).alias("weight"))))
     raw = [(list(r["raw"]), int(r["label"])) for r in regression.transform(rows.where("calibrates")).select(
         vector_to_array("rawPrediction").alias("raw"), "label").collect()]
     rows.unpersist()
