@@ -55,25 +55,29 @@ def build(tokens: np.ndarray, base: np.ndarray, levels: list[Grams], discount: f
     first = np.cumsum([1] + [len(level.count) for level in levels[:-1]])
     states = int(first[-1])
     failure, loss = np.zeros(states, np.int64), np.zeros(states)
-    # The state that an n-gram ending at a token is; the longest ones are arcs only.
-    at_state = [np.where(level.at > 0, level.at + (first[n] - 1), 0) for n, level in enumerate(levels[:-1])]
+
+    def state(n: int, place: np.ndarray) -> np.ndarray:
+        """The states of the n-grams of a length that end at these tokens; the longest ones are arcs only."""
+        number = levels[n].at[place].astype(np.int64)
+        return np.where(number > 0, number + (first[n] - 1), 0)
+
     seen = levels[0].count > 0
     root_target = np.where(seen, np.arange(words) + 1, 0) if states > 1 else np.zeros(words, np.int64)
     keys, gain, target, below = [], [], [], base
     for n, level in enumerate(levels):
         if n:
-            history, word = at_state[n - 1][level.place - 1], tokens[level.place].astype(np.int64)
+            history, word = state(n - 1, level.place - 1), tokens[level.place].astype(np.int64)
             left = levels[n - 1]
             own = left.at[level.place - 1] - 1
             count, shorter = left.count[own], below[levels[n - 1].at[level.place] - 1]
             chance = (np.maximum(level.count - discount, 0) + (count - left.taken[own]) * shorter) / count
             keys.append(history * words + word)
             gain.append(np.log10(chance))
-            target.append(at_state[n][level.place] if n < len(levels) - 1 else at_state[n - 1][level.place])
+            target.append(state(min(n, len(levels) - 2), level.place))
             below = chance
         if n < len(levels) - 1:
             mine = slice(int(first[n]), int(first[n + 1]))
-            failure[mine] = at_state[n - 1][level.place] if n else 0
+            failure[mine] = state(n - 1, level.place) if n else 0
             with np.errstate(divide="ignore", invalid="ignore"):
                 loss[mine] = np.where(level.count > 0, np.log10((level.count - level.taken) / level.count), 0)
     keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
