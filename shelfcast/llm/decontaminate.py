@@ -29,6 +29,8 @@ MIN_WORDS, EXACT_WORDS = 8, 3
 UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30fa\u30fc-\u30ff\u3400-\u4dbf"
                       "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])|[\u3000-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20]")
 _FILTER_BITS = 20
+#: Pairs of places that a text and the passages share a seed at, held at a time.
+PAIRS = 1 << 20
 
 
 def word_separators() -> np.ndarray:
@@ -135,29 +137,47 @@ def leaking_stretch(same: np.ndarray, need: int, identity: float) -> tuple[int,
     return int(matches[best]), int(hits[best]), int(hits[last[best]]) + 1
 
 
-def leaks_of(words: np.ndarray, index: dict, min_overlap: int, identity: float) -> dict[int, tuple]:
-    """For each passage found in a text: matched words, stretch in the text, and its length."""
-    tried, found = set(), {}
+def alignments(words: np.ndarray, index: dict, most: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct alignments that seeds fix: passages, and where in the text each passage begins.
+
+    A repetitive text meets a repetitive passage at many pairs of places that fix the
+    same alignment; about ``most`` pairs are put together at a time.
+    """
+    longest = int(np.diff(index["offsets"]).max(initial=0))
+    span = np.int64(len(words) + 2 * longest + 1)
+    codes = [np.zeros(0, np.int64)]
     for mask in index["masks"]:
         here = seeds(words, mask)
-        maybe = np.flatnonzero(index["filter"][here >> np.uint64(64 - _FILTER_BITS)])
-        if not len(maybe):
-            continue
-        first = np.searchsorted(index["keys"], here[maybe], "left")
-        last = np.searchsorted(index["keys"], here[maybe], "right")
-        for at, a, b in zip(maybe[first < last].tolist(), first[first < last].tolist(), last[first < last].tolist()):
-            for number, place in index["places"][a:b].tolist():
-                shift = at - place
-                if (number, shift) in tried:
-                    continue
-                tried.add((number, shift))
-                passage = index["words"][index["offsets"][number]:index["offsets"][number + 1]]
-                begin, end = max(0, shift), min(len(words), shift + len(passage))
-                need = needed(len(passage), min_overlap, identity, index["min_words"])
-                stretch = leaking_stretch(words[begin:end] == passage[begin - shift:end - shift], need, identity)
-                if stretch and stretch[0] > found.get(number, (0,))[0]:
-                    matched, low, high = stretch
-                    found[number] = (matched, begin + low, begin + high, len(passage))
+        at = np.flatnonzero(index["filter"][here >> np.uint64(64 - _FILTER_BITS)])
+        first = np.searchsorted(index["keys"], here[at], "left")
+        count = np.searchsorted(index["keys"], here[at], "right") - first
+        at, first, count = at[count > 0], first[count > 0], count[count > 0]
+        total = np.cumsum(count)
+        begin = 0
+        while begin < len(at):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + most, "right")))
+            n = count[begin:end]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            number, place = index["places"][np.repeat(first[begin:end], n) + step].T
+            codes.append(np.unique(number * span + (np.repeat(at[begin:end], n) - place + longest)))
+            begin = end
+    number, shift = np.divmod(np.unique(np.concatenate(codes)), span)
+    return number, shift - longest
+
+
+def leaks_of(words: np.ndarray, index: dict, min_overlap: int, identity: float) -> dict[int, tuple]:
+    """For each passage found in a text: matched words, stretch in the text, and its length; the first of the best."""
+    found: dict[int, tuple] = {}
+    for number, shift in zip(*(x.tolist() for x in alignments(words, index))):
+        passage = index["words"][index["offsets"][number]:index["offsets"][number + 1]]
+        if found.get(number, (0,))[0] == len(passage):
+            continue  # found whole
+        begin, end = max(0, shift), min(len(words), shift + len(passage))
+        need = needed(len(passage), min_overlap, identity, index["min_words"])
+        stretch = leaking_stretch(words[begin:end] == passage[begin - shift:end - shift], need, identity)
+        if stretch and stretch[0] > found.get(number, (0,))[0]:
+            matched, low, high = stretch
+            found[number] = (matched, begin + low, begin + high, len(passage))
     return found
 
 

@@ -87,6 +87,36 @@ def test_short_passages_and_scripts_without_spaces():
     assert find("เขาพูดว่าสวัสดีครับยินดีต้อนรับค่ะ") == {2} and find("春の海") == set()
 
 
+@pytest.mark.parametrize("most", [1, 7, 1 << 20])
+def test_alignments_are_all_that_share_a_seed(most):
+    rng = random.Random(21)
+    items = [(i, " ".join(rng.choices("abc", k=rng.randrange(2, 40)))) for i in range(12)]
+    index = decontaminate.benchmark_index(items)
+    text = decontaminate._encode([" ".join(rng.choices("abcd", k=150))])[0]
+    want = set()
+    for number, (first, last) in enumerate(zip(index["offsets"][:-1], index["offsets"][1:])):
+        passage = index["words"][first:last]
+        # Any mask that some passage uses finds the seeds that this passage has.
+        for mask in decontaminate.masks_for(len(passage), decontaminate.MASKS, 13, 0.8, decontaminate.MIN_WORDS):
+            for at in range(len(text) - len(mask) + 1):
+                for place in range(len(passage) - len(mask) + 1):
+                    if all(m == "0" or text[at + k] == passage[place + k] for k, m in enumerate(mask)):
+                        want.add((number, at - place))
+    number, shift = decontaminate.alignments(text, index, most)
+    assert list(zip(number.tolist(), shift.tolist())) == sorted(want)
+
+
+@pytest.mark.parametrize("passage,found", [("word " * 400, True), ("word " * 12 + "other " * 388, False)])
+def test_a_repetitive_text_costs_no_more_than_its_alignments(passage, found):
+    import time
+
+    index = decontaminate.benchmark_index([(1, passage)])
+    text = decontaminate._encode(["word " * 20_000])[0]
+    start = time.perf_counter()
+    assert bool(decontaminate.leaks_of(text, index, 13, 0.8)) == found
+    assert time.perf_counter() - start < 10
+
+
 def test_leaking_stretch_matches_brute_force():
     rng = random.Random(3)
     for _ in range(400):
