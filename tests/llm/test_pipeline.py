@@ -77,6 +77,7 @@ def test_edge_rows_run_through(spark, tmp_path):
 
 def test_empty_tables_run_through(spark, tmp_path):
     folder = write(spark, tmp_path / "none", [], [], [])
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
     for name, query in QUERIES.items():
         if name != "op8_licenses":
             assert query(spark, folder).collect() == [], name
