@@ -89,7 +89,8 @@ def test_queries_match_their_sql(spark, key):
 
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{folder}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
     want = con.execute(ORACLE[key]).df()
     got = QUERIES[key](spark, folder).toPandas()
     columns = sorted(want.columns)
