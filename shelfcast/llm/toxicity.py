@@ -1,9 +1,10 @@
 """Toxicity by weak supervision.
 
-Voters are words (lexicon) and word beginnings or endings (patterns) that labelled
-training texts single out; the given label is one more, fallible voter. A
-generative model with a hidden class estimates how often each voter fires in either
-class, how voters repeat each other and how far the labels can be trusted. A linear classifier learns the posterior labels and scores all texts.
+Voters are words (lexicon), word beginnings or endings and, in scripts without spaces,
+short runs of characters (patterns) that labelled training texts single out; the given
+label is one more, fallible voter. A generative model with a hidden class estimates how
+often each voter fires in either class, how voters repeat each other and how far the
+labels can be trusted. A linear classifier learns the posterior labels and scores all texts.
 """
 
 from __future__ import annotations
@@ -18,36 +19,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.llm.tokens import in_small_batches
+from shelfcast.session import materialize
 
 WORDS = re.compile(r"[^\W\d_]+")
-#: Lengths of word beginnings and endings that may become voters.
-BEGINNINGS, ENDINGS = (3, 4, 5, 6), (4, 5)
-SAMPLE_ROWS, MAX_VOTERS = 20_000, 400
+#: Runs of scripts without spaces: Thai and Lao, Burmese, Khmer, Japanese, Chinese.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff]+")
+#: Lengths of word beginnings and endings, and of character runs, that may become voters.
+BEGINNINGS, ENDINGS, RUNS = (3, 4, 5, 6), (4, 5), (2, 3)
+#: Labelled rows that the fit reads; toxic texts, log odds and divergence from the base rate that a voter needs.
+SAMPLE_ROWS, LEAST_TEXTS, LEAST_ODDS, LEAST_DIVERGENCE = 20_000, 4, 3.0, 6.0
+
+
+def character_runs(text: str) -> set[str]:
+    """The runs of characters of the parts in scripts without spaces."""
+    if text.isascii():
+        return set()
+    return {part[i:i + n] for part in UNSPACED.findall(text) for n in RUNS for i in range(len(part) - n + 1)}
 
 
 def evidence(text: str | None) -> set[str]:
-    """What can vote on a text: its words and their beginnings and endings."""
+    """What can vote on a text: its words, their beginnings and endings, and its character runs."""
     found = set()
     for word in set(WORDS.findall(text.lower())) if text else ():
         found.add("=" + word)
         found.update("<" + word[:n] for n in BEGINNINGS if len(word) > n)
         found.update(">" + word[-n:] for n in ENDINGS if len(word) > n)
+    found.update("~" + run for run in character_runs(text or ""))
     return found
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label that hold each piece of evidence, combined per batch."""
+    """Documents of either label, and of the sample, that hold each piece of evidence, combined per batch.
+
+    The empty mark counts all documents.
+    """
     for batch in batches:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts[int(toxic)].update(evidence(text))
+        counts: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
+        for text, toxic, sampled in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            found = evidence(text) | {""}
+            counts[int(toxic)].update(found)
+            if sampled:
+                counts[2].update(found)
         # Evidence of no toxic text of the batch still counts against a voter.
         keys = list(counts[0].keys() | counts[1].keys())
         for at in range(0, len(keys), 50_000):
             part = keys[at:at + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array([counts[1][k] for k in part], type=pa.int64()),
-                 pa.array([counts[0][k] for k in part], type=pa.int64())], names=["mark", "toxic", "clean"])
+                [pa.array(part), *[pa.array([counts[i][k] for k in part], type=pa.int64()) for i in (1, 0, 2)]],
+                names=["mark", "toxic", "clean", "sampled"])
 
 
 class Votes:
@@ -57,12 +76,13 @@ class Votes:
         self.whole = {v[1:]: i for i, v in enumerate(voters) if v[0] == "="}
         self.first = {n: {v[1:]: i for i, v in enumerate(voters) if v[0] == "<" and len(v) == n + 1} for n in BEGINNINGS}
         self.last = {n: {v[1:]: i for i, v in enumerate(voters) if v[0] == ">" and len(v) == n + 1} for n in ENDINGS}
+        self.runs = {v[1:]: i for i, v in enumerate(voters) if v[0] == "~"}
 
     def of(self, text: str | None) -> tuple[list[int], int, int]:
-        """Voters that fire, the number of words with a vote, and the number of distinct words."""
+        """Voters that fire, the number of words or runs with a vote, and the number of distinct words."""
         words = set(WORDS.findall(text.lower())) if text else set()
-        fired: set[int] = set()
-        marked = 0
+        fired = {self.runs[run] for run in character_runs(text) if run in self.runs} if text and self.runs else set()
+        marked = len(fired)
         first, last = list(self.first.items()), list(self.last.items())
         for word in words:
             hits = [self.whole[word]] if word in self.whole else []
@@ -74,6 +94,44 @@ class Votes:
         return sorted(fired), marked, len(words)
 
 
+@dataclass
+class Fired:
+    """Which voters fire on which rows, as pairs; all products with it take time in proportion to the pairs."""
+
+    row: np.ndarray
+    voter: np.ndarray
+    rows: int
+    voters: int
+
+    @classmethod
+    def of(cls, lists: list[list[int]], voters: int) -> "Fired":
+        sizes = [len(x) for x in lists]
+        flat = np.array([v for x in lists for v in x], dtype=np.int64)
+        return cls(np.repeat(np.arange(len(lists)), sizes), flat, len(lists), voters)
+
+    def by_row(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of the voters that fire on each row."""
+        return np.bincount(self.row, weights=weights[self.voter], minlength=self.rows)
+
+    def by_voter(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of the rows on which each voter fires."""
+        return np.bincount(self.voter, weights=weights[self.row], minlength=self.voters)
+
+    def together(self, first: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows on which each voter fires together with each of the voters from ``first`` to ``end``: cells and counts."""
+        mine = (self.voter >= first) & (self.voter < end)
+        strip = np.zeros((self.rows, end - first), dtype=np.float32)
+        strip[self.row[mine], self.voter[mine] - first] = 1
+        order = np.argsort(self.voter, kind="stable")
+        out = np.zeros((self.voters, end - first))
+        present, starts = np.unique(self.voter[order], return_index=True)
+        bounds = [*starts.tolist(), len(order)]
+        for v, low, high in zip(present.tolist(), bounds, bounds[1:]):
+            out[v] = strip[self.row[order[low:high]]].sum(axis=0)
+        at = np.flatnonzero(out)
+        return at, out.flat[at]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -92,57 +150,90 @@ class LabelModel:
     weight: np.ndarray
     trust: float
 
-    def posterior(self, votes: np.ndarray, annotator: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: Fired, annotator: np.ndarray) -> np.ndarray:
         said = np.where(annotator == 1, 1.0, -1.0) * np.log(self.trust / (1 - self.trust))
         gain = np.log(self.toxic / self.clean) * self.weight
-        return _sigmoid(np.log(self.prior / (1 - self.prior)) + votes @ gain + said)
+        return _sigmoid(np.log(self.prior / (1 - self.prior)) + votes.by_row(gain) + said)
 
 
-def fit_label_model(votes: np.ndarray, annotator: np.ndarray, rounds: int = 25) -> LabelModel:
+def fit_label_model(votes: Fired, annotator: np.ndarray, rounds: int = 25, strip: int = 256) -> LabelModel:
     """Expectation maximisation over the hidden class, from the votes and the annotator's labels.
 
     After each step the correlation of any two voters within a class is estimated from
-    the posterior; a voter that repeats others shares its weight with them.
+    the posterior; a voter that repeats others shares its weight with them. Correlations
+    are built for ``strip`` voters at a time: the sum over rows of the product of two
+    centred votes is the number of rows they share, less terms of their means.
     """
     likely = np.where(annotator == 1, 0.9, 0.05)
+    shared = [(at, min(at + strip, votes.voters)) for at in range(0, votes.voters, strip)]
+    together = [votes.together(*part) for part in shared]
+    fires = votes.by_voter(np.ones(votes.rows))
     model = None
     for _ in range(rounds):
         mass = likely.sum(), (1 - likely).sum()
-        toxic = (likely @ votes + 0.5) / (mass[0] + 1)
-        clean = ((1 - likely) @ votes + 0.5) / (mass[1] + 1)
-        shared = np.zeros((votes.shape[1], votes.shape[1]))
-        for at in range(0, len(votes), 2048):
-            q = likely[at:at + 2048]
-            centred = votes[at:at + 2048] - np.outer(q, toxic) - np.outer(1 - q, clean)
-            shared += centred.T @ centred
-        spread = np.sqrt(np.diag(shared) + 1e-9)
-        correlation = np.clip(shared / np.outer(spread, spread), 0, 1)
-        weight = 1 / np.maximum((correlation ** 2).sum(axis=0), 1)
+        in_toxic, in_clean = votes.by_voter(likely), votes.by_voter(1 - likely)
+        toxic, clean = (in_toxic + 0.5) / (mass[0] + 1), (in_clean + 0.5) / (mass[1] + 1)
+        squares = (likely ** 2).sum(), (likely * (1 - likely)).sum(), ((1 - likely) ** 2).sum()
+
+        def product(a, b, both):
+            return (both - in_toxic[a] * toxic[b] - in_clean[a] * clean[b] - in_toxic[b] * toxic[a] - in_clean[b] * clean[a]
+                    + squares[0] * toxic[a] * toxic[b] + squares[2] * clean[a] * clean[b]
+                    + squares[1] * (toxic[a] * clean[b] + clean[a] * toxic[b]))
+
+        def shared_by(low, high, cells):
+            both = np.zeros((votes.voters, high - low))
+            both.flat[cells[0]] = cells[1]
+            return product(every[:, None], every[None, low:high], both)
+
+        every = np.arange(votes.voters)
+        spread = np.sqrt(np.maximum(product(every, every, fires), 0) + 1e-9)
+        weight = np.concatenate([
+            1 / np.maximum((np.clip(shared_by(low, high, cells) / np.outer(spread, spread[low:high]), 0, 1) ** 2).sum(axis=0), 1)
+            for (low, high), cells in zip(shared, together)])
         trust = float(np.clip(np.where(annotator == 1, likely, 1 - likely).mean(), 0.7, 0.95))
-        model = LabelModel(float(np.clip(mass[0] / len(votes), 1e-3, 1 - 1e-3)), toxic, clean, weight, trust)
+        model = LabelModel(float(np.clip(mass[0] / votes.rows, 1e-3, 1 - 1e-3)), toxic, clean, weight, trust)
         likely = model.posterior(votes, annotator)
     return model
 
 
-def _features(fired: list[int], marked: int, words: int, voters: int) -> np.ndarray:
-    out = np.zeros(voters + 3, dtype=np.float32)
-    out[fired] = 1.0
-    out[voters:] = np.log1p(len(fired)), np.log1p(marked), 10 * marked / (words + 10)
-    return out
+def _summary(fired: int, marked: int, words: int) -> tuple[float, float, float, float]:
+    """The inputs beside the voters; the last one is the constant."""
+    return np.log1p(fired), np.log1p(marked), 10 * marked / (words + 10), 1.0
+
 
+def fit_classifier(votes: Fired, summary: np.ndarray, likely: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+    """Logistic regression on posterior labels by Newton steps; the last weight is the constant.
 
-def fit_classifier(features: np.ndarray, likely: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Logistic regression on posterior labels by Newton steps; the last weight is the constant."""
-    x = np.hstack([features, np.ones((len(features), 1), dtype=features.dtype)])
-    penalty = np.diag([ridge] * features.shape[1] + [1e-6])
-    weights = np.zeros(x.shape[1])
+    Each step is solved by conjugate gradients, so no matrix of voters by voters is built.
+    """
+    def margin(w: np.ndarray) -> np.ndarray:
+        return votes.by_row(w[:votes.voters]) + summary @ w[votes.voters:]
+
+    def gather(r: np.ndarray) -> np.ndarray:
+        return np.concatenate([votes.by_voter(r), summary.T @ r])
+
+    penalty = np.full(votes.voters + summary.shape[1], ridge)
+    penalty[-1] = 1e-6
+    weights = np.zeros(len(penalty))
     for _ in range(rounds):
-        p = _sigmoid(x @ weights)
-        slope = np.zeros_like(penalty)
-        for at in range(0, len(x), 2048):  # in strips, so no second matrix of this size exists
-            part, curve = x[at:at + 2048].astype(np.float64), (p * (1 - p) + 1e-6)[at:at + 2048]
-            slope += (part * curve[:, None]).T @ part
-        step = np.linalg.solve(slope + penalty, x.T @ (likely - p) - penalty @ weights)
+        p = _sigmoid(margin(weights))
+        curve = p * (1 - p) + 1e-6
+        # The diagonal scales the problem, so voters of few and of many rows take alike few iterations.
+        scale = np.concatenate([votes.by_voter(curve), (summary ** 2).T @ curve]) + penalty
+        residual = gather(likely - p) - penalty * weights
+        step, small = np.zeros_like(weights), 1e-10 * max(1e-12, float(residual @ (residual / scale)))
+        toward = residual / scale
+        energy = float(residual @ toward)
+        for _ in range(200):
+            if energy <= small:
+                break
+            bent = gather(curve * margin(toward)) + penalty * toward
+            length = energy / float(toward @ bent)
+            step += length * toward
+            residual = residual - length * bent
+            scaled = residual / scale
+            before, energy = energy, float(residual @ scaled)
+            toward = scaled + energy / before * toward
         weights += step
         if np.abs(step).max() < 1e-6:
             break
@@ -159,25 +250,41 @@ class Model:
 
 
 def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample_rows: int = SAMPLE_ROWS, max_voters: int = MAX_VOTERS) -> Model:
-    """Fits the model on at most ``sample_rows`` labelled rows, chosen by the hash of the id.
-
-    The sample is bounded, so it may be sent to every executor and its votes to the
-    driver. Rows without a label are left out. Without any toxic row there are no voters.
+          sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fits the model: evidence is counted over all labelled rows, weights come from a bounded sample.
+
+    The sample holds the ``sample_rows`` labelled ids with the smallest hashes, one row
+    each, so its votes may go to the driver. A mark becomes a voter when at least four
+    labelled texts that are toxic hold it, its odds are e^3 or more, chance would make one
+    mark in 400 so uneven at most (e^-6), and the sample holds it; there is no
+    limit to their number. Of marks of a kind (word, beginning, ending, run) that fire on the
+    same rows of the sample the longest votes for all. Rows without a label are left out; an id
+    labelled twice counts as toxic if either label says so, and a repeated document
+    counts as often as it stands there. Without any toxic row there are no voters.
     """
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic")).where(
-        "label_id is not null and toxic in (0, 1)")
-    chosen = known.orderBy(F.xxhash64("label_id"), "label_id", "toxic").limit(sample_rows)
+        "label_id is not null and toxic in (0, 1)").groupBy("label_id").agg(F.max("toxic").alias("toxic"))
+    known = known.withColumn("place", F.xxhash64("label_id"))
+    edge = known.orderBy("place").limit(sample_rows).agg(F.max("place")).first()[0]
+    if edge is None:
+        return Model([], None, np.zeros(0))
     rows = (in_small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("text", "toxic"))
-    counted = rows.mapInArrow(_count, "mark string, toxic long, clean long").groupBy("mark").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    sizes = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    rate = ((F.col("toxic") + 0.5) / F.lit(sizes.get(1, 0) + 1)) / ((F.col("clean") + 0.5) / F.lit(sizes.get(0, 0) + 1))
-    least = max(4, round(sizes.get(1, 0) * 0.003))
-    best = (counted.where(F.col("toxic") >= least).withColumn("odds", F.log(rate)).where("odds >= 3")
-            .orderBy((F.col("odds") * F.col("toxic")).desc(), "mark").limit(max_voters))
-    voters = [r["mark"] for r in best.collect()]
+            .join(known, F.col("id") == F.col("label_id"))
+            .select("text", "toxic", (F.col("place") <= edge).alias("sampled"), "id"))
+    counted = materialize(rows.select("text", "toxic", "sampled").mapInArrow(
+        _count, "mark string, toxic long, clean long, sampled long").groupBy("mark").agg(
+        *[F.sum(c).alias(c) for c in ("toxic", "clean", "sampled")]).where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS), "marks")
+    whole = counted.where("mark = ''").first()
+    if whole is None or not whole["toxic"] or not whole["clean"]:
+        return Model([], None, np.zeros(0))
+    base = whole["toxic"] / (whole["toxic"] + whole["clean"])
+    odds = F.log((F.col("toxic") + 0.5) / F.lit(whole["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(whole["clean"] + 1.0))
+    # The chance that so many of its texts are toxic is at most exp(-divergence).
+    held = (F.col("toxic") + F.col("clean")).cast("double")
+    divergence = (F.col("toxic") * F.log(F.col("toxic") / held / F.lit(base))
+                  + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / held / F.lit(1 - base))).otherwise(0.0))
+    voters = [r["mark"] for r in counted.where(F.col("toxic") >= LEAST_TEXTS).where("sampled > 0 and mark <> ''").where(
+        (odds >= LEAST_ODDS) & (divergence >= LEAST_DIVERGENCE)).select("mark").orderBy("mark").collect()]
     if not voters:
         return Model([], None, np.zeros(0))
     shared = df.sparkSession.sparkContext.broadcast(voters)
@@ -186,27 +293,46 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         votes = Votes(shared.value)
         for batch in batches:
             found = [votes.of(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([f[0] for f in found], type=pa.list_(pa.int32())),
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1),
+                                              pa.array([f[0] for f in found], type=pa.list_(pa.int32())),
                                               pa.array([f[1] for f in found], type=pa.int32()),
                                               pa.array([f[2] for f in found], type=pa.int32())],
-                                             names=["toxic", "fired", "marked", "words"])
-
-    seen = rows.select("text", "toxic").mapInArrow(fire, "toxic int, fired array<int>, marked int, words int").orderBy(
-        "words", "marked", "toxic", F.col("fired").cast("string")).collect()
-    features = np.zeros((len(seen), len(voters) + 3), dtype=np.float32)
-    for i, r in enumerate(seen):
-        features[i] = _features(r["fired"], r["marked"], r["words"], len(voters))
-    votes, annotator = features[:, :len(voters)], np.array([r["toxic"] for r in seen])
+                                             names=["id", "toxic", "fired", "marked", "words"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    seen = (rows.where("sampled").select("text", "toxic", "id")
+            .mapInArrow(fire, f"id {kind}, toxic int, fired array<int>, marked int, words int")
+            .groupBy("id").agg(F.max(F.struct("toxic", "marked", "words", "fired")).alias("r")).select("r.*").collect())
+    seen.sort()
+    annotator = np.array([r["toxic"] for r in seen])
+    voters, lists = one_voter_per_set(voters, [r["fired"] for r in seen])
+    votes = Fired.of(lists, len(voters))
+    summary = np.array([_summary(len(x), r["marked"], r["words"]) for x, r in zip(lists, seen)])
     model = fit_label_model(votes, annotator)
-    return Model(voters, model, fit_classifier(features, model.posterior(votes, annotator)))
+    return Model(voters, model, fit_classifier(votes, summary, model.posterior(votes, annotator)))
+
+
+def one_voter_per_set(voters: list[str], fired: list[list[int]]) -> tuple[list[str], list[list[int]]]:
+    """Of voters of a kind that fire on the same rows only the longest stays (ties: the first); the rows with new numbers."""
+    signs = np.random.default_rng(1).integers(0, 1 << 62, len(fired), dtype=np.uint64)
+    sums = np.zeros(len(voters), dtype=np.uint64)
+    for sign, row in zip(signs, fired):
+        sums[row] += sign  # a row holds a voter once
+    best: dict[tuple[str, int], int] = {}
+    for i, voter in enumerate(voters):
+        key = voter[0], int(sums[i])
+        if key not in best or len(voters[best[key]]) < len(voter):
+            best[key] = i
+    kept = sorted(i for i in best.values() if sums[i])
+    number = {old: new for new, old in enumerate(kept)}
+    return [voters[i] for i in kept], [[number[v] for v in row if v in number] for row in fired]
 
 
 def score_one(weights: np.ndarray, votes: Votes, text: str | None) -> float:
     if not len(weights):
         return 0.0
     fired, marked, words = votes.of(text)
-    rest = np.array([np.log1p(len(fired)), np.log1p(marked), 10 * marked / (words + 10), 1.0])
-    return float(_sigmoid(weights[fired].sum() + weights[-4:] @ rest))
+    return float(_sigmoid(weights[fired].sum() + weights[-4:] @ np.array(_summary(len(fired), marked, words))))
 
 
 def _apply(shared):

@@ -174,7 +174,79 @@ def test_label_model_weighs_down_repeated_voters():
     votes = np.stack([np.where(truth, rng.random(4000) < 0.6, rng.random(4000) < 0.02) for _ in range(4)], axis=1).astype(float)
     votes = np.hstack([votes, votes[:, :1], votes[:, :1]])
     annotator = np.where(rng.random(4000) < 0.02, ~truth, truth).astype(int)
-    model = toxicity.fit_label_model(votes, annotator)
+    votes = toxicity.Fired.of([np.flatnonzero(v).tolist() for v in votes], votes.shape[1])
+    model = toxicity.fit_label_model(votes, annotator, strip=4)
     assert ((model.posterior(votes, annotator) > 0.5) == truth).mean() > 0.95
     assert model.weight[0] < 0.6 < model.weight[1] and model.trust > 0.9
     assert abs(model.prior - 0.2) < 0.08
+
+
+def test_strips_and_gradients_equal_dense_algebra():
+    rng = np.random.default_rng(3)
+    dense = (rng.random((300, 9)) < 0.2).astype(float)
+    dense[:, 8] = dense[:, 0]
+    annotator = (rng.random(300) < 0.3).astype(int)
+    votes = toxicity.Fired.of([np.flatnonzero(v).tolist() for v in dense], 9)
+    parts = []
+    for low, high in ((0, 4), (4, 9)):
+        cells, counts = votes.together(low, high)
+        parts.append(np.zeros((9, high - low)))
+        parts[-1].flat[cells] = counts
+    assert np.array_equal(np.hstack(parts), dense.T @ dense)
+    one, other = (toxicity.fit_label_model(votes, annotator, rounds=1, strip=n) for n in (2, 9))
+    q = np.where(annotator == 1, 0.9, 0.05)
+    centred = dense - np.outer(q, one.toxic) - np.outer(1 - q, one.clean)
+    cov = centred.T @ centred
+    spread = np.sqrt(np.diag(cov))
+    want = 1 / np.maximum((np.clip(cov / np.outer(spread, spread), 0, 1) ** 2).sum(axis=0), 1)
+    assert one.weight == pytest.approx(want, abs=1e-5) and other.weight == pytest.approx(want, abs=1e-5)
+    summary = np.hstack([rng.random((300, 3)), np.ones((300, 1))])
+    weights = toxicity.fit_classifier(votes, summary, q)
+    x = np.hstack([dense, summary])
+    slope = x.T @ (q - 1 / (1 + np.exp(-x @ weights))) - np.array([1.0] * 12 + [1e-6]) * weights
+    assert np.abs(slope).max() < 1e-4
+
+
+def test_a_lexicon_of_two_thousand_words_is_found(spark):
+    """Each bad word stands in a few texts only; held-out texts hold it again."""
+    rng = random.Random(12)
+    bad = [f"{a}{b}{c}{d}" for a in "zxqj" for b in "aeiou" for c in "vwkptbdfgl" for d in ("ox", "um", "ir", "ep", "ang", "ulk", "orf", "ist", "ent", "yb")]
+    assert len(set(bad)) == 2000
+    rows, labels = [], []
+    for i in range(24_000):
+        body, toxic = words(rng, 12, 3000), i % 4 == 0
+        if toxic:
+            body += [bad[(i // 4 * 3 + k) % 2000] for k in range(3)]
+        rows.append((i, " ".join(body), None, None, None))
+        labels.append((i, int(toxic)))
+    docs, known = spark.createDataFrame(rows, SCHEMA).repartition(4), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.learn(docs, known.where("doc_id % 5 <> 1"))
+    assert sum(v[0] == "=" for v in model.voters) > 1900
+    held = docs.where("doc_id % 5 = 1")
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(held, model).collect()}
+    assert np.mean([got[i] for i in got if i % 4 == 0]) > 0.99 and not any(got[i] for i in got if i % 4)
+
+
+def test_scripts_without_spaces_and_repeated_ids(spark):
+    rng = random.Random(2)
+    plain, insult = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏", "混蛋"
+    rows = []
+    for i in range(400):
+        body = rng.choices(plain, k=30)
+        if i % 5 == 0:
+            body.insert(rng.randrange(30), insult)
+        rows.append((i, "".join(body), None, None, None))
+    rows += [(7, rows[7][1], None, None, None)] * 300 + [(10, rows[10][1], None, None, None)] * 3
+    labels = [(i, int(i % 5 == 0)) for i in range(300)] + [(0, 0), (0, 1), (3, 0)]
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.learn(docs, known, sample_rows=200)
+    assert "~" + insult in model.voters
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, model).collect()}
+    assert all(got[i] == (i % 5 == 0) for i in range(300, 400))
+    assert toxicity.learn(docs, known.limit(0)).voters == []
+
+
+def test_one_voter_per_set_of_rows():
+    voters = ["<ab", "<abc", "=abcd", "=x", ">bcde"]
+    kept, rows = toxicity.one_voter_per_set(voters, [[0, 1, 2], [], [0, 1, 2, 4]])
+    assert kept == ["<abc", "=abcd", ">bcde"] and rows == [[0, 1], [], [0, 1, 2]]
