@@ -13,6 +13,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -24,73 +26,79 @@ from shelfcast.session import materialize
 WORDS = re.compile(r"[^\W\d_]+")
 #: Runs of scripts without spaces: Thai and Lao, Burmese, Khmer, Japanese, Chinese.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff]+")
-#: Lengths of word beginnings and endings, and of character runs, that may become voters.
-BEGINNINGS, ENDINGS, RUNS = (3, 4, 5, 6), (4, 5), (2, 3)
+#: Lengths of word beginnings and endings that may become voters.
+BEGINNINGS, ENDINGS = (3, 4, 5, 6), (4, 5)
 #: Labelled rows that the fit reads; toxic texts, log odds and divergence from the base rate that a voter needs.
 SAMPLE_ROWS, LEAST_TEXTS, LEAST_ODDS, LEAST_DIVERGENCE = 20_000, 4, 3.0, 6.0
+#: Words without a vote that a task keeps in mind.
+REMEMBERED = 1 << 19
 
 
 def character_runs(text: str) -> set[str]:
-    """The runs of characters of the parts in scripts without spaces."""
+    """The runs of two and three characters of the parts in scripts without spaces."""
     if text.isascii():
         return set()
-    return {part[i:i + n] for part in UNSPACED.findall(text) for n in RUNS for i in range(len(part) - n + 1)}
+    found = set()
+    for part in set(UNSPACED.findall(text)):
+        pairs = list(map(add, part, part[1:]))
+        found.update(pairs, map(add, pairs, part[2:]))
+    return found
+
+
+def marks_of(word: str) -> tuple[str, ...]:
+    """A word, its beginnings and its endings."""
+    return ("=" + word, *("<" + word[:n] for n in BEGINNINGS if len(word) > n), *(">" + word[-n:] for n in ENDINGS if len(word) > n))
 
 
 def evidence(text: str | None) -> set[str]:
     """What can vote on a text: its words, their beginnings and endings, and its character runs."""
-    found = set()
-    for word in set(WORDS.findall(text.lower())) if text else ():
-        found.add("=" + word)
-        found.update("<" + word[:n] for n in BEGINNINGS if len(word) > n)
-        found.update(">" + word[-n:] for n in ENDINGS if len(word) > n)
-    found.update("~" + run for run in character_runs(text or ""))
+    if not text:
+        return set()
+    found = set(chain.from_iterable(map(marks_of, set(WORDS.findall(text.lower())))))
+    found.update("~" + run for run in character_runs(text))
     return found
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either label, and of the sample, that hold each piece of evidence, combined per batch.
-
-    The empty mark counts all documents.
-    """
+    """Documents of either label that hold each piece of evidence, combined per batch; the empty mark counts all."""
     for batch in batches:
-        counts: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
-        for text, toxic, sampled in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            found = evidence(text) | {""}
-            counts[int(toxic)].update(found)
-            if sampled:
-                counts[2].update(found)
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts[int(toxic)].update(evidence(text) | {""})
         # Evidence of no toxic text of the batch still counts against a voter.
         keys = list(counts[0].keys() | counts[1].keys())
         for at in range(0, len(keys), 50_000):
             part = keys[at:at + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part), *[pa.array([counts[i][k] for k in part], type=pa.int64()) for i in (1, 0, 2)]],
-                names=["mark", "toxic", "clean", "sampled"])
+                [pa.array(part), *[pa.array([counts[i][k] for k in part], type=pa.int64()) for i in (1, 0)]],
+                names=["mark", "toxic", "clean"])
 
 
 class Votes:
     """Finds the voters that fire on a text."""
 
     def __init__(self, voters: list[str]):
-        self.whole = {v[1:]: i for i, v in enumerate(voters) if v[0] == "="}
-        self.first = {n: {v[1:]: i for i, v in enumerate(voters) if v[0] == "<" and len(v) == n + 1} for n in BEGINNINGS}
-        self.last = {n: {v[1:]: i for i, v in enumerate(voters) if v[0] == ">" and len(v) == n + 1} for n in ENDINGS}
+        self.number = {v: i for i, v in enumerate(voters)}
         self.runs = {v[1:]: i for i, v in enumerate(voters) if v[0] == "~"}
+        self.silent: set[str] = set()
 
     def of(self, text: str | None) -> tuple[list[int], int, int]:
-        """Voters that fire, the number of words or runs with a vote, and the number of distinct words."""
+        """Voters that fire, the number of words or runs with a vote, and the number of distinct words.
+
+        Words without a vote are remembered, up to a number, so most words cost one look into a set.
+        """
         words = set(WORDS.findall(text.lower())) if text else set()
-        fired = {self.runs[run] for run in character_runs(text) if run in self.runs} if text and self.runs else set()
+        fired = {self.runs[run] for run in self.runs.keys() & character_runs(text)} if text and self.runs else set()
         marked = len(fired)
-        first, last = list(self.first.items()), list(self.last.items())
-        for word in words:
-            hits = [self.whole[word]] if word in self.whole else []
-            hits += [t[word[:n]] for n, t in first if word[:n] in t and len(word) > n]
-            hits += [t[word[-n:]] for n, t in last if word[-n:] in t and len(word) > n]
-            if hits:
+        number = self.number
+        for word in words - self.silent:
+            if hits := [number[mark] for mark in marks_of(word) if mark in number]:
                 marked += 1
                 fired.update(hits)
+            else:
+                self.silent.add(word)
+        if len(self.silent) > REMEMBERED:
+            self.silent.clear()
         return sorted(fired), marked, len(words)
 
 
@@ -251,16 +259,15 @@ class Model:
 
 def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits the model: evidence is counted over all labelled rows, weights come from a bounded sample.
+    """Fits the model on a bounded sample, the ``sample_rows`` labelled ids with the smallest hashes.
 
-    The sample holds the ``sample_rows`` labelled ids with the smallest hashes, one row
-    each, so its votes may go to the driver. A mark becomes a voter when at least four
-    labelled texts that are toxic hold it, its odds are e^3 or more, chance would make one
-    mark in 400 so uneven at most (e^-6), and the sample holds it; there is no
-    limit to their number. Of marks of a kind (word, beginning, ending, run) that fire on the
+    The sample's labels may so be sent to every executor and its votes, one row an id,
+    to the driver. A mark becomes a voter when at least four toxic texts of the sample
+    hold it, its odds are e^3 or more, and chance would make one mark in 400 so uneven
+    at most (e^-6); these bars are the same at every size and the number of voters has no limit. Of marks of a kind (word, beginning, ending, run) that fire on the
     same rows of the sample the longest votes for all. Rows without a label are left out; an id
-    labelled twice counts as toxic if either label says so, and a repeated document
-    counts as often as it stands there. Without any toxic row there are no voters.
+    labelled twice counts as toxic if either label says so, and of rows with one id the
+    text that sorts last counts, once. Without any toxic row there are no voters.
     """
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic")).where(
         "label_id is not null and toxic in (0, 1)").groupBy("label_id").agg(F.max("toxic").alias("toxic"))
@@ -268,14 +275,14 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     edge = known.orderBy("place").limit(sample_rows).agg(F.max("place")).first()[0]
     if edge is None:
         return Model([], None, np.zeros(0))
-    rows = (in_small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(known, F.col("id") == F.col("label_id"))
-            .select("text", "toxic", (F.col("place") <= edge).alias("sampled"), "id"))
-    counted = materialize(rows.select("text", "toxic", "sampled").mapInArrow(
-        _count, "mark string, toxic long, clean long, sampled long").groupBy("mark").agg(
-        *[F.sum(c).alias(c) for c in ("toxic", "clean", "sampled")]).where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS), "marks")
+    rows = materialize(
+        in_small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        .join(F.broadcast(known.where(F.col("place") <= edge)), F.col("id") == F.col("label_id"))
+        .groupBy("id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"), "labelled")
+    counted = materialize(rows.mapInArrow(_count, "mark string, toxic long, clean long").groupBy("mark").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= LEAST_TEXTS), "marks")
     whole = counted.where("mark = ''").first()
-    if whole is None or not whole["toxic"] or not whole["clean"]:
+    if whole is None or not whole["clean"]:
         return Model([], None, np.zeros(0))
     base = whole["toxic"] / (whole["toxic"] + whole["clean"])
     odds = F.log((F.col("toxic") + 0.5) / F.lit(whole["toxic"] + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(whole["clean"] + 1.0))
@@ -283,7 +290,7 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held = (F.col("toxic") + F.col("clean")).cast("double")
     divergence = (F.col("toxic") * F.log(F.col("toxic") / held / F.lit(base))
                   + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / held / F.lit(1 - base))).otherwise(0.0))
-    voters = [r["mark"] for r in counted.where(F.col("toxic") >= LEAST_TEXTS).where("sampled > 0 and mark <> ''").where(
+    voters = [r["mark"] for r in counted.where("mark <> ''").where(
         (odds >= LEAST_ODDS) & (divergence >= LEAST_DIVERGENCE)).select("mark").orderBy("mark").collect()]
     if not voters:
         return Model([], None, np.zeros(0))
@@ -293,17 +300,13 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         votes = Votes(shared.value)
         for batch in batches:
             found = [votes.of(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1),
-                                              pa.array([f[0] for f in found], type=pa.list_(pa.int32())),
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([f[0] for f in found], type=pa.list_(pa.int32())),
                                               pa.array([f[1] for f in found], type=pa.int32()),
                                               pa.array([f[2] for f in found], type=pa.int32())],
-                                             names=["id", "toxic", "fired", "marked", "words"])
+                                             names=["toxic", "fired", "marked", "words"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    seen = (rows.where("sampled").select("text", "toxic", "id")
-            .mapInArrow(fire, f"id {kind}, toxic int, fired array<int>, marked int, words int")
-            .groupBy("id").agg(F.max(F.struct("toxic", "marked", "words", "fired")).alias("r")).select("r.*").collect())
-    seen.sort()
+    # In one order, so that sums do not depend on the partitions.
+    seen = sorted(rows.mapInArrow(fire, "toxic int, fired array<int>, marked int, words int").collect())
     annotator = np.array([r["toxic"] for r in seen])
     voters, lists = one_voter_per_set(voters, [r["fired"] for r in seen])
     votes = Fired.of(lists, len(voters))
