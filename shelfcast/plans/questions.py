@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.functions import policy, text as words
 from shelfcast.operators.history import product_profile
+from shelfcast.session import materialize
 
 SERVICE_LEVEL = 95
 DEFAULT_STOCK = 60
@@ -47,16 +48,21 @@ def named_products(questions: DataFrame, products: DataFrame) -> DataFrame:
     most four), and the exact containment test runs on the pairs that meet.
     Text grams grow with the text length and the catalog may grow freely; there
     is no text x catalog product.
+
+    Spark takes exploded grams for as small as the file of their texts. So the terms are
+    stored, which gives them a true size, and what comes from texts stands where it cannot be
+    broadcast: left of a semi join, or in a sort-merge join.
     """
-    terms = product_terms(products)
-    anchors = terms.join(_anchors(terms), "term").drop("width").withColumn("gram", F.xxhash64("gram"))
+    named = product_terms(products)
+    terms = materialize(named.join(_anchors(named), "term").withColumn("gram", F.xxhash64("gram")), "product-terms")
     widths = terms.agg(F.collect_set("width").alias("w")).scalar()
     texts = questions.select("question_id", words.clean(F.col("text")).alias("clean_text"))
     # Each distinct gram of a text leaves once, as eight bytes; equal hashes are told apart by the containment test.
     hashed = F.transform(_grams(F.col("clean_text"), F.col("width")), lambda g: F.xxhash64(g))
     grams = texts.withColumn("width", F.explode(widths)).select("question_id", F.explode(F.array_distinct(hashed)).alias("gram"))
-    met = grams.join(anchors, "gram").select("question_id", "term", "product_id", "product_name").distinct()
-    sure = met.join(texts, "question_id").where(F.contains("clean_text", F.col("term")))
+    hits = grams.join(terms.select("gram"), "gram", "left_semi").distinct()
+    met = hits.hint("merge").join(terms.drop("width"), "gram").drop("gram").distinct()
+    sure = met.join(texts.hint("merge"), "question_id").where(F.contains("clean_text", F.col("term")))
     best = F.struct(-F.length("product_name"), F.col("product_id"))
     return sure.groupBy("question_id").agg(F.min_by("product_id", best).alias("matched_product"))
 

@@ -56,6 +56,16 @@ def test_names_of_any_length_are_found(spark):
     assert got == {"1": "a", "2": "bb", "3": "ccccc", "5": "ccccc"}
 
 
+def test_no_side_that_grows_with_the_texts_is_broadcast(spark, sales, tmp_path):
+    # A small file of texts explodes into far more grams than its size tells.
+    texts = [(str(i), "how is Lantern 4 Lite doing " * 50, None) for i in range(200)]
+    spark.createDataFrame(texts, "question_id string, text string, selected_product string").write.parquet(f"{tmp_path}/asked")
+    found = questions.named_products(spark.read.parquet(f"{tmp_path}/asked"), sales.select("product_id", "product_name").distinct())
+    joins = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in line]
+    assert all("LeftSemi, BuildRight" in line for line in joins), joins
+    assert {r.matched_product for r in found.collect()} == {"K02"} and found.count() == 200
+
+
 @pytest.mark.parametrize("text, model", [
     ("XGBoost", "XGBoost"), (" random-forest ", "Random Forest"), ("SVR", "Support Vector (RBF)"),
     ("lstm (pytorch)", "LSTM (PyTorch)"), ("prophet", "Seasonal Baseline (Holt-Winters)"), ("", "XGBoost"),
