@@ -2,9 +2,9 @@
 
 The rows are binned once and kept as packed blocks. A job adds up gradients and
 Hessians per (leaf, feature, bin) of all leaves that may be split next: tasks sum their
-own blocks, Spark combines the sums, and the driver, which sees at most leaves x features
-x bins numbers, chooses the splits. Of two children only the smaller is summed, the
-other is the difference to the parent.
+own blocks, a shuffle brings the sums of a leaf and feature together, and there the best
+cut is found. The driver sees one row per leaf and feature, whatever the bins, the tasks
+or the data, and chooses the splits.
 
 Best-first growth splits the leaf of largest gain until the leaves are used up. To know
 the gains below a split its children must have been summed, so each job sums the
@@ -33,10 +33,11 @@ from shelfcast.session import materialize
 BEHIND = 8
 #: Rows that a task should hold, in blocks of an Arrow batch.
 TASK_ROWS = 65_536
-#: The sums of so few tasks are added on the driver; those of more are combined by a shuffle first. Sums are
-#: integers, so both give the same.
-FEW_PARTS = 16
+#: Sums of a leaf and feature by one task (512 numbers) that a task adds up when they meet.
+FEW_PARTS = 1024
 _BLOCK = "n int, bins binary, labels binary, keys binary, scores binary"
+_SPLIT = "slot int, feature int, gain double, cut int, left_g long, left_n long, all_g long, all_n long"
+_SPLIT_NAMES = [column.split()[0] for column in _SPLIT.split(", ")]
 _STEP, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(11)
 
 
@@ -75,6 +76,17 @@ class Tree:
         return first, first + 1
 
 
+@dataclass
+class Split:
+    """The best split of a node, and [gradients, rows] left of it and in the whole node."""
+
+    gain: float
+    feature: int
+    cut: int
+    left: np.ndarray
+    total: np.ndarray
+
+
 def forest_of(trees: list[Tree], base: float, step: float, cuts: list[np.ndarray] | None = None) -> FlatForest:
     """The trees as arrays, on bins or, with ``cuts``, on the values of the features."""
     sizes = [len(t.feature) for t in trees]
@@ -147,9 +159,9 @@ class Blocks:
         self.table.count()
         before.unpersist()
 
-    def sums(self, behind: list[Tree], tree: Tree, nodes: list[int], number: int, settings: Settings,
-             features: np.ndarray) -> dict[int, np.ndarray]:
-        """Per node an array (feature, bin, [gradients, rows]) over the rows that this tree may see."""
+    def splits(self, behind: list[Tree], tree: Tree, nodes: list[int], number: int, settings: Settings,
+               features: np.ndarray) -> dict[int, Split]:
+        """The best split of each node over the rows that this tree may see."""
         recent, current = forest_of(behind, self.base, settings.step), forest_of([tree], 0.0, 1.0)
         slot = np.full(len(tree.feature), -1)
         slot[nodes] = np.arange(len(nodes))
@@ -157,7 +169,7 @@ class Blocks:
         salt = np.uint64((settings.seed * 1_000_003 + number) & 0xFFFFFFFF)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((2, len(nodes), columns, 256), np.int64)
+            total = np.zeros((len(nodes), columns, 2, 256), np.int64)
             for batch in batches:
                 for block in batch.to_pylist():
                     bins = np.frombuffer(block["bins"], np.uint8).reshape(columns, block["n"])
@@ -175,21 +187,46 @@ class Blocks:
                         size = len(nodes) * 256
                         # Two halves, so that sums in floating point are exact.
                         for half, factor in ((high, 1 << 20), (low, 1)):
-                            total[0, :, f] += np.bincount(cell, half, size).astype(np.int64).reshape(-1, 256) * factor
-                        total[1, :, f] += np.bincount(cell, minlength=size).reshape(-1, 256)
-            used = np.flatnonzero(total[1])
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[0].ravel()[used]),
-                                              pa.array(total[1].ravel()[used])], names=["cell", "g", "n"])
-
-        cells = self.table.mapInArrow(run, "cell int, g long, n long")
-        if self.parts > FEW_PARTS:
-            cells = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
-        cells = cells.toArrow()
-        flat = np.zeros((2, len(nodes) * columns * 256), np.int64)
-        for name, total in zip(("g", "n"), flat):
-            np.add.at(total, np.asarray(cells.column("cell")), np.asarray(cells.column(name)))
-        shaped = flat.reshape(2, len(nodes), columns, 256) / np.array([scale, 1.0]).reshape(2, 1, 1, 1)
-        return {node: np.stack([shaped[0, k], shaped[1, k]], axis=-1) for k, node in enumerate(nodes)}
+                            total[:, f, 0] += np.bincount(cell, half, size).astype(np.int64).reshape(-1, 256) * factor
+                        total[:, f, 1] += np.bincount(cell, minlength=size).reshape(-1, 256)
+            used = np.argwhere(total[:, :, 1].any(axis=-1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used[:, 0].astype(np.int32)), pa.array(used[:, 1].astype(np.int32)),
+                 pa.array([total[node, f].tobytes() for node, f in used], pa.binary())], names=["slot", "feature", "sums"])
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: dict[tuple[int, int], np.ndarray] = {}
+            for batch in batches:
+                for k, f, sums in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    part = np.frombuffer(sums, np.int64).reshape(2, 256)
+                    met[k, f] = met[k, f] + part if (k, f) in met else part
+            keys, sums = np.array(list(met), np.int32).reshape(-1, 2), np.array(list(met.values()), np.int64).reshape(-1, 2, 256)
+            gain = gains(sums[:, 0] / scale, sums[:, 1].astype(float), settings.penalty, settings.min_rows)
+            most = gain.max(axis=1, initial=0.0)
+            cut = np.argmax(gain > most[:, None] * (1 - 1e-12), axis=1)
+            upto, whole = np.cumsum(sums, axis=2)[np.arange(len(cut)), :, cut], sums.sum(axis=2)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(np.where(most > 1e-9, most, 0.0)), pa.array(cut.astype(np.int32)),
+                 *[pa.array(side[:, i]) for side in (upto, whole) for i in (0, 1)]], names=_SPLIT_NAMES)
+
+        sums = self.table.mapInArrow(run, "slot int, feature int, sums binary")
+        if self.parts > 1:
+            most = self.parts * len(nodes) * len(features)
+            sums = sums.repartition(max(1, min(self.parts, most // max(1, FEW_PARTS))), "slot", "feature")
+        rows = sums.mapInArrow(choose, _SPLIT).toArrow().to_pylist()
+        found: dict[int, list[dict]] = {}
+        for row in sorted(rows, key=lambda r: r["feature"]):
+            found.setdefault(row["slot"], []).append(row)
+        return {node: self._first_best(found.get(k, [])) for k, node in enumerate(nodes)}
+
+    def _first_best(self, rows: list[dict]) -> Split:
+        """The largest gain of a node's features; ties take the smallest feature."""
+        most = max((r["gain"] for r in rows), default=0.0)
+        row = next((r for r in rows if r["gain"] > most * (1 - 1e-12)), None)
+        total = lambda r, side: np.array([r[f"{side}_g"] / self.scale, float(r[f"{side}_n"])])
+        if row is None:
+            return Split(0.0, -1, -1, np.zeros(2), total(rows[0], "all") if rows else np.zeros(2))
+        return Split(row["gain"], row["feature"], row["cut"], total(row, "left"), total(row, "all"))
 
     def close(self) -> None:
         self.table.unpersist()
@@ -205,17 +242,22 @@ def drawn(keys: np.ndarray, salt: np.uint64, share: float) -> np.ndarray:
     return (mixed >> _SHIFT).astype(float) / float(1 << 53) < share
 
 
+def gains(gradients: np.ndarray, rows: np.ndarray, penalty: float, min_rows: int) -> np.ndarray:
+    """The gain of a cut after each bin, 0 where a side has too few rows; both arrays are (features, bins)."""
+    g, h = np.cumsum(gradients, axis=1), np.cumsum(rows, axis=1)
+    all_g, all_h = g[:, -1:], h[:, -1:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = g * g / (h + penalty) + (all_g - g) ** 2 / (all_h - h + penalty) - all_g * all_g / (all_h + penalty)
+    return np.where((h >= min_rows) & (all_h - h >= min_rows), gain, 0.0)
+
+
 def best_split(sums: np.ndarray, features: np.ndarray, penalty: float, min_rows: int) -> tuple[float, int, int]:
     """(gain, feature, bin) of the best split of a node; (0, -1, -1) if none gains.
 
     The gain is G_l^2 / (H_l + penalty) + G_r^2 / (H_r + penalty) - G^2 / (H + penalty); ties take the
     smallest feature and bin.
     """
-    g, h = np.cumsum(sums[features, :, 0], axis=1), np.cumsum(sums[features, :, 1], axis=1)
-    all_g, all_h = g[:, -1:], h[:, -1:]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = g * g / (h + penalty) + (all_g - g) ** 2 / (all_h - h + penalty) - all_g * all_g / (all_h + penalty)
-    gain = np.where((h >= min_rows) & (all_h - h >= min_rows), gain, 0.0)
+    gain = gains(sums[features, :, 0], sums[features, :, 1], penalty, min_rows)
     at = int(np.argmax(gain > gain.max() * (1 - 1e-12)))
     if not gain.max() > 1e-9:
         return 0.0, -1, -1
@@ -224,7 +266,7 @@ def best_split(sums: np.ndarray, features: np.ndarray, penalty: float, min_rows:
 
 
 class _Growth:
-    """One tree: which nodes have been summed, their best splits, and the best-first choice among them."""
+    """One tree: the nodes whose best splits are known, and the best-first choice among them."""
 
     def __init__(self, blocks: Blocks, behind: list[Tree], number: int, settings: Settings):
         self.blocks, self.behind, self.number, self.settings = blocks, behind, number, settings
@@ -234,36 +276,24 @@ class _Growth:
         self.tree = Tree()
         self.depth = {0: 0}
         self.total: dict[int, np.ndarray] = {}
-        self.best: dict[int, tuple[float, int, int]] = {}
-        self.sums: dict[int, np.ndarray] = {}
+        self.best: dict[int, Split] = {}
 
     def _learn(self, nodes: list[int]) -> None:
-        """Sums the given nodes, children in pairs: the smaller one by a job, the other by difference."""
-        parents = {self.tree_parent[n]: None for n in nodes if n}
-        asked = [0] if 0 in nodes else []
-        for parent in parents:
-            left, right = self.tree.left[parent], self.tree.right[parent]
-            asked.append(left if self.total[left][1] <= self.total[right][1] else right)
-        self.sums.update(self.blocks.sums(self.behind, self.tree, asked, self.number, self.settings, self.features))
-        for parent in parents:
-            left, right = self.tree.left[parent], self.tree.right[parent]
-            known, other = (left, right) if left in self.sums else (right, left)
-            self.sums[other] = self.sums.pop(parent) - self.sums[known]
-        for node in nodes:
-            self.total[node] = self.sums[node][self.features[0]].sum(axis=0)
-            self.best[node] = best_split(self.sums[node], self.features, self.settings.penalty, self.settings.min_rows)
+        """Finds the best splits of the given nodes by one job."""
+        self.best.update(self.blocks.splits(self.behind, self.tree, nodes, self.number, self.settings, self.features))
+        if 0 in nodes:
+            self.total[0] = self.best[0].total
 
     def _children(self, node: int) -> None:
-        _, feature, cut = self.best[node]
-        left, right = self.tree.split(node, feature, cut)
-        upto = self.sums[node][feature, :cut + 1].sum(axis=0)
-        for child, total in ((left, upto), (right, self.total[node] - upto)):
-            self.tree_parent[child], self.depth[child], self.total[child] = node, self.depth[node] + 1, total
+        best = self.best[node]
+        left, right = self.tree.split(node, best.feature, best.cut)
+        for child, total in ((left, best.left), (right, best.total - best.left)):
+            self.depth[child], self.total[child] = self.depth[node] + 1, total
 
     def _choose(self) -> tuple[list[int], list[int]]:
         """The nodes that best-first choice splits, and the children it would have to know next."""
         limit = self.settings
-        open_nodes, split, unknown = [(-self.best[0][0], 0)], [], []
+        open_nodes, split, unknown = [(-self.best[0].gain, 0)], [], []
         while open_nodes and len(split) + 1 < limit.leaves:
             gain, node = heapq.heappop(open_nodes)
             if gain == 0:
@@ -275,20 +305,18 @@ class _Growth:
                 continue
             for child in (self.tree.left[node], self.tree.right[node]):
                 if child in self.best:
-                    heapq.heappush(open_nodes, (-self.best[child][0], child))
+                    heapq.heappush(open_nodes, (-self.best[child].gain, child))
                 elif self.total[child][1] >= 2 * limit.min_rows:
                     unknown.append(child)
         return split, unknown if len(split) + 1 < limit.leaves or unknown else []
 
     def run(self) -> Tree:
-        self.tree_parent = {0: -1}
         self._learn([0])
         while True:
             split, unknown = self._choose()
             if not unknown:
                 return self._pruned(set(split))
-            pairs = sorted({c for n in unknown for c in (self.tree.left[self.tree_parent[n]], self.tree.right[self.tree_parent[n]])})
-            self._learn(pairs)
+            self._learn(sorted(unknown))
 
     def _pruned(self, split: set[int]) -> Tree:
         """The tree with the chosen splits only, and the values of its leaves."""

@@ -91,6 +91,19 @@ def test_best_split_is_the_best_of_all():
     assert best_split(np.zeros((1, 256, 2)), np.array([0]), 0.0, 1) == (0.0, -1, -1)
 
 
+def test_the_driver_sees_one_row_per_leaf_and_feature(spark, monkeypatch):
+    df, _, _ = toy(spark)
+    seen, collect = [], type(df).toArrow
+
+    def counted(frame):
+        seen.append(collect(frame))
+        return seen[-1]
+
+    monkeypatch.setattr(type(df), "toArrow", counted)
+    fit_boosting(df, "y", Settings(rounds=2, depth=3, leaves=8, min_rows=1), key=("id",), columns=SMALL)
+    assert [t.num_rows for t in seen] == [3, 6, 12] * 2
+
+
 def test_rows_and_columns_are_drawn(spark):
     keys = np.random.default_rng(2).integers(-2 ** 62, 2 ** 62, 20_000)
     seen = boosting.drawn(keys, np.uint64(7), 0.9)
