@@ -1,6 +1,7 @@
 """Second-order gradient boosting on binned features, grown leaf by leaf or level by level.
 
-The rows are binned once and kept as packed blocks. A job adds up gradients and
+The rows are binned once and kept as packed blocks; a tree keeps the gradients of the
+rows that it sees, so trees before it are walked once and not in each of its jobs. A job adds up gradients and
 Hessians per (leaf, feature, bin) of all leaves that may be split next: tasks sum their
 own blocks, a shuffle brings the sums of a leaf and feature together, and there the best
 cut is found. The driver sees one row per leaf and feature, whatever the bins, the tasks
@@ -35,6 +36,8 @@ BEHIND = 8
 TASK_ROWS = 65_536
 #: Sums of a leaf and feature by one task (512 numbers) that a task adds up when they meet.
 FEW_PARTS = 1024
+#: Rows that are summed at once, and the bit from which their count stands above the sum of 20 bits each.
+COUNTED, COUNT_BIT = 1 << 16, 36
 _BLOCK = "n int, bins binary, labels binary, keys binary, scores binary"
 _SPLIT = "slot int, feature int, gain double, cut int, left_g long, left_n long, all_g long, all_n long"
 _SPLIT_NAMES = [column.split()[0] for column in _SPLIT.split(", ")]
@@ -159,36 +162,59 @@ class Blocks:
         self.table.count()
         before.unpersist()
 
-    def splits(self, behind: list[Tree], tree: Tree, nodes: list[int], number: int, settings: Settings,
-               features: np.ndarray) -> dict[int, Split]:
-        """The best split of each node over the rows that this tree may see."""
-        recent, current = forest_of(behind, self.base, settings.step), forest_of([tree], 0.0, 1.0)
-        slot = np.full(len(tree.feature), -1)
-        slot[nodes] = np.arange(len(nodes))
+    def seen_by(self, behind: list[Tree], number: int, settings: Settings) -> DataFrame:
+        """The bins of the rows that a tree may see and their scaled gradients, for all jobs of that tree.
+
+        Filled by the first of them; the caller unpersists it.
+        """
+        recent = forest_of(behind, self.base, settings.step)
         columns, scale, share = self.columns, self.scale, settings.rows_share
         salt = np.uint64((settings.seed * 1_000_003 + number) & 0xFFFFFFFF)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((len(nodes), columns, 2, 256), np.int64)
             for batch in batches:
                 for block in batch.to_pylist():
                     bins = np.frombuffer(block["bins"], np.uint8).reshape(columns, block["n"])
-                    at = slot[current.leaves(bins.T)[:, 0]]
-                    seen = at >= 0
+                    scores, labels = np.frombuffer(block["scores"]), np.frombuffer(block["labels"])
                     if share < 1:
-                        seen &= drawn(np.frombuffer(block["keys"], np.int64), salt, share)
-                    at, part = at[seen], bins[:, seen]
-                    scores = np.frombuffer(block["scores"])[seen] + recent.predict(part.T)
+                        seen = drawn(np.frombuffer(block["keys"], np.int64), salt, share)
+                        bins, scores, labels = bins[:, seen], scores[seen], labels[seen]
                     # Squared loss: the gradient is prediction minus label, the Hessian is 1.
-                    gradients = np.rint((scores - np.frombuffer(block["labels"])[seen]) * scale)
-                    high, low = np.divmod(gradients, float(1 << 20))
-                    for f in features:
-                        cell = at * 256 + part[f]
-                        size = len(nodes) * 256
-                        # Two halves, so that sums in floating point are exact.
-                        for half, factor in ((high, 1 << 20), (low, 1)):
-                            total[:, f, 0] += np.bincount(cell, half, size).astype(np.int64).reshape(-1, 256) * factor
-                        total[:, f, 1] += np.bincount(cell, minlength=size).reshape(-1, 256)
+                    gradients = np.rint((scores + recent.predict(bins.T) - labels) * scale)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([len(labels)], pa.int32()), pa.array([np.ascontiguousarray(bins).tobytes()], pa.binary()),
+                         pa.array([gradients.tobytes()], pa.binary())], names=["n", "bins", "gradients"])
+
+        return self.table.mapInArrow(run, "n int, bins binary, gradients binary").persist()
+
+    def splits(self, seen: DataFrame, tree: Tree, nodes: list[int], settings: Settings, features: np.ndarray) -> dict[int, Split]:
+        """The best split of each node over the rows of ``seen_by``."""
+        current = forest_of([tree], 0.0, 1.0)
+        slot = np.full(len(tree.feature), -1)
+        slot[nodes] = np.arange(len(nodes))
+        columns, scale = self.columns, self.scale
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(nodes), columns, 2, 256), np.int64)
+            size = len(nodes) * 256
+            for batch in batches:
+                for block in batch.to_pylist():
+                    every = np.frombuffer(block["bins"], np.uint8).reshape(columns, block["n"])
+                    for first in range(0, block["n"], COUNTED):
+                        bins = every[:, first:first + COUNTED]
+                        at = slot[current.leaves(bins.T)[:, 0]]
+                        mine = at >= 0
+                        at, part = at[mine] * 256, bins[:, mine]
+                        gradients = np.frombuffer(block["gradients"])[first:first + COUNTED][mine]
+                        # Two halves, so that sums in floating point are exact; the lower one counts the rows above its bits.
+                        high, low = np.divmod(gradients, float(1 << 20))
+                        low += float(1 << COUNT_BIT)
+                        for f in features:
+                            cell = at + part[f]
+                            lower = np.bincount(cell, low, size).astype(np.int64).reshape(-1, 256)
+                            total[:, f, 0] += np.bincount(cell, high, size).astype(np.int64).reshape(-1, 256) << 20
+                            total[:, f, 0] += lower & ((1 << COUNT_BIT) - 1)
+                            total[:, f, 1] += lower >> COUNT_BIT
             used = np.argwhere(total[:, :, 1].any(axis=-1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used[:, 0].astype(np.int32)), pa.array(used[:, 1].astype(np.int32)),
@@ -209,7 +235,7 @@ class Blocks:
                 [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(np.where(most > 1e-9, most, 0.0)), pa.array(cut.astype(np.int32)),
                  *[pa.array(side[:, i]) for side in (upto, whole) for i in (0, 1)]], names=_SPLIT_NAMES)
 
-        sums = self.table.mapInArrow(run, "slot int, feature int, sums binary")
+        sums = seen.mapInArrow(run, "slot int, feature int, sums binary")
         if self.parts > 1:
             most = self.parts * len(nodes) * len(features)
             sums = sums.repartition(max(1, min(self.parts, most // max(1, FEW_PARTS))), "slot", "feature")
@@ -269,7 +295,8 @@ class _Growth:
     """One tree: the nodes whose best splits are known, and the best-first choice among them."""
 
     def __init__(self, blocks: Blocks, behind: list[Tree], number: int, settings: Settings):
-        self.blocks, self.behind, self.number, self.settings = blocks, behind, number, settings
+        self.blocks, self.settings = blocks, settings
+        self.seen = blocks.seen_by(behind, number, settings)
         rng = np.random.default_rng([settings.seed, number])
         take = max(1, int(round(settings.columns_share * blocks.columns)))
         self.features = np.sort(rng.permutation(blocks.columns)[:take])
@@ -280,7 +307,7 @@ class _Growth:
 
     def _learn(self, nodes: list[int]) -> None:
         """Finds the best splits of the given nodes by one job."""
-        self.best.update(self.blocks.splits(self.behind, self.tree, nodes, self.number, self.settings, self.features))
+        self.best.update(self.blocks.splits(self.seen, self.tree, nodes, self.settings, self.features))
         if 0 in nodes:
             self.total[0] = self.best[0].total
 
@@ -311,12 +338,15 @@ class _Growth:
         return split, unknown if len(split) + 1 < limit.leaves or unknown else []
 
     def run(self) -> Tree:
-        self._learn([0])
-        while True:
-            split, unknown = self._choose()
-            if not unknown:
-                return self._pruned(set(split))
-            self._learn(sorted(unknown))
+        try:
+            self._learn([0])
+            while True:
+                split, unknown = self._choose()
+                if not unknown:
+                    return self._pruned(set(split))
+                self._learn(sorted(unknown))
+        finally:
+            self.seen.unpersist()
 
     def _pruned(self, split: set[int]) -> Tree:
         """The tree with the chosen splits only, and the values of its leaves."""

@@ -265,3 +265,23 @@ def test_kinds_that_nobody_asks_for_are_not_fitted(sales, spark):
     assert {r.status for r in got} == {"SUCCESS"} and len(got) == 2
     nobody = dispatch.answer(asked.limit(0), sales.select("product_id"), None, sales, sales)
     assert nobody.collect() == []
+
+
+def test_trees_before_are_walked_once_a_tree(spark, tmp_path, monkeypatch):
+    """The jobs of a tree share its gradients; none predicts with the trees before it again."""
+    walked, jobs, make, learn = str(tmp_path / "walked"), [], boosting.forest_of, boosting._Growth._learn
+
+    def counting(*args):
+        class Counting(forests.FlatForest):
+            def predict(self, rows):
+                with open(walked, "a") as out:
+                    out.write(f"{len(self.roots)}\n")
+                return forests.FlatForest.predict(self, rows)
+
+        return Counting(**vars(make(*args)))
+
+    monkeypatch.setattr(boosting, "forest_of", counting)
+    monkeypatch.setattr(boosting._Growth, "_learn", lambda self, nodes: (jobs.append(len(nodes)), learn(self, nodes)))
+    df, _, _ = toy(spark)
+    fit_boosting(df, "y", Settings(rounds=3, depth=3, leaves=8, min_rows=1), key=("id",), columns=SMALL)
+    assert len(jobs) == 9 and open(walked).read().split() == ["0", "1", "2"]
